@@ -97,13 +97,9 @@ def fold(c: Column) -> Column:
     return unaccent(lowered(c))
 
 
-def is_missing(folded: Column, bad: Iterable[str] = BAD_TOKENS) -> Column:
-    """True for null and for any spelling of "missing" (the text is folded already)."""
-    return folded.isNull() | folded.isin(*bad)
-
-
 def label_missing(folded: Column, bad: Iterable[str] = BAD_TOKENS) -> Column:
-    return F.when(is_missing(folded, bad), MISSING).otherwise(folded)
+    """Null and every spelling of "missing" become the one missing label."""
+    return F.coalesce(F.when(~folded.isin(*bad), folded), F.lit(MISSING))
 
 
 def lookup(c: Column, table: Mapping[str, str]) -> Column:

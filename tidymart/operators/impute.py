@@ -8,32 +8,40 @@ from pyspark.sql import functions as F
 from tidymart.contracts import ZONE_MISSING_RE
 from tidymart.functions import text
 from tidymart.operators.profile import mode_by_group, topk_frequency
-from tidymart.operators.scale import BROADCAST_BYTES, small_enough
-from tidymart.session import reliable_checkpoint
+from tidymart.session import written
 
 BEFORE, AFTER = "zona_antes", "zona"
 
+# A mode table of at most this size is sent to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 
 def _bad(c: Column) -> Column:
     return c.isNull() | text.bad_text(c)
 
 
+def _size(modes: DataFrame) -> int:
+    """Bytes of the two text columns, with 32 bytes per cell on top."""
+    width = F.octet_length("__place") + F.octet_length("mode") + 64
+    return modes.agg(F.sum(width).alias("size")).first()["size"] or 0
+
+
 def impute_mode(
     df: DataFrame, zone: str, place: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Fill missing zones with the mode of their place; adds ``zona_antes`` and ``zona``.
 
     The modes are learned from rows where both are known. A missing zone whose place is missing
-    or has no mode becomes null. The mode table is checkpointed and measured: up to
+    or has no mode becomes null. The mode table is written and measured: up to
     ``broadcast_bytes`` it is broadcast, beyond that only the rows that need a zone and name a
     place are shuffled to it.
     """
     clean = df.withColumns({BEFORE: text.strip(F.col(zone)), "__place": text.strip(F.col(place))})
     known = clean.where(~_bad(F.col(BEFORE)) & ~_bad(F.col("__place")))
-    modes = reliable_checkpoint(
-        mode_by_group(known.select("__place", BEFORE), "__place", BEFORE).drop("n")
+    modes = written(
+        mode_by_group(known.select("__place", BEFORE), "__place", BEFORE).drop("n"), "modes"
     )
-    if small_enough(modes, broadcast_bytes):
+    if _size(modes) <= broadcast_bytes:
         zone_now = F.when(_bad(F.col(BEFORE)), F.col("mode")).otherwise(F.col(BEFORE))
         joined = clean.join(F.broadcast(modes), "__place", "left")
         return joined.withColumn(AFTER, zone_now).select(*df.columns, BEFORE, AFTER)

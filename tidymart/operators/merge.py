@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidymart.contracts import (
@@ -18,6 +18,7 @@ from tidymart.contracts import (
 )
 from tidymart.functions import numeric, text
 from tidymart.operators.schema import columns_with_prefix, present_columns, rename_if_absent
+from tidymart.sources.files import read_csv
 
 HOW = {"inner": "inner", "left": "left", "right": "right", "outer": "full_outer"}
 
@@ -27,19 +28,19 @@ def prepare(df: DataFrame, cases: str, measures: Sequence[str], refold: bool) ->
     df = rename_if_absent(df, CASES, cases)
     if not refold:
         return df
-    counted = {c for c in (cases, *measures) if c in df.columns}
-    texts = {
+    texts = [
         f.name
         for f in df.schema.fields
         if f.name in (*KEY, CLASS_COLUMN) and f.dataType.typeName() == "string"
-    }
-
-    def clean(name):
-        if name in texts:
-            return text.fold(F.col(name)).alias(name)
-        return numeric.to_count(F.col(name)).alias(name) if name in counted else F.col(name)
-
-    return df.select(*(clean(c) for c in df.columns))
+    ]
+    counts = present_columns(df, (cases, *measures))
+    plain = df.withColumns(
+        {c: text.lowered(F.col(c)) for c in texts} | {c: numeric.to_count(F.col(c)) for c in counts}
+    )
+    if "anio" in texts:
+        texts.remove("anio")
+        plain = plain.withColumn("anio", numeric.to_year(F.col("anio")))
+    return plain.withColumns({c: text.unaccent(F.col(c)) for c in texts})
 
 
 def merge_key(a: DataFrame, b: DataFrame, with_class: bool = False) -> list[str]:
@@ -116,6 +117,11 @@ def merge_sources(
     return add_ratios(merged, present_columns(merged, sites), present_columns(merged, risks))
 
 
+def load_and_merge(spark: SparkSession, a_csv: str, b_csv: str, **options) -> DataFrame:
+    """Merge two tidy tables that lie as CSV files."""
+    return merge_sources(read_csv(spark, a_csv), read_csv(spark, b_csv), **options)
+
+
 def merge_qc(
     a: DataFrame,
     b: DataFrame,

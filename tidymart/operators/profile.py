@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidymart.contracts import MISSING
 from tidymart.functions import numeric
+from tidymart.session import written
 
 
 def _or_zero(c: Column) -> Column:
@@ -114,64 +115,79 @@ def mode_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], pieces: int = 200
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    pieces: int = 32,
+    rounds: int = 3,
 ) -> DataFrame:
     """Exact interpolated quantiles: (column, probability, value).
 
-    Values are counted first. Approximate cut points then split the distinct values of a column
-    into pieces; the counts per piece say which pieces hold the wanted ranks, and only those are
-    put in order. No task needs a whole column.
+    Values are counted first. Then each round splits the distinct values of a search range at
+    approximate cut points, sees from the counts in which pieces the wanted ranks lie, and goes
+    on with those pieces only. What is put in order at the end is the 1/pieces**rounds part of a
+    column, so no task needs a whole column.
     """
     names = list(columns)
     wide = df.select(*(F.col(c).cast("double").alias(c) for c in names))
-    values = (
+    values = written(
         wide.unpivot([], names, "column", "value")
         .where("value is not null")
         .groupBy("column", "value")
         .agg(F.count("*").alias("n"))
+        .withColumn("range", F.col("column")),
+        "values",
     )
-    cuts = values.groupBy("column").agg(
-        F.percentile_approx("value", [i / pieces for i in range(1, pieces)], 10 * pieces).alias("cuts")
-    )
-    # One row per column: the broadcast is as small as the schema.
-    placed = values.join(F.broadcast(cuts), "column").select(
-        "column", "value", "n", F.size(F.filter("cuts", lambda cut: cut < F.col("value"))).alias("piece")
+    # At most two rows per column and probability: where each wanted rank is looked for.
+    wanted = (
+        values.groupBy("column", "range")
+        .agg(F.sum("n").alias("total"))
+        .withColumn("probability", F.explode(F.array(*map(F.lit, map(float, probabilities)))))
+        .withColumn("position", (F.col("total") - 1) * F.col("probability"))
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))))
+        .withColumn("before", F.lit(0).cast("bigint"))
+        .select("column", "range", "probability", "position", "rank", "before")
     )
-    # At most `pieces` rows per column.
-    upto = W.partitionBy("column").orderBy("piece").rowsBetween(W.unboundedPreceding, 0)
-    whole = W.partitionBy("column")
-    sizes = (
-        placed.groupBy("column", "piece")
-        .agg(F.sum("n").alias("size"))
-        .select(
-            "column",
-            "piece",
-            "size",
-            (F.sum("size").over(upto) - F.col("size")).alias("before"),
-            F.sum("size").over(whole).alias("total"),
+    for _ in range(rounds):
+        shares = [i / pieces for i in range(1, pieces)]
+        cuts = values.groupBy("range").agg(
+            F.percentile_approx("value", shares, 100 * pieces).alias("cuts")
         )
-    )
-    position = (F.col("total") - 1) * F.col("probability")
-    wanted = (
-        sizes.withColumn("probability", F.explode(F.array(*map(F.lit, map(float, probabilities)))))
-        .withColumn("position", position)
-        .withColumn(
-            "rank", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position"))))
+        piece = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+        # One row per range, and there are no more ranges than wanted ranks.
+        placed = values.join(F.broadcast(cuts), "range").select(
+            "column", "value", "n", "range", F.concat_ws("/", "range", F.lpad(piece.cast("string"), 4, "0")).alias("piece")
         )
-        .where("rank >= before and rank < before + size")
-        .select("column", "piece", "before", "probability", "position", "rank")
-    )
-    # At most two rows per column and probability.
-    wanted = F.broadcast(wanted)
-    hit = placed.join(wanted.select("column", "piece", "before").distinct(), ["column", "piece"])
-    ordered = W.partitionBy("column", "piece").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    ranked = hit.withColumn("upto", F.col("before") + F.sum("n").over(ordered)).select(
-        "column", "piece", "value", "upto", (F.col("upto") - F.col("n")).alias("from")
+        earlier = W.partitionBy("range").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
+        # At most `pieces` rows per range.
+        sizes = (
+            placed.groupBy("range", "piece")
+            .agg(F.sum("n").alias("size"))
+            .withColumn("skip", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+        )
+        start = F.col("before") + F.col("skip")
+        found = wanted.join(sizes, "range").where(
+            (F.col("rank") >= start) & (F.col("rank") < start + F.col("size"))
+        )
+        wanted = written(
+            found.select("column", F.col("piece").alias("range"), "probability", "position", "rank", start.alias("before")),
+            "wanted",
+        )
+        ranges = wanted.select(F.col("range").alias("piece")).distinct()
+        values = written(
+            placed.join(F.broadcast(ranges), "piece", "left_semi").select(
+                "column", "value", "n", F.col("piece").alias("range")
+            ),
+            "values",
+        )
+    ordered = W.partitionBy("range").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    ranked = values.select("range", "value", "n", F.sum("n").over(ordered).alias("upto"))
+    hits = ranked.join(F.broadcast(wanted), "range").where(
+        "rank >= before + upto - n and rank < before + upto"
     )
-    found = ranked.join(wanted, ["column", "piece"]).where("rank >= `from` and rank < upto")
     low, high = F.min("value"), F.max("value")
     part = F.first("position") - F.floor(F.first("position"))
-    return found.groupBy("column", "probability").agg((low + (high - low) * part).alias("value"))
+    return hits.groupBy("column", "probability").agg((low + (high - low) * part).alias("value"))
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Two building blocks that keep large inputs safe: checked broadcasts and dense numbering."""
+"""Dense numbering that does not need all rows in one task."""
 
 from __future__ import annotations
 
@@ -7,60 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidymart.session import reliable_checkpoint
-
-# A lookup of at most this size is sent to every executor, a larger one is shuffled.
-BROADCAST_BYTES = 64 * 1024 * 1024
+from tidymart.session import written
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def small_enough(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Does the table fit into ``limit`` bytes? Counts 16 bytes per cell plus the text itself."""
-    width = F.lit(16 * len(df.columns))
-    for f in df.schema.fields:
-        if f.dataType.typeName() == "string":
-            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
-    return (df.agg(F.sum(width).alias("size")).first().size or 0) <= limit
-
-
-def join_lookup(
-    df: DataFrame, lookup: DataFrame, key: Sequence[str], how: str = "left", limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Join a lookup table: broadcast when its measured size allows, else shuffled.
-
-    ``lookup`` should be a checkpoint or a written table, because it is measured here. Beyond the
-    limit the join goes by the key and adaptive execution splits partitions that a hot key fills.
-    """
-    if small_enough(lookup, limit):
-        lookup = F.broadcast(lookup)
-    return df.join(lookup, list(key), how)
-
-
-def number_rows(
-    df: DataFrame, order: Sequence[Column], target: str, start: Column | int = 0
-) -> DataFrame:
-    """Dense numbers ``start + 1, start + 2 ...`` in the given order, without a one-task window.
+def number_rows(df: DataFrame, order: Sequence[Column], target: str, start: int = 0) -> DataFrame:
+    """Dense numbers ``start + 1, start + 2 ...`` in the given order.
 
-    The sorted rows are checkpointed, so that counting the rows of each sorted partition and
-    numbering them see the same partitions even if executors are lost in between.
+    The sorted rows are written together with the number of their partition and their place in
+    it, so that counting the partitions and numbering the rows see the same partitions even if
+    executors are lost in between.
     """
-    row_id = F.monotonically_increasing_id()
-    ranged = reliable_checkpoint(df.orderBy(*order).withColumn("__at", row_id))
-    part = F.shiftright("__at", _ROW_BITS)
-    sizes = ranged.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
-    base = start if isinstance(start, Column) else F.lit(start)
-    # One number per sorted partition: bounded by the number of shuffle partitions.
-    offsets, before = [], 0
+    at = F.monotonically_increasing_id()
+    part, place = F.shiftright("__at", _ROW_BITS), F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    ranged = written(
+        df.orderBy(*order).withColumn("__at", at).select(*df.columns, part.alias("__part"), place.alias("__place")),
+        "numbered",
+    )
+    # One row per sorted partition: bounded by the number of shuffle partitions.
+    sizes = ranged.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect()
+    offsets, before = [], start + 1
     for row in sizes:
-        offsets.append((row.part, before))
-        before += row.n
-    within = F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+        offsets.append((row["__part"], before))
+        before += row["n"]
     if len(offsets) <= 1:
-        number = within
-    else:
-        schema = "part bigint, before bigint"
-        table = df.sparkSession.createDataFrame(offsets, schema)
-        ranged = ranged.withColumn("part", part).join(F.broadcast(table), "part").drop("part")
-        number = within + F.col("before")
-    return ranged.withColumn(target, base + number + 1).select(*df.columns, target)
+        return ranged.select(*df.columns, (F.col("__place") + start + 1).alias(target))
+    table = df.sparkSession.createDataFrame(offsets, "__part bigint, __before bigint")
+    numbered = ranged.join(F.broadcast(table), "__part")
+    return numbered.select(*df.columns, (F.col("__place") + F.col("__before")).alias(target))

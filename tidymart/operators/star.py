@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidymart.contracts import (
     CLASS_COLUMN,
@@ -19,8 +18,8 @@ from tidymart.contracts import (
     SITE_MEASURES,
     measure_type,
 )
-from tidymart.operators.scale import BROADCAST_BYTES, join_lookup, number_rows
-from tidymart.session import reliable_checkpoint
+from tidymart.operators.scale import number_rows
+from tidymart.session import written
 
 NATURAL = (*KEY, CLASS_COLUMN)
 NULL_LABEL = "nan"  # what a null natural key is stored as
@@ -35,10 +34,6 @@ def natural_keys(merged: DataFrame) -> DataFrame:
     return merged.withColumns({c: _label(c) for c in NATURAL if c != "anio"})
 
 
-def empty_dimensions(spark) -> dict[str, DataFrame]:
-    return {t: spark.createDataFrame([], schema) for t, schema in DIMENSION_SCHEMAS.items()}
-
-
 def dimension_members(merged: DataFrame) -> DataFrame:
     """(table, natural key columns, first): the members of all four dimensions in one pass.
 
@@ -62,36 +57,43 @@ def dimension_members(merged: DataFrame) -> DataFrame:
     return grouped.select(table.alias("table"), *NATURAL, "first")
 
 
-def build_dimensions(
-    merged: DataFrame, existing: Mapping[str, DataFrame] | None = None
-) -> dict[str, DataFrame]:
-    """The four dimensions: known members keep their id, new ones follow in first-appearance order."""
-    spark = merged.sparkSession
-    existing = {**empty_dimensions(spark), **(existing or {})}
+def _known_members(existing: Mapping[str, DataFrame]) -> DataFrame | None:
+    """The members of loaded dimensions in one table: (table, natural key columns, id)."""
     known = None
-    for table, (key, natural) in DIMENSIONS.items():
+    for table, dimension in existing.items():
+        key, natural = DIMENSIONS[table]
         columns = [
             (F.col(c) if c in natural else F.lit(None)).cast("bigint" if c == "anio" else "string").alias(c)
             for c in NATURAL
         ]
-        part = existing[table].select(F.lit(table).alias("table"), *columns, F.col(key).alias("id"))
+        part = dimension.select(F.lit(table).alias("table"), *columns, F.col(key).cast("bigint").alias("id"))
         known = part if known is None else known.unionByName(part)
+    return known
 
-    members = dimension_members(merged).alias("m")
-    same = [F.col("m.table") == F.col("k.table")]
-    same += [F.col(f"m.{c}").eqNullSafe(F.col(f"k.{c}")) for c in NATURAL]
-    new = members.join(known.alias("k"), same, "left_anti")
-    numbered = number_rows(new, [F.col("table"), F.col("first")], "at")
 
-    # Four rows: where the numbers of a table start, and its highest id so far.
+def build_dimensions(
+    merged: DataFrame, existing: Mapping[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """The four dimensions: known members keep their id, new ones follow in first-appearance order."""
+    known = _known_members(existing or {})
+    members = dimension_members(merged)
+    if known is not None:
+        same = [F.col("m.table") == F.col("k.table")]
+        same += [F.col(f"m.{c}").eqNullSafe(F.col(f"k.{c}")) for c in NATURAL]
+        members = members.alias("m").join(known.alias("k"), same, "left_anti")
+    numbered = number_rows(members, [F.col("table"), F.col("first")], "at")
+
+    # Four rows each: where the numbers of a table start, and its highest id so far.
     starts = numbered.groupBy("table").agg((F.min("at") - 1).alias("before"))
-    highest = known.groupBy("table").agg(F.max("id").alias("highest"))
-    bases = starts.join(highest, "table", "left")
-    numbered = numbered.join(F.broadcast(bases), "table").withColumn(
-        "id", F.col("at") - F.col("before") + F.coalesce(F.col("highest"), F.lit(0))
-    )
-    columns = ["table", *NATURAL, "id"]
-    every = reliable_checkpoint(known.select(*columns).unionByName(numbered.select(*columns)))
+    highest = F.lit(0)
+    if known is not None:
+        starts = starts.join(known.groupBy("table").agg(F.max("id").alias("highest")), "table", "left")
+        highest = F.coalesce(F.col("highest"), F.lit(0))
+    number = (F.col("at") - F.col("before") + highest).alias("id")
+    every = numbered.join(F.broadcast(starts), "table").select("table", *NATURAL, number)
+    if known is not None:
+        every = known.unionByName(every)
+    every = written(every, "dimensions", ["table"])
 
     def dimension(table):
         key, natural = DIMENSIONS[table]
@@ -115,15 +117,17 @@ def measure_source(measure: str, site_prefix: str = SITE_PREFIX) -> str:
 
 
 def build_fact(
-    merged: DataFrame,
-    dimensions: Mapping[str, DataFrame],
-    site_prefix: str = SITE_PREFIX,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    merged: DataFrame, dimensions: Mapping[str, DataFrame], site_prefix: str = SITE_PREFIX
 ) -> DataFrame:
-    """Surrogate keys instead of natural keys, and the 32 measures (0 where a column is missing)."""
+    """Surrogate keys instead of natural keys, and the 32 measures (0 where a column is missing).
+
+    The dimensions are written tables, so the planner knows their size: below the broadcast
+    threshold they go to every executor, above it the join is by key, where adaptive execution
+    splits the partitions of a hot member.
+    """
     fact = natural_keys(merged)
     for table, (_, natural) in DIMENSIONS.items():
-        fact = join_lookup(fact, dimensions[table], natural, "left", broadcast_bytes)
+        fact = fact.join(dimensions[table], list(natural), "left")
 
     def measure(name):
         source = measure_source(name, site_prefix)
@@ -140,13 +144,11 @@ def number_facts(fact: DataFrame, dimensions: Mapping[str, DataFrame], start: in
     return numbered.select("id_fact", *fact.columns)
 
 
-def denormalize(
-    fact: DataFrame, dimensions: Mapping[str, DataFrame], broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def denormalize(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """The fact with the natural keys of its dimensions; unknown ids give null."""
     wide = fact
     for table, (key, _) in DIMENSIONS.items():
-        wide = join_lookup(wide, dimensions[table], [key], "left", broadcast_bytes)
+        wide = wide.join(dimensions[table], key, "left")
     naturals = [c for _, natural in DIMENSIONS.values() for c in natural]
     return wide.select(*fact.columns, *naturals)
 

@@ -26,7 +26,7 @@ from tidymart.plans.driver_tables import (
     table,
 )
 from tidymart.plans.mart import MartSpec, build_mart, mart_summary
-from tidymart.session import scratch_path
+from tidymart.session import scratch_path, written
 from tidymart.sources import files, paged
 from tidymart.streaming import feed
 
@@ -69,15 +69,8 @@ def merged(spark, folder, how="inner"):
     )
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """A written stage of the job, so that what follows reads it instead of computing it again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def star_tables(spark, folder):
-    rows = saved(merged(spark, folder), "merged")
+    rows = written(merged(spark, folder), "merged")
     dimensions = star.build_dimensions(rows)
     return rows, star.build_fact(rows, dimensions, SITE_PREFIX_HERE), dimensions
 
@@ -242,6 +235,19 @@ def merge_with_class(spark, folder):
         with_class=True,
         site_prefix=SITE_PREFIX_HERE,
         risk_columns=RISKS_HERE,
+        refold=False,
+        null_safe=(),
+    )
+
+
+@query("merge_files")
+def merge_files(spark, folder):
+    """Both tidy tables go through CSV files and are folded and coerced again."""
+    paths = scratch_path(spark, "tidy_a_csv"), scratch_path(spark, "tidy_b_csv")
+    for df, path in zip((tidy_a(spark, folder), tidy_b(spark, folder)), paths):
+        files.write_csv(df, path)
+    return merge.load_and_merge(
+        spark, *paths, how="outer", site_prefix=SITE_PREFIX_HERE, risk_columns=RISKS_HERE
     )
 
 
@@ -430,7 +436,7 @@ for _name, _t in _DIMENSION_QUERIES.items():
 @query("dim_incremental")
 def dim_incremental(spark, folder):
     """A first load of the later years, then everything: known members keep their ids."""
-    rows = saved(merged(spark, folder), "merged")
+    rows = written(merged(spark, folder), "merged")
     first = star.build_dimensions(rows.where("anio >= 1998"))
     second = star.build_dimensions(rows, first)
     out = None

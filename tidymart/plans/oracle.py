@@ -359,7 +359,7 @@ def _profile() -> str:
   case when dups = 0 then 'Sin duplicados' else dups || ' duplicados encontrados' end}},
 {{'metric': 'Ejemplos de problemas', 'value': examples, 'observation':
   case when examples = 'Ninguno' then 'Columna confiable' else 'Revisar valores' end}}]) as line
-from (select *, case when nulls > 0 then '[' || array_to_string(list_transform(range(least(nulls, 3)), x -> 'null'), ', ') || ']'
+from (select *, case when nulls > 0 then '[' || array_to_string(list_transform(range(least(nulls, 3)), lambda x: 'null'), ', ') || ']'
   when repeats is not null then '[' || repeats || ']' else 'Ninguno' end as examples
   from (select count(*) as total, count(*) - count({c}) as nulls, count(distinct {c}) as uniques,
     count(*) - count(distinct {c}) - cast(count(*) > count({c}) as int) as dups,
@@ -501,6 +501,7 @@ ORACLE: dict[str, str] = {
         f"merge_{how}": f"with {AB}, {_merged(join)} select * from merged"
         for how, join in {"inner": "inner", "left": "left", "right": "right", "outer": "full outer"}.items()
     },
+    "merge_files": f"with {AB}, {_merged('full outer')} select * from merged",
     "merge_with_class": (
         f"with {RAW_A}, {NORM_A}, {_tidy_a('tidy_a6', ORDER6)}, {B}, "
         f"{_merged('inner', ORDER6, 'tidy_a6')} select * from merged"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,9 +32,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tidymart/{name}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through files in the shared folder; survives the loss of executors."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write the rows as a table in the shared folder and read it back.
+
+    This cuts the lineage, survives the loss of executors, and gives the planner the true size,
+    so a lookup is broadcast exactly when it is below the broadcast threshold of the session.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
