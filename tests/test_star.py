@@ -1,0 +1,101 @@
+import random
+
+import golden
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidymart.contracts import DIMENSION_SCHEMAS, DIMENSIONS, FACT_KEYS, FACT_MEASURES, FACT_SCHEMA
+from tidymart.operators import schema, star
+from tidymart.operators.scale import number_rows
+from tidymart.sources.tables import database_types, read_star, write_star
+
+
+def star_of(spark, folder, **options):
+    merged = golden.merged(spark, folder)
+    dimensions = star.build_dimensions(merged, **options)
+    return merged, star.build_fact(merged, dimensions), dimensions
+
+
+def test_golden_ids_follow_the_first_appearance(spark, tmp_path):
+    _, _, dims = star_of(spark, tmp_path)
+    assert rows(dims["dim_tiempo"]) == [(1, 2020), (2, 2021)]
+    assert rows(dims["dim_ubicacion"]) == [(1, "engativa"), (2, "suba")]
+    assert rows(dims["dim_perfil_demografico"]) == [
+        (1, "mujer", "adolescencia", golden.SECONDARY),
+        (2, "hombre", "juventud", golden.TECHNICAL),
+        (3, "otro", "vejez", "1. preescolar"),
+    ]
+    assert rows(dims["dim_clasificacion"]) == [(1, "ideacion"), (2, "intento"), (3, "otra"), (4, "sin dato")]
+
+
+def test_fact_and_statistics(spark, tmp_path):
+    _, fact, dims = star_of(spark, tmp_path)
+    assert fact.columns == [*FACT_KEYS, *FACT_MEASURES] == FACT_SCHEMA.fieldNames()
+    assert [f.dataType for f in fact.schema] == [f.dataType for f in FACT_SCHEMA]
+    assert rows(star.load_stats(fact)) == [(4, 2, 2, 3, 4)]
+    first = fact.where("id_clasificacion = 1").first()
+    assert (first.casos_spa, first.casos_sui, first.sitio_vivienda, first.pct_sitio_parque) == (5, 2, 3, 0.4)
+    assert (first.sitio_via_publica, first.pct_suicidio_amigo, first.esc_educ) == (0, 0.0, 0)
+    assert fact.where("id_clasificacion = 4").first().pct_sitio_vivienda is None
+    for table, (key, _) in DIMENSIONS.items():
+        assert schema.fk_orphans(fact, dims[table], key).count() == 0
+        assert schema.unique_violations(dims[table], [key]).count() == 0
+    assert {f.dataType.simpleString() for f in database_types(fact).schema} == {"int", "float"}
+
+
+def test_known_members_keep_their_ids(spark, tmp_path):
+    known = {
+        "dim_ubicacion": spark.createDataFrame([(7, "suba"), (3, "otra zona")], DIMENSION_SCHEMAS["dim_ubicacion"]),
+        "dim_tiempo": spark.createDataFrame([(5, 2021)], DIMENSION_SCHEMAS["dim_tiempo"]),
+    }
+    _, fact, dims = star_of(spark, tmp_path, existing=known)
+    assert rows(dims["dim_ubicacion"]) == [(3, "otra zona"), (7, "suba"), (8, "engativa")]
+    assert rows(dims["dim_tiempo"]) == [(5, 2021), (6, 2020)]
+    again = star.build_dimensions(golden.merged(spark, tmp_path), dims)
+    assert {t: rows(d) for t, d in again.items()} == {t: rows(d) for t, d in dims.items()}
+
+
+def test_denormalising_gives_the_natural_keys_back(spark, tmp_path):
+    merged, fact, dims = star_of(spark, tmp_path)
+    wide = star.denormalize(fact, dims)
+    naturals = [c for _, natural in DIMENSIONS.values() for c in natural]
+    assert rows(wide, *naturals, "casos_spa", "casos_sui") == rows(merged, *naturals, "casos_spa", "casos_sui")
+    lost = star.denormalize(fact, {**dims, "dim_ubicacion": dims["dim_ubicacion"].limit(0)})
+    assert lost.count() == 4 and lost.where("upz is not null").count() == 0
+
+
+def test_a_null_class_becomes_a_member(spark, tmp_path):
+    merged = golden.merged(spark, tmp_path, how="left")
+    dims = star.build_dimensions(merged)
+    fact = star.build_fact(merged, dims)
+    assert fact.count() == 5 and fact.where("id_clasificacion is null").count() == 0
+    assert "nan" in {r.clasificacion for r in dims["dim_clasificacion"].collect()}
+
+
+def test_fact_numbers_and_repeated_loads(spark, tmp_path):
+    _, fact, dims = star_of(spark, tmp_path)
+    numbered = star.number_facts(fact, dims, start=10)
+    assert [r.id_fact for r in numbered.orderBy("id_fact").collect()] == [11, 12, 13, 14]
+    assert rows(numbered, *FACT_KEYS) == rows(fact, *FACT_KEYS)
+    assert star.new_facts(fact, fact).count() == 0
+    folder = str(tmp_path / "star")
+    for _ in range(2):
+        write_star(fact, dims, folder, "2024")
+    loaded, loaded_dims = read_star(spark, folder)
+    assert rows(loaded, *fact.columns) == rows(fact)
+    assert rows(loaded_dims["dim_tiempo"]) == rows(dims["dim_tiempo"])
+
+
+def test_numbering_across_many_partitions(spark):
+    dice = random.Random(11)
+    values = [dice.choice([1, 1, 1, dice.randrange(10_000)]) for _ in range(4000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v int, i int").repartition(6)
+        out = number_rows(df, [F.col("v"), F.col("i")], "n", start=100).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    out.sort(key=lambda r: r.n)
+    assert [r.n for r in out] == list(range(101, 4101))
+    assert [(r.v, r.i) for r in out] == sorted((v, i) for i, v in enumerate(values))
+    assert number_rows(df.limit(0), [F.col("v")], "n").count() == 0
