@@ -65,9 +65,18 @@ def lowered(c: Column) -> Column:
 
 
 def _is_ascii(c: Column) -> Column:
+    """As many bytes as characters."""
     return F.octet_length(c) == F.char_length(c)
 
 
+def _char_class(chars: Iterable[str]) -> str:
+    """Regex class of the characters, neighbours joined to ranges."""
+    points = sorted(map(ord, chars))
+    starts = [p for p in points if p - 1 not in points]
+    ends = [p for p in points if p + 1 not in points]
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]"
+
+
 def _expand_ligatures(c: Column) -> Column:
     many = _ascii_forms()[2]
     # A constant: the optimizer turns it into one map literal.
@@ -77,19 +86,23 @@ def _expand_ligatures(c: Column) -> Column:
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
     )
     rest = F.regexp_replace(c, r"[\x00-\x7F]+", "")
-    return F.when(rest.rlike("[" + "".join(many) + "]"), spelled).otherwise(c)
+    return F.when(rest.rlike(_char_class(many)), spelled).otherwise(c)
 
 
-def unaccent(plain: Column) -> Column:
-    """Drop accents and what has no ASCII form.
-
-    Three ways, the short ones first: text that is ASCII already (as many bytes as characters),
-    text that is ASCII once single letters are mapped, and all other text.
-    """
+def map_letters(plain: Column) -> Column:
+    """Every letter that stands for one ASCII character becomes that character."""
     accents, letters, _ = _ascii_forms()
-    mapped = F.translate(plain, accents, letters)
-    other = F.regexp_replace(_expand_ligatures(mapped), r"[^\x00-\x7F]+", "")
-    return F.when(_is_ascii(plain), plain).when(_is_ascii(mapped), mapped).otherwise(other)
+    return F.when(_is_ascii(plain), plain).otherwise(F.translate(plain, accents, letters))
+
+
+def drop_other(mapped: Column) -> Column:
+    """Spell out ligatures and the like, then drop what has no ASCII form."""
+    rest = F.regexp_replace(_expand_ligatures(mapped), r"[^\x00-\x7F]+", "")
+    return F.when(_is_ascii(mapped), mapped).otherwise(rest)
+
+
+def unaccent(plain: Column) -> Column:
+    return drop_other(map_letters(plain))
 
 
 def fold(c: Column) -> Column:

@@ -79,8 +79,9 @@ def label_keys(
     """
     label = class_column(df, spec) if split_class else None
     texts = [raw for raw, new in spec.rename.items() if new in TEXT_KEY] + ([label] if label else [])
-    plain = df.withColumns({c: text.lowered(F.col(c)) for c in texts})
-    folded = plain.withColumns({c: text.unaccent(F.col(c)) for c in texts})
+    folded = df
+    for step in (text.lowered, text.map_letters, text.drop_other):
+        folded = folded.withColumns({c: step(F.col(c)) for c in texts})
     columns = key_columns(spec, folded=True)
     if split_class:
         columns[CLASS_COLUMN] = text.label_class(F.col(label), spec.class_map) if label else F.lit(MISSING)
