@@ -81,7 +81,7 @@ def test_fact_numbers_and_repeated_loads(spark, tmp_path):
     folder = str(tmp_path / "star")
     for _ in range(2):
         write_star(fact, dims, folder, "2024")
-    loaded, loaded_dims = read_star(spark, folder)
+    loaded, loaded_dims = read_star(spark, folder, "2024")
     assert rows(loaded, *fact.columns) == rows(fact)
     assert rows(loaded_dims["dim_tiempo"]) == rows(dims["dim_tiempo"])
 

@@ -117,6 +117,26 @@ QUALITY_NOTES = {
     "actualidad": ("Todos los registros dentro del rango esperado", "Algunos años fuera del rango"),
 }
 
+# Lines of a column profile, and what they say about a value.
+PROFILE_TEXTS = {
+    "type": "Tipo de dato",
+    "type_ok": "Correcto",
+    "type_text": "Verificar formato de texto",
+    "nulls": "Valores nulos",
+    "nulls_none": "No presenta datos faltantes",
+    "nulls_some": "Presenta %d nulos",
+    "unique": "Valores únicos",
+    "unique_all": "Cumple unicidad total",
+    "unique_some": "%d valores únicos",
+    "dups": "Duplicados",
+    "dups_none": "Sin duplicados",
+    "dups_some": "%d duplicados encontrados",
+    "examples": "Ejemplos de problemas",
+    "examples_none": "Ninguno",
+    "reliable": "Columna confiable",
+    "review": "Revisar valores",
+}
+
 STREAM_STAGES = ("adolescencia", "juventud")
 
 PAGE_SIZE = 32000

@@ -36,11 +36,12 @@ def impute_mode(
     ``broadcast_bytes`` it is broadcast, beyond that only the rows that need a zone and name a
     place are shuffled to it.
     """
-    clean = df.withColumns({BEFORE: text.strip(F.col(zone)), "__place": text.strip(F.col(place))})
-    known = clean.where(~_bad(F.col(BEFORE)) & ~_bad(F.col("__place")))
-    modes = written(
-        mode_by_group(known.select("__place", BEFORE), "__place", BEFORE).drop("n"), "modes"
-    )
+    stripped = {BEFORE: text.strip(F.col(zone)), "__place": text.strip(F.col(place))}
+    clean = df.withColumns(stripped)
+    # The modes need each pair of spellings once, with its number of rows.
+    pairs = df.groupBy(zone, place).agg(F.count("*").alias("__n")).withColumns(stripped)
+    known = pairs.where(~_bad(F.col(BEFORE)) & ~_bad(F.col("__place")))
+    modes = written(mode_by_group(known, "__place", BEFORE, F.col("__n")).drop("n"), "modes")
     if _size(modes) <= broadcast_bytes:
         zone_now = F.when(_bad(F.col(BEFORE)), F.col("mode")).otherwise(F.col(BEFORE))
         joined = clean.join(F.broadcast(modes), "__place", "left")
@@ -61,12 +62,17 @@ def impute_metrics(imputed: DataFrame) -> DataFrame:
     ``resueltas`` counts the rows that got a zone.
     """
     before, after = F.col(BEFORE), F.col(AFTER)
-    return imputed.agg(
-        F.count_if(text.bad_text(before)).alias("antes_sin_dato"),
-        (F.count_if(text.bad_text(before)) - F.count_if(text.bad_text(after))).alias("imputadas"),
-        F.count_if(text.bad_text(after)).alias("aun_sin_dato"),
-        F.count_if(_bad(after)).alias("aun_sin_dato_o_nulo"),
-        F.count_if(_bad(before) & ~_bad(after)).alias("resueltas"),
+    pairs = imputed.groupBy(BEFORE, AFTER).agg(F.count("*").alias("n"))
+
+    def rows_where(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    return pairs.agg(
+        rows_where(text.bad_text(before)).alias("antes_sin_dato"),
+        (rows_where(text.bad_text(before)) - rows_where(text.bad_text(after))).alias("imputadas"),
+        rows_where(text.bad_text(after)).alias("aun_sin_dato"),
+        rows_where(_bad(after)).alias("aun_sin_dato_o_nulo"),
+        rows_where(_bad(before) & ~_bad(after)).alias("resueltas"),
     )
 
 
@@ -74,7 +80,7 @@ def before_after_topk(imputed: DataFrame, k: int = 10, pattern: str = ZONE_MISSI
     """The k most frequent zones before and after, side by side: (value, antes, despues)."""
 
     def top(column, label):
-        shown = imputed.select(text.regex_missing(F.col(column), pattern).alias("v"))
-        return topk_frequency(shown, "v", k).withColumnRenamed("n", label)
+        most = topk_frequency(imputed, column, k, lambda c: text.regex_missing(c, pattern))
+        return most.withColumnRenamed("n", label)
 
     return top(BEFORE, "antes").join(top(AFTER, "despues"), "value", "full_outer")

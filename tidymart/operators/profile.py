@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidymart.contracts import MISSING
+from tidymart.contracts import MISSING, PROFILE_TEXTS
 from tidymart.functions import numeric
 from tidymart.session import written
 
@@ -82,8 +82,22 @@ def frequency_share(df: DataFrame, column: str) -> DataFrame:
     return frequency_table(df, column).withColumn("share", numeric.safe_ratio(F.col("n"), total))
 
 
-def topk_frequency(df: DataFrame, column: str, k: int = 10) -> DataFrame:
-    return frequency_table(df.where(F.col(column).isNotNull()), column).limit(k)
+def labelled_frequency(df: DataFrame, column: str, label: Callable[[Column], Column]) -> DataFrame:
+    """Frequencies of the labels of a text column; every spelling is labelled once, not every row."""
+    spellings = df.groupBy(column).agg(F.count("*").alias("n"))
+    return (
+        spellings.groupBy(label(F.col(column)).alias("value"))
+        .agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "value")
+    )
+
+
+def topk_frequency(
+    df: DataFrame, column: str, k: int = 10, label: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """The k most frequent values (or labels of values) that are not null."""
+    table = labelled_frequency(df, column, label) if label else frequency_table(df, column)
+    return table.where(F.col("value").isNotNull()).limit(k)
 
 
 def topk_sum(df: DataFrame, group: str, measure: Column, k: int = 10) -> DataFrame:
@@ -97,16 +111,17 @@ def topk_sum(df: DataFrame, group: str, measure: Column, k: int = 10) -> DataFra
     )
 
 
-def mode_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
+def mode_by_group(df: DataFrame, group: str, value: str, weight: Column | None = None) -> DataFrame:
     """Most frequent value per group, the smallest one on a tie.
 
     Counts per (group, value) come first; picking the winner then needs one small buffer per
-    group, however many rows or values the group has.
+    group, however many rows or values the group has. ``weight`` is the number of rows that a
+    row stands for.
     """
     counts = (
         df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
         .groupBy(group, value)
-        .agg(F.count("*").alias("n"))
+        .agg((F.count("*") if weight is None else F.sum(weight)).alias("n"))
     )
     best = F.min(F.struct((-F.col("n")).alias("rank"), F.col(value).alias("value")))
     return counts.groupBy(group).agg(best.alias("best")).select(
@@ -326,29 +341,41 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     kind = F.lit(None).cast("string")
     for name, label in kinds.items():
         kind = F.when(F.col("column") == name, label).otherwise(kind)
+    said = PROFILE_TEXTS
     nulls, unique, dups = F.col("nulls"), F.col("distinct_values"), F.col("total") - F.col("kinds")
-    examples = (
-        F.when(nulls > 0, F.concat(F.lit("["), F.array_join(F.array_repeat(F.lit("null"), F.least(nulls, F.lit(3)).cast("int")), ", "), F.lit("]")))
-        .when(F.size("repeats") > 0, F.concat(F.lit("["), F.array_join("repeats", ", "), F.lit("]")))
-        .otherwise("Ninguno")
+    examples = F.col("examples")
+
+    def listed(values):
+        return F.concat(F.lit("["), F.array_join(values, ", "), F.lit("]"))
+
+    some_nulls = F.array_repeat(F.lit("null"), F.least(nulls, F.lit(3)).cast("int"))
+    problems = (
+        F.when(nulls > 0, listed(some_nulls))
+        .when(F.size("repeats") > 0, listed(F.col("repeats")))
+        .otherwise(said["examples_none"])
     )
 
     def line(metric, shown, note):
         return F.struct(
-            F.lit(metric).alias("metric"), shown.cast("string").alias("value"), note.alias("observation")
+            F.lit(said[metric]).alias("metric"), shown.cast("string").alias("value"), note.alias("observation")
         )
 
+    def note(condition, then, number, otherwise):
+        return F.when(condition, said[then]).otherwise(F.format_string(said[otherwise], number))
+
+    reliable = F.when(examples == said["examples_none"], said["reliable"]).otherwise(said["review"])
+    checked = F.when(F.col("kind") == "string", said["type_text"]).otherwise(said["type_ok"])
     lines = F.array(
-        line("Tipo de dato", F.col("kind"), F.when(F.col("kind") == "string", "Verificar formato de texto").otherwise("Correcto")),
-        line("Valores nulos", nulls, F.when(nulls == 0, "No presenta datos faltantes").otherwise(F.format_string("Presenta %d nulos", nulls))),
-        line("Valores únicos", unique, F.when(unique == F.col("total"), "Cumple unicidad total").otherwise(F.format_string("%d valores únicos", unique))),
-        line("Duplicados", dups, F.when(dups == 0, "Sin duplicados").otherwise(F.format_string("%d duplicados encontrados", dups))),
-        line("Ejemplos de problemas", F.col("examples"), F.when(F.col("examples") == "Ninguno", "Columna confiable").otherwise("Revisar valores")),
+        line("type", F.col("kind"), checked),
+        line("nulls", nulls, note(nulls == 0, "nulls_none", nulls, "nulls_some")),
+        line("unique", unique, note(unique == F.col("total"), "unique_all", unique, "unique_some")),
+        line("dups", dups, note(dups == 0, "dups_none", dups, "dups_some")),
+        line("examples", examples, reliable),
     )
     # One row per column on both sides.
     return (
         totals.join(F.broadcast(repeated), "column", "left")
         .withColumn("kind", kind)
-        .withColumn("examples", examples)
+        .withColumn("examples", problems)
         .select("column", F.inline(lines))
     )

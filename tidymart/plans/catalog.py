@@ -148,10 +148,10 @@ def leading_int(spark, folder):
 
 @query("regex_missing")
 def regex_missing(spark, folder):
-    rows = raw_a(spark, folder)
+    spellings = raw_a(spark, folder).groupBy("NOMBREUPZ", "LOCALIDAD").agg(F.count("*").alias("n"))
     zone = text.regex_missing(F.col("NOMBREUPZ"), ZONE_MISSING_RE)
     place = text.regex_missing(F.col("LOCALIDAD"), PLACE_MISSING_RE)
-    return rows.groupBy(zone.alias("zone"), place.alias("place")).agg(F.count("*").alias("n"))
+    return spellings.groupBy(zone.alias("zone"), place.alias("place")).agg(F.sum("n").alias("n"))
 
 
 # Schema handling -------------------------------------------------------------
@@ -291,19 +291,18 @@ def frequency_share(spark, folder):
     return profile.frequency_share(raw_a(spark, folder), "NOMBREUPZ")
 
 
-def _zones(spark, folder):
-    zone = text.regex_missing(F.col("NOMBREUPZ"), ZONE_MISSING_RE)
-    return raw_a(spark, folder).withColumn("zona", zone)
+def _zone_label(c):
+    return text.regex_missing(c, ZONE_MISSING_RE)
 
 
 @query("frequency_table")
 def frequency_table(spark, folder):
-    return profile.frequency_table(_zones(spark, folder), "zona")
+    return profile.labelled_frequency(raw_a(spark, folder), "NOMBREUPZ", _zone_label)
 
 
 @query("topk_frequency")
 def topk_frequency(spark, folder):
-    return profile.topk_frequency(_zones(spark, folder), "zona", 10)
+    return profile.topk_frequency(raw_a(spark, folder), "NOMBREUPZ", 10, _zone_label)
 
 
 @query("topk_sum")
@@ -608,4 +607,4 @@ def paged_source(spark, folder):
         "offset", F.to_json("answer", {"ignoreNullFields": "false"}).alias("text")
     )
     answers.write.partitionBy("offset").text(path)
-    return paged.read_pages(spark, paged.FolderFetcher(path), PAGE_ROWS)
+    return paged.read_pages(spark, paged.FolderFetcher(path), PAGE_ROWS, table(spark, folder, "customer").columns)

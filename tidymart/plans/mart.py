@@ -8,12 +8,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidymart.contracts import CONSUMPTION, NOTIFICATIONS, RISK_COLUMNS, SITE_PREFIX, SourceSpec
+from tidymart.contracts import (
+    CLASS_COLUMN,
+    CONSUMPTION,
+    KEY,
+    NOTIFICATIONS,
+    RISK_COLUMNS,
+    SITE_PREFIX,
+    SourceSpec,
+)
 from tidymart.operators.merge import merge_qc, merge_sources
+from tidymart.operators.profile import qc_report
 from tidymart.operators.quality import QualitySpec, quality_gate, quality_scorecard
 from tidymart.operators.star import build_dimensions, build_fact, load_stats
 from tidymart.operators.tidy import tidy
-from tidymart.sources.tables import read_star, write_star
+from tidymart.sources.files import write_report
+from tidymart.sources.tables import FACT_TABLE, read_star, write_star
 
 
 @dataclass(frozen=True)
@@ -30,6 +40,8 @@ class Mart:
     tidy_a: DataFrame
     tidy_b: DataFrame
     merged: DataFrame
+    report_a: DataFrame
+    report_b: DataFrame
     match: DataFrame
     scorecard: DataFrame
     gate: DataFrame
@@ -73,20 +85,29 @@ def build_mart(
         "merged",
     )
     scorecard = quality_scorecard(merged, spec.quality)
+    reports = {
+        "report_a": qc_report(tidy_a, KEY),
+        "report_b": qc_report(tidy_b, [*KEY, CLASS_COLUMN]),
+        "match": merge_qc(tidy_a, tidy_b, **clean),
+        "scorecard": scorecard,
+        "gate": quality_gate(scorecard),
+    }
+    reports = {name: stage(report, name) for name, report in reports.items()}
+    for name, report in reports.items():
+        write_report(report, f"{folder}/reports/load={load}/{name}")
+
     dimensions = build_dimensions(merged, existing)
     fact = build_fact(merged, dimensions, spec.site_prefix)
     write_star(fact, dimensions, f"{folder}/star", load)
-    loaded = spark.read.parquet(f"{folder}/star/fact_casos/load={load}")
+    loaded = spark.read.parquet(f"{folder}/star/{FACT_TABLE}/load={load}")
     return Mart(
         tidy_a=tidy_a,
         tidy_b=tidy_b,
         merged=merged,
-        match=merge_qc(tidy_a, tidy_b, **clean),
-        scorecard=scorecard,
-        gate=quality_gate(scorecard),
         fact=loaded,
-        dimensions=read_star(spark, f"{folder}/star")[1],
+        dimensions=read_star(spark, f"{folder}/star", load)[1],
         stats=load_stats(loaded),
+        **reports,
     )
 
 

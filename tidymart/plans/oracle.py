@@ -12,6 +12,7 @@ from tidymart.contracts import (
     MISSING,
     NA_TOKENS,
     PLACE_MISSING_RE,
+    PROFILE_TEXTS,
     QUALITY_NOTES,
     QUALITY_TARGETS,
     SEX_MAP,
@@ -255,7 +256,7 @@ METRICS = {
     ),
     "exactitud": _percent(
         " + ".join(f"count(*) filter ({c} between 0 and 1)" for c in _PCT), f"(count(*) * {len(_PCT)})"
-    ).replace("cast(count(*) filter", "cast(count(*) filter", 1),
+    ),
     "consistencia": (
         f"round_even((0.0::double + {_rule('casos_spa', SITES)} + {_rule('casos_sui', RISKS)})"
         " / 2 * 100 * 100.0::double, 0) / 100.0::double"
@@ -346,25 +347,33 @@ def _pivot() -> str:
 
 
 def _profile() -> str:
+    said = PROFILE_TEXTS
+
+    def some(text, number):
+        head, tail = text.split("%d")
+        return f"'{head}' || {number} || '{tail}'"
+
+    def line(metric, value, note):
+        return f"{{'metric': '{said[metric]}', 'value': {value}, 'observation': {note}}}"
+
     def lines(c, kind):
-        note = "Verificar formato de texto" if kind == "string" else "Correcto"
-        text = f"cast({c} as varchar)"
-        return f"""select '{c}' as \"column\", unnest([
-{{'metric': 'Tipo de dato', 'value': '{kind}', 'observation': '{note}'}},
-{{'metric': 'Valores nulos', 'value': cast(nulls as varchar), 'observation':
-  case when nulls = 0 then 'No presenta datos faltantes' else 'Presenta ' || nulls || ' nulos' end}},
-{{'metric': 'Valores únicos', 'value': cast(uniques as varchar), 'observation':
-  case when uniques = total then 'Cumple unicidad total' else uniques || ' valores únicos' end}},
-{{'metric': 'Duplicados', 'value': cast(dups as varchar), 'observation':
-  case when dups = 0 then 'Sin duplicados' else dups || ' duplicados encontrados' end}},
-{{'metric': 'Ejemplos de problemas', 'value': examples, 'observation':
-  case when examples = 'Ninguno' then 'Columna confiable' else 'Revisar valores' end}}]) as line
+        type_note = said["type_text"] if kind == "string" else said["type_ok"]
+        five = ", ".join(
+            [
+                line("type", f"'{kind}'", f"'{type_note}'"),
+                line("nulls", "cast(nulls as varchar)", f"case when nulls = 0 then '{said['nulls_none']}' else {some(said['nulls_some'], 'nulls')} end"),
+                line("unique", "cast(uniques as varchar)", f"case when uniques = total then '{said['unique_all']}' else {some(said['unique_some'], 'uniques')} end"),
+                line("dups", "cast(dups as varchar)", f"case when dups = 0 then '{said['dups_none']}' else {some(said['dups_some'], 'dups')} end"),
+                line("examples", "examples", f"case when examples = '{said['examples_none']}' then '{said['reliable']}' else '{said['review']}' end"),
+            ]
+        )
+        return f"""select '{c}' as "column", unnest([{five}]) as line
 from (select *, case when nulls > 0 then '[' || array_to_string(list_transform(range(least(nulls, 3)), lambda x: 'null'), ', ') || ']'
-  when repeats is not null then '[' || repeats || ']' else 'Ninguno' end as examples
+  when repeats is not null then '[' || repeats || ']' else '{said['examples_none']}' end as examples
   from (select count(*) as total, count(*) - count({c}) as nulls, count(distinct {c}) as uniques,
     count(*) - count(distinct {c}) - cast(count(*) > count({c}) as int) as dups,
     (select string_agg(v, ', ' order by v) from (select v from (
-      select {text} as v, row_number() over (partition by {c}) as r from merged where {c} is not null)
+      select cast({c} as varchar) as v, row_number() over (partition by {c}) as r from merged where {c} is not null)
       where r > 1 order by v limit 3)) as repeats
   from merged))"""
 
@@ -438,8 +447,6 @@ def _mart() -> str:
     )
 
 
-NORM_KEYS = ", ".join(KEY)
-
 ORACLE: dict[str, str] = {
     "text_fold": f"select doc_id, {_fold('text')} as folded from documents",
     "unify_missing": _tally(RAW_A, "NOMBREUPZ", _missing("NOMBREUPZ")),

@@ -52,12 +52,13 @@ def database_types(df: DataFrame) -> DataFrame:
 
 
 def write_star(fact: DataFrame, dimensions: dict[str, DataFrame], folder: str, load: str) -> None:
-    """Dimensions as whole tables, the fact as one folder per load: repeating a load replaces it."""
+    """One folder per load for each table: repeating a load replaces only what it wrote."""
     for table, dimension in dimensions.items():
-        dimension.write.mode("overwrite").parquet(f"{folder}/{table}")
+        dimension.write.mode("overwrite").parquet(f"{folder}/{table}/load={load}")
     fact.write.mode("overwrite").parquet(f"{folder}/{FACT_TABLE}/load={load}")
 
 
-def read_star(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+def read_star(spark: SparkSession, folder: str, load: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The facts of all loads, and the dimensions as of one load (they keep earlier members)."""
     fact = spark.read.parquet(f"{folder}/{FACT_TABLE}").drop("load")
-    return fact, {t: spark.read.parquet(f"{folder}/{t}") for t in DIMENSIONS}
+    return fact, {t: spark.read.parquet(f"{folder}/{t}/load={load}") for t in DIMENSIONS}
