@@ -129,19 +129,24 @@ def mode_by_group(df: DataFrame, group: str, value: str, weight: Column | None =
     )
 
 
+def _largest_range(values: DataFrame) -> int:
+    sizes = values.groupBy("range").agg(F.count("*").alias("n"))
+    return sizes.agg(F.max("n").alias("n")).first()["n"] or 0
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     pieces: int = 32,
-    rounds: int = 3,
+    sortable: int = 1_000_000,
 ) -> DataFrame:
     """Exact interpolated quantiles: (column, probability, value).
 
-    Values are counted first. Then each round splits the distinct values of a search range at
-    approximate cut points, sees from the counts in which pieces the wanted ranks lie, and goes
-    on with those pieces only. What is put in order at the end is the 1/pieces**rounds part of a
-    column, so no task needs a whole column.
+    Values are counted first. While a search range holds more than ``sortable`` distinct values,
+    a round splits the ranges at approximate cut points, sees from the counts in which pieces the
+    wanted ranks lie, and goes on with those pieces only. So no task puts more than that many
+    values in order, however long the column is.
     """
     names = list(columns)
     wide = df.select(*(F.col(c).cast("double").alias(c) for c in names))
@@ -163,7 +168,8 @@ def quantiles(
         .withColumn("before", F.lit(0).cast("bigint"))
         .select("column", "range", "probability", "position", "rank", "before")
     )
-    for _ in range(rounds):
+    largest = _largest_range(values)
+    while largest > sortable:
         shares = [i / pieces for i in range(1, pieces)]
         cuts = values.groupBy("range").agg(
             F.percentile_approx("value", shares, 100 * pieces).alias("cuts")
@@ -195,6 +201,9 @@ def quantiles(
             ),
             "values",
         )
+        before, largest = largest, _largest_range(values)
+        if largest >= before:  # the cut points did not split it any further
+            break
     ordered = W.partitionBy("range").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     ranked = values.select("range", "value", "n", F.sum("n").over(ordered).alias("upto"))
     hits = ranked.join(F.broadcast(wanted), "range").where(
