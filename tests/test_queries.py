@@ -44,6 +44,8 @@ def canonical(columns, data):
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_its_sql(spark, database, name):
     df = entry.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "CartesianProduct" not in plan
     cursor = database.execute(entry.oracle_sql()[name])
     expected = canonical([d[0] for d in cursor.description], cursor.fetchall())
     assert canonical(df.columns, [tuple(r) for r in df.collect()]) == expected
