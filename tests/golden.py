@@ -75,15 +75,31 @@ def raw_b(spark, folder):
     return _raw(spark, folder, "b.csv", RAW_B)
 
 
+_PATHS = {}
+
+
+def _once(spark, folder, name, make):
+    """The tidy tables are computed once per test run and read from files after that."""
+    if name not in _PATHS:
+        path = str(folder / f"{name}.parquet")
+        make().write.parquet(path)
+        _PATHS[name] = path
+    return spark.read.parquet(_PATHS[name])
+
+
 def tidy_a(spark, folder):
-    return tidy(raw_a(spark, folder), CONSUMPTION)
+    return _once(spark, folder, "tidy_a", lambda: tidy(raw_a(spark, folder), CONSUMPTION))
 
 
 def tidy_b(spark, folder):
-    return tidy(raw_b(spark, folder), NOTIFICATIONS, split_class=True)
+    return _once(
+        spark, folder, "tidy_b", lambda: tidy(raw_b(spark, folder), NOTIFICATIONS, split_class=True)
+    )
 
 
 def merged(spark, folder, **options):
-    return merge_sources(tidy_a(spark, folder), tidy_b(spark, folder), **options)
-
-
+    """The golden merge; the plain one is computed once, too."""
+    a, b = tidy_a(spark, folder), tidy_b(spark, folder)
+    if options:
+        return merge_sources(a, b, **options)
+    return _once(spark, folder, "merged", lambda: merge_sources(a, b))

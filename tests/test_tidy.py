@@ -102,7 +102,9 @@ def test_one_key_with_most_rows(spark):
 
 
 def test_plan_has_no_python_and_sums_before_each_shuffle(spark, tmp_path):
-    for df in (golden.tidy_a(spark, tmp_path), golden.tidy_b(spark, tmp_path)):
+    a = tidy.tidy(golden.raw_a(spark, tmp_path), CONSUMPTION)
+    b = tidy.tidy(golden.raw_b(spark, tmp_path), NOTIFICATIONS, split_class=True)
+    for df in (a, b):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan
         assert plan.count("Exchange hashpartitioning") == 2
