@@ -7,11 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import exact_dedup, secret_scan, sharding
+from llm import exact_dedup, html_text, packing, secret_scan, sharding, toxicity, warc
 from tidymart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
 
 
 def query(name: str, sql: str | None = None):
@@ -88,3 +96,29 @@ from documents window same as (partition by coalesce(text, ''))"""
 def op8_exact_dedup(spark, folder):
     groups = exact_dedup.exact_groups(table(spark, folder, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op5_warc_boundary_chain")
+def op5_warc(spark, folder):
+    archives = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    return warc.read_archives(spark, archives)
+
+
+@query("op7_toxicity_fm")
+def op7_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = toxicity.held_out()
+    model = toxicity.train(docs, table(spark, folder, "labels").filter(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op9_pattern_packing")
+def op9_packing(spark, folder):
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
+
+
+@query("op10_html_text")
+def op10_html_text(spark, folder):
+    return html_text.extract_text(table(spark, folder, "pages"))

@@ -121,7 +121,8 @@ def scan_versions(versions: DataFrame, ledger: str, key="doc_id", text="text", r
     # A second writer may have scanned the same pair.
     known = known.dropDuplicates(["blob", "kind", "version"])
     hits = known.groupBy("blob").agg(F.collect_list(F.struct("kind", "spans")).alias("hits"))
-    joined = listed.join(hits, "blob", "left")
+    # Written, so that the join reads both sides anew and can split a blob with very many paths.
+    joined = listed.join(written(hits, "secret-hits"), "blob", "left")
     return joined.select(F.col("__key").alias(key), "blob", "hits")
 
 

@@ -30,7 +30,6 @@ def mix(x: np.ndarray) -> np.ndarray:
 #: One random number for every byte value, and the step of the position factors.
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_BYTE[_BLANK] = 0
 _powers = np.ones(1, np.uint64)
 
 
@@ -63,9 +62,13 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: For terms of prose: ASCII punctuation and control characters separate words, too.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, starts: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of each word, and the number of words before each text (one more for all)."""
-    inside = ~_BLANK[data]
+    inside = ~blank[data]
     before = np.empty_like(inside)
     before[1:] = inside[:-1]
     after = np.empty_like(inside)
@@ -80,16 +83,20 @@ def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return begin, end, np.searchsorted(begin, starts)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit value of each word, and the number of words before each text (one more for all)."""
-    begin, end, first = word_spans(data, starts)
-    if not len(begin):
-        return np.zeros(0, np.uint64), first
-    return hash_spans(_LOWER[data] if lower else data, begin, end), first
+def lowered(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit value of each lower-cased word, and the number of words before each text (one more for all)."""
+    begin, end, first = word_spans(data, starts, blank)
+    return hash_spans(_LOWER[data], begin, end), first
 
 
 def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit value of the bytes between each begin and end; spans ascend and nothing but blanks lies between."""
+    """64-bit value of the bytes between each begin and end."""
+    if not len(begin):
+        return np.zeros(0, np.uint64)
     length = end - begin
     factors = _position_factors(int(length.max()))
     at = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
