@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import exact_dedup, html_text, packing, secret_scan, sharding, toxicity, warc
+from llm import exact_dedup, html_text, jaccard_join, packing, secret_scan, sharding, toxicity, warc
 from tidymart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,7 +98,20 @@ def op8_exact_dedup(spark, folder):
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-@query("op5_warc_boundary_chain")
+_DIGEST_SQL = "||".join(
+    "(select string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, "
+    f"{1 + 10 * i}, 10))::bigint >> (35 - 5 * k)) & 31) + 1)::int, 1), '' order by k) from range(8) as r(k))"
+    for i in range(4)
+)
+WARC_SQL = f"""
+with digests as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as hex from pages),
+named as (select page_id, payload_bytes, {_DIGEST_SQL} as payload_digest, min(page_id) over (partition by hex) as keeper from digests)
+select page_id, payload_bytes, payload_digest, case when page_id = keeper then 'response' else 'revisit' end as record_type,
+  case when page_id <> keeper then keeper end as refers_to
+from named"""
+
+
+@query("op5_warc_boundary_chain", WARC_SQL)
 def op5_warc(spark, folder):
     archives = scratch_path(spark, "warc")
     warc.write_archives(table(spark, folder, "pages"), archives)
@@ -122,3 +135,9 @@ def op9_packing(spark, folder):
 @query("op10_html_text")
 def op10_html_text(spark, folder):
     return html_text.extract_text(table(spark, folder, "pages"))
+
+
+@query("op1_ngram_jaccard_join")
+def op1_jaccard(spark, folder):
+    found = jaccard_join.linked_components(table(spark, folder, "documents"), jaccard_join.Threshold(n=4, part=85, whole=100))
+    return found.select("doc_id", F.col("size").alias("n_shingles"), "component_id")
