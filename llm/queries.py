@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import exact_dedup, html_text, jaccard_join, packing, secret_scan, sharding, toxicity, warc
+from llm import decontaminate, exact_dedup, html_text, jaccard_join, packing, secret_scan, sharding, toxicity, warc
 from tidymart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,8 @@ def op10_html_text(spark, folder):
 def op1_jaccard(spark, folder):
     found = jaccard_join.linked_components(table(spark, folder, "documents"), jaccard_join.Threshold(n=4, part=85, whole=100))
     return found.select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
+@query("op6_cgk_decontamination")
+def op6_decontamination(spark, folder):
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
