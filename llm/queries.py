@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, exact_dedup, html_text, jaccard_join, packing, secret_scan, sharding, toxicity, warc
+from llm import decontaminate, exact_dedup, html_text, jaccard_join, packing, pitman_yor, secret_scan, sharding, toxicity, warc
+from llm.workers import importable
 from tidymart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,7 +25,11 @@ def tokenizer_path() -> str:
 
 def query(name: str, sql: str | None = None):
     def register(run):
-        QUERIES[name] = run
+        def start(spark: SparkSession, folder: str) -> DataFrame:
+            importable(spark)
+            return run(spark, folder)
+
+        QUERIES[name] = start
         if sql:
             ORACLE[name] = sql
         return run
@@ -146,3 +151,8 @@ def op1_jaccard(spark, folder):
 @query("op6_cgk_decontamination")
 def op6_decontamination(spark, folder):
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op3_pitman_yor")
+def op3_pitman_yor(spark, folder):
+    return pitman_yor.score_texts(table(spark, folder, "documents"))
