@@ -58,15 +58,16 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, id_column="page_
     """
     decided = decide_records(pages, least, id_column, text_column).filter("record_type = 'revisit'")
     revisits = written(decided.select(F.col("page_id").alias("__id"), "refers_to").distinct(), "warc-revisits")
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    rows = pages.join(revisits, pages[id_column] == revisits["__id"], "left")
+    rows = pages.select(F.col(id_column).alias("page"), F.col(url_column).alias("url"), F.coalesce(F.col(text_column), F.lit("")).alias("html"))
+    rows = rows.join(revisits, rows["page"] == revisits["__id"], "left")
+    text = F.col("html")
     revisit = F.col("refers_to").isNotNull()
     payload = F.when(revisit, F.lit("")).otherwise(text)
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
-    url = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(url_column), F.lit("")), "\r", "%0D"), "\n", "%0A")
+    url = F.regexp_replace(F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "\r", "%0D"), "\n", "%0A")
     lines = [
         F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
-        F.concat(F.lit("WARC-Record-ID: "), urn(F.col(id_column))),
+        F.concat(F.lit("WARC-Record-ID: "), urn(F.col("page"))),
         F.concat(F.lit("WARC-Target-URI: "), url),
         F.lit(f"WARC-Date: {_DATE}"),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32_sha1(text.cast("binary"))),
