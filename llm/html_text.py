@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr img".split()
+    "strike strong sub sup time tt u var wbr img script style template noscript".split()
 )
 #: Elements whose text is never part of an article.
 _UNREAD = frozenset(

@@ -100,6 +100,7 @@ def _present_batches(batches, terms: np.ndarray):
 
 def raw_scores(places: np.ndarray, text: np.ndarray, rows: int, model: Model) -> np.ndarray:
     """Bias, weights and pair interactions of the terms that are present, for each of `rows` texts."""
+    places = places.astype(np.int64)  # an empty list has no type
     linear = np.bincount(text, model.weights[places], rows)
     pairs = np.zeros(rows)
     for v in model.factors.T:
