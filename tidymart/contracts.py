@@ -245,6 +245,7 @@ FACT_SCHEMA = _struct(
 
 # The wide table that the stream fills: ids, natural keys and measures side by side.
 FEED_SCHEMA = _struct(
+    ("id_fact", T.LongType(), True),
     ("id_tiempo", T.IntegerType(), True),
     ("anio", T.IntegerType(), True),
     ("id_ubicacion", T.IntegerType(), True),

@@ -8,15 +8,11 @@ from pyspark.sql import functions as F
 from tidymart.functions.text import whitespace
 
 _BLANK = f"[{whitespace()}]*"
-# Plain decimal notation that fits a double (up to 300 digits, or up to 9 digits and an exponent
-# below 300). Spark's own cast would also accept "12d", "NaN" and "0x1p3".
-_NUMBER = (
-    r"[+-]?(?:[0-9]{1,300}(?:\.[0-9]*)?|\.[0-9]+"
-    r"|(?:[0-9]{1,9}(?:\.[0-9]*)?|\.[0-9]+)[eE][+-]?0*[0-2]?[0-9]{1,2})"
-)
-NUMBER_RE = f"^{_BLANK}({_NUMBER}){_BLANK}$"
-WHOLE_RE = rf"^{_BLANK}([+-]?[0-9]+)(?:\.0*)?{_BLANK}$"
-INTEGER_RE = rf"^{_BLANK}([+-]?[0-9]+){_BLANK}$"
+# Decimal notation of any length. Spark's own cast would also accept "12d", "NaN" and "0x1p3".
+_NUMBER = r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+NUMBER_RE = rf"^{_BLANK}({_NUMBER}){_BLANK}\z"
+WHOLE_RE = rf"^{_BLANK}([+-]?[0-9]+)(?:\.0*)?{_BLANK}\z"
+INTEGER_RE = rf"^{_BLANK}([+-]?[0-9]+){_BLANK}\z"
 
 
 def _part(c: Column, pattern: str, kind: str) -> Column:
@@ -25,13 +21,20 @@ def _part(c: Column, pattern: str, kind: str) -> Column:
 
 
 def to_number(c: Column) -> Column:
-    """Text to double; null when it is not a finite number in decimal notation."""
-    return _part(c, NUMBER_RE, "double")
+    """Text to double; null when it is not in decimal notation or too large for a finite double."""
+    value = _part(c, NUMBER_RE, "double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def to_count(c: Column) -> Column:
-    """Text to a whole count, cut toward zero; what is not a number counts as 0."""
-    return F.coalesce(to_number(c).try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Text to a whole count, cut toward zero; what is not a finite number counts as 0.
+
+    A count beyond 64 bits fails the job: it can't be summed, and 0 would hide it.
+    """
+    value = to_number(c)
+    beyond = F.raise_error(F.concat(F.lit("a count beyond 64 bits: "), c.cast("string"))).cast("bigint")
+    cut = F.when(F.abs(value) < 2.0**63, value.cast("bigint")).when(value.isNotNull(), beyond)
+    return F.coalesce(_part(c, WHOLE_RE, "bigint"), cut, F.lit(0).cast("bigint"))
 
 
 def to_year(c: Column) -> Column:

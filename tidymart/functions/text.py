@@ -57,7 +57,7 @@ def _ascii_forms() -> tuple[str, str, dict[str, str]]:
 
 def strip(c: Column) -> Column:
     """Remove white space at both ends; text that starts and ends visibly is left alone at once."""
-    return F.when(c.rlike(r"(?s)^[!-~](.*[!-~])?$"), c).otherwise(F.btrim(c, F.lit(whitespace())))
+    return F.when(c.rlike(r"(?s)^[!-~](.*[!-~])?\z"), c).otherwise(F.btrim(c, F.lit(whitespace())))
 
 
 def lowered(c: Column) -> Column:

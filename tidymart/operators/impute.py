@@ -7,34 +7,23 @@ from pyspark.sql import functions as F
 
 from tidymart.contracts import ZONE_MISSING_RE
 from tidymart.functions import text
-from tidymart.operators.profile import mode_by_group, topk_frequency
+from tidymart.operators.profile import mode_by_group
 from tidymart.session import written
 
 BEFORE, AFTER = "zona_antes", "zona"
 
-# A mode table of at most this size is sent to every executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 
 def _bad(c: Column) -> Column:
     return c.isNull() | text.bad_text(c)
 
 
-def _size(modes: DataFrame) -> int:
-    """Bytes of the two text columns, with 32 bytes per cell on top."""
-    width = F.octet_length("__place") + F.octet_length("mode") + 64
-    return modes.agg(F.sum(width).alias("size")).first()["size"] or 0
-
-
-def impute_mode(
-    df: DataFrame, zone: str, place: str, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def impute_mode(df: DataFrame, zone: str, place: str) -> DataFrame:
     """Fill missing zones with the mode of their place; adds ``zona_antes`` and ``zona``.
 
     The modes are learned from rows where both are known. A missing zone whose place is missing
-    or has no mode becomes null. The mode table is written and measured: up to
-    ``broadcast_bytes`` it is broadcast, beyond that only the rows that need a zone and name a
-    place are shuffled to it.
+    or has no mode becomes null. Zones and places are compared and returned without white space at their ends.
+    Only rows that need a zone and name a place are joined to the mode table; it is a written table, so the
+    planner knows its size and whether these rows must be shuffled. Adaptive execution splits a hot place.
     """
     stripped = {BEFORE: text.strip(F.col(zone)), "__place": text.strip(F.col(place))}
     clean = df.withColumns(stripped)
@@ -42,10 +31,6 @@ def impute_mode(
     pairs = df.groupBy(zone, place).agg(F.count("*").alias("__n")).withColumns(stripped)
     known = pairs.where(~_bad(F.col(BEFORE)) & ~_bad(F.col("__place")))
     modes = written(mode_by_group(known, "__place", BEFORE, F.col("__n")).drop("n"), "modes")
-    if _size(modes) <= broadcast_bytes:
-        zone_now = F.when(_bad(F.col(BEFORE)), F.col("mode")).otherwise(F.col(BEFORE))
-        joined = clean.join(F.broadcast(modes), "__place", "left")
-        return joined.withColumn(AFTER, zone_now).select(*df.columns, BEFORE, AFTER)
     fillable = _bad(F.col(BEFORE)) & ~_bad(F.col("__place"))
     others = clean.where(~fillable).withColumn(
         AFTER, F.when(~_bad(F.col(BEFORE)), F.col(BEFORE))
@@ -79,8 +64,11 @@ def impute_metrics(imputed: DataFrame) -> DataFrame:
 def before_after_topk(imputed: DataFrame, k: int = 10, pattern: str = ZONE_MISSING_RE) -> DataFrame:
     """The k most frequent zones before and after, side by side: (value, antes, despues)."""
 
+    # One pass over the rows; both sides are counted from the pairs of spellings.
+    pairs = written(imputed.groupBy(BEFORE, AFTER).agg(F.count("*").alias("n")), "before-after")
+
     def top(column, label):
-        most = topk_frequency(imputed, column, k, lambda c: text.regex_missing(c, pattern))
-        return most.withColumnRenamed("n", label)
+        labelled = pairs.groupBy(text.regex_missing(F.col(column), pattern).alias("value"))
+        return labelled.agg(F.sum("n").alias(label)).orderBy(F.desc(label), "value").limit(k)
 
     return top(BEFORE, "antes").join(top(AFTER, "despues"), "value", "full_outer")

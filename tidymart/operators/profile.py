@@ -78,8 +78,10 @@ def frequency_table(df: DataFrame, column: str) -> DataFrame:
 
 def frequency_share(df: DataFrame, column: str) -> DataFrame:
     """Frequencies with null as a value, and their share of all rows rounded to 4 digits."""
-    total = df.agg(F.count("*")).scalar()
-    return frequency_table(df, column).withColumn("share", numeric.safe_ratio(F.col("n"), total))
+    # Written, so that the table is read once and not again for the total.
+    counts = written(df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")), "frequencies")
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("share", numeric.safe_ratio(F.col("n"), total)).orderBy(F.desc("n"), "value")
 
 
 def labelled_frequency(df: DataFrame, column: str, label: Callable[[Column], Column]) -> DataFrame:
@@ -134,6 +136,14 @@ def _largest_range(values: DataFrame) -> int:
     return sizes.agg(F.max("n").alias("n")).first()["n"] or 0
 
 
+def counted_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Written table (column, value, n) of the distinct numbers of all columns; null is left out."""
+    names = list(columns)
+    wide = df.select(*(F.col(c).cast("double").alias(c) for c in names))
+    long = wide.unpivot([], names, "column", "value").where("value is not null")
+    return written(long.groupBy("column", "value").agg(F.count("*").alias("n")), "values")
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -141,23 +151,20 @@ def quantiles(
     pieces: int = 32,
     sortable: int = 1_000_000,
 ) -> DataFrame:
-    """Exact interpolated quantiles: (column, probability, value).
+    """Exact interpolated quantiles: (column, probability, value)."""
+    return quantiles_of(counted_values(df, columns), probabilities, pieces, sortable)
 
-    Values are counted first. While a search range holds more than ``sortable`` distinct values,
-    a round splits the ranges at approximate cut points, sees from the counts in which pieces the
-    wanted ranks lie, and goes on with those pieces only. So no task puts more than that many
-    values in order, however long the column is.
+
+def quantiles_of(
+    values: DataFrame, probabilities: Sequence[float], pieces: int = 32, sortable: int = 1_000_000
+) -> DataFrame:
+    """Quantiles of counted values: (column, probability, value).
+
+    A round splits each search range at approximate cut points, sees from the counts in which pieces the
+    wanted ranks lie, and goes on with those pieces only, until every range holds at most ``sortable``
+    distinct values: this is the most that any task puts in order. A range that can't be split fails.
     """
-    names = list(columns)
-    wide = df.select(*(F.col(c).cast("double").alias(c) for c in names))
-    values = written(
-        wide.unpivot([], names, "column", "value")
-        .where("value is not null")
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-        .withColumn("range", F.col("column")),
-        "values",
-    )
+    values = values.withColumn("range", F.col("column"))
     # At most two rows per column and probability: where each wanted rank is looked for.
     wanted = (
         values.groupBy("column", "range")
@@ -202,8 +209,8 @@ def quantiles(
             "values",
         )
         before, largest = largest, _largest_range(values)
-        if largest >= before:  # the cut points did not split it any further
-            break
+        if largest >= before:
+            raise RuntimeError(f"a range of {largest} values could not be split further")
     ordered = W.partitionBy("range").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     ranked = values.select("range", "value", "n", F.sum("n").over(ordered).alias("upto"))
     hits = ranked.join(F.broadcast(wanted), "range").where(
@@ -217,21 +224,28 @@ def quantiles(
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min, quartiles and max per numeric column."""
     names = list(columns)
-    long = df.select(*(F.col(c).cast("double").alias(c) for c in names)).unpivot(
-        [], names, "column", "value"
-    )
-    basics = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    values = counted_values(df, names)
+    sums = values.groupBy("column").agg(
+        F.sum("n").alias("count"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
+    # One row per column; the squares are taken around the mean, so nothing cancels.
+    off = F.col("value") - F.col("mean")
+    squares = values.join(F.broadcast(sums), "column").groupBy("column").agg(F.sum(off * off * F.col("n")).alias("squares"))
+    every = df.sparkSession.createDataFrame([(c,) for c in names], "column string")
+    basics = (
+        every.join(F.broadcast(sums), "column", "left")
+        .join(F.broadcast(squares), "column", "left")
+        .withColumn("count", _or_zero(F.col("count")))
+        .withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))))
+    )
 
     def quartile(p):
         return F.max(F.when(F.col("probability") == p, F.col("value")))
 
-    quartiles = quantiles(df, names, [0.25, 0.5, 0.75]).groupBy("column").agg(
+    quartiles = quantiles_of(values, [0.25, 0.5, 0.75]).groupBy("column").agg(
         quartile(0.25).alias("q25"), quartile(0.5).alias("q50"), quartile(0.75).alias("q75")
     )
     # One row per column on both sides.
@@ -279,13 +293,16 @@ def duplicate_sample(df: DataFrame, key: Sequence[str], columns: Sequence[str],
 
 
 def pivot_sum(
-    df: DataFrame, index: str, column: str, measure: Column, values: Sequence | None = None
+    df: DataFrame, index: str, column: str, measure: Column, values: Sequence
 ) -> DataFrame:
-    """index x column sums: null where no row exists, 0 where rows exist without a number."""
+    """index x column sums: null where no row exists, 0 where rows exist without a number.
+
+    ``values`` names the columns of the result, so no job has to find them first.
+    """
     cell = F.when(F.count(F.lit(1)) > 0, F.coalesce(F.sum(measure), F.lit(0.0)))
     rows = df.where(F.col(index).isNotNull() & F.col(column).isNotNull())
     grouped = rows.groupBy(index, column).agg(cell.alias("__cell"))
-    pivoted = grouped.groupBy(index).pivot(column, None if values is None else list(values))
+    pivoted = grouped.groupBy(index).pivot(column, list(values))
     return pivoted.agg(F.first("__cell", ignorenulls=True))
 
 
@@ -316,7 +333,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     Examples are up to three nulls, else up to three repeated values in value order.
     """
     columns = [c for c in (df.columns if columns is None else columns) if c in df.columns]
-    counts = value_counts(df, columns)
+    counts = written(value_counts(df, columns), "value-counts")  # read twice, counted once
     n, value = F.col("n"), F.col("value")
     totals = counts.groupBy("column").agg(
         F.sum("n").alias("total"),

@@ -34,10 +34,6 @@ def first_existing(df: DataFrame, candidates: Iterable[str]) -> Column | None:
     return next((F.col(c) for c in candidates if c in df.columns), None)
 
 
-def column_or(df: DataFrame, name: str, default) -> Column:
-    return F.col(name) if name in df.columns else F.lit(default)
-
-
 def rename_if_absent(df: DataFrame, old: str, new: str) -> DataFrame:
     if old in df.columns and new not in df.columns:
         return df.withColumnRenamed(old, new)

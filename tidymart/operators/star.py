@@ -164,5 +164,5 @@ def load_stats(fact: DataFrame) -> DataFrame:
 
 
 def new_facts(fact: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Rows whose four keys are not loaded yet: loading the same data twice adds nothing."""
+    """Rows whose four keys are not loaded yet: loading the same data again adds nothing."""
     return fact.join(loaded.select(*FACT_KEYS).distinct(), list(FACT_KEYS), "left_anti")

@@ -41,6 +41,18 @@ def strict_key_filter(
     return df.where(complete_key(key, bad))
 
 
+def pinned(df: DataFrame, columns: dict[str, Column], carried: Sequence[str | Column] = ()) -> DataFrame:
+    """Columns that are computed once per row, and filters on them stay above.
+
+    A projection would let the optimizer move a filter below it and fold every text once for each use in the
+    filter; it does not move one below a generator.
+    """
+    one = F.array(F.struct(*(c.alias(n) for n, c in columns.items())))
+    inlined = df.select(*carried, F.inline(one))
+    names = [c for c in inlined.columns if c not in columns]
+    return inlined.select(*columns, *names)
+
+
 def drop_missing_zone(df: DataFrame, zone: str = "upz") -> DataFrame:
     return df.where(F.col(zone) != MISSING)
 
@@ -70,9 +82,13 @@ def key_columns(spec: SourceSpec, folded: bool = False) -> dict[str, Column]:
 
 
 def label_keys(
-    df: DataFrame, spec: SourceSpec, carried: Sequence[str] = (), split_class: bool = False
+    df: DataFrame,
+    spec: SourceSpec,
+    carried: Sequence[str] = (),
+    split_class: bool = False,
+    pin: bool = False,
 ) -> DataFrame:
-    """Raw key columns to the shared key, next to the ``carried`` columns.
+    """Raw key columns to the shared key, next to the ``carried`` columns (``pin``: see :func:`pinned`).
 
     Text is stripped, folded and labelled in projections of their own, so that each step runs
     once per value although the next one uses its result several times.
@@ -85,6 +101,8 @@ def label_keys(
     columns = key_columns(spec, folded=True)
     if split_class:
         columns[CLASS_COLUMN] = text.label_class(F.col(label), spec.class_map) if label else F.lit(MISSING)
+    if pin:
+        return pinned(folded, columns, carried)
     return folded.select(*(c.alias(n) for n, c in columns.items()), *carried)
 
 
@@ -113,7 +131,7 @@ def tidy_rows(
     rows = df.select(
         *_raw_key(df, spec, split_class), *(c.alias(f"__{n}") for n, c in measures.items())
     )
-    labelled = label_keys(rows, spec, [F.col(f"__{n}").alias(n) for n in measures], split_class)
+    labelled = label_keys(rows, spec, [F.col(f"__{n}").alias(n) for n in measures], split_class, pin=True)
     clean = strict_key_filter(labelled, bad=spec.bad_tokens)
     return drop_missing_zone(clean) if drop_missing else clean
 

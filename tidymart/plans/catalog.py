@@ -14,6 +14,8 @@ from tidymart.functions import numeric, text
 from tidymart.operators import impute, merge, profile, quality, schema, star
 from tidymart.operators import tidy as tidying
 from tidymart.plans.driver_tables import (
+    NUMERIC_COLUMNS,
+    PIVOT_ZONES,
     QUALITY_HERE,
     RISKS_HERE,
     SITE_PREFIX_HERE,
@@ -124,7 +126,8 @@ def yes_flag(spark, folder):
 
 @query("positive_flag")
 def positive_flag(spark, folder):
-    return tally(raw_b(spark, folder), "maltrato_sexual", numeric.positive_flag(F.col("maltrato_sexual")))
+    rows = raw_b(spark, folder).unpivot([], list(RISKS_HERE), "risk", "answer")
+    return tally(rows, "answer", numeric.positive_flag(F.col("answer")))
 
 
 @query("numeric_coerce")
@@ -196,8 +199,7 @@ def fk_orphans(spark, folder):
 
 @query("strict_key_filter")
 def strict_key_filter(spark, folder):
-    rows = raw_a(spark, folder).select(*(c.alias(n) for n, c in tidying.key_columns(SPEC_A).items()))
-    return tidying.strict_key_filter(rows)
+    return tidying.strict_key_filter(tidying.label_keys(raw_a(spark, folder), SPEC_A, pin=True))
 
 
 @query("tidy_weighted")
@@ -220,6 +222,11 @@ def tidy_rows(spark, folder):
     return tidying.tidy_rows(raw_a(spark, folder), SPEC_A)
 
 
+@query("optional_zone_filter")
+def optional_zone_filter(spark, folder):
+    return tidying.tidy_rows(raw_b(spark, folder), SPEC_B, split_class=True, drop_missing=True)
+
+
 # Merge -----------------------------------------------------------------------
 
 for _how in merge.HOW:
@@ -261,7 +268,7 @@ def merge_qc(spark, folder):
 
 @query("null_counts")
 def null_counts(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = table(spark, folder, "documents")
     return profile.null_counts(documents.join(table(spark, folder, "labels"), "doc_id", "left"))
 
 
@@ -283,7 +290,13 @@ def distinct_counts(spark, folder):
 
 @query("distinct_counts_approx")
 def distinct_counts_approx(spark, folder):
-    return profile.distinct_counts_approx(raw_b(spark, folder))
+    """The exact counts, and whether the estimate is within five standard errors of each."""
+    rows, error = raw_b(spark, folder), 0.02
+    estimate = profile.distinct_counts_approx(rows, rsd=error).withColumnRenamed("distinct_values", "estimate")
+    exact = profile.distinct_counts(rows)
+    off = F.abs(F.col("estimate") - F.col("distinct_values"))
+    close = (off <= 5 * error * F.col("distinct_values")).alias("close")
+    return exact.join(estimate, "column").select("column", "distinct_values", close)
 
 
 @query("frequency_share")
@@ -317,8 +330,7 @@ def mode_by_group(spark, folder):
 
 @query("describe_numeric")
 def describe_numeric(spark, folder):
-    columns = ["l_quantity", "l_extendedprice", "l_discount"]
-    described = profile.describe_numeric(table(spark, folder, "lineitem"), columns)
+    described = profile.describe_numeric(table(spark, folder, "lineitem"), NUMERIC_COLUMNS)
     numbers = [c for c in described.columns if c not in ("column", "count")]
     return described.withColumns({c: F.round(c, 4) for c in numbers})
 
@@ -337,7 +349,8 @@ def duplicate_sample(spark, folder):
 
 @query("pivot_sum")
 def pivot_sum(spark, folder):
-    return profile.pivot_sum(raw_a(spark, folder), "ANO", "NOMBREUPZ", numeric.to_number(F.col("CASOS")))
+    cases = numeric.to_number(F.col("CASOS"))
+    return profile.pivot_sum(raw_a(spark, folder), "ANO", "NOMBREUPZ", cases, PIVOT_ZONES)
 
 
 @query("qc_report")
@@ -358,7 +371,7 @@ def column_profile(spark, folder):
 
 @query("distinct_rows")
 def distinct_rows(spark, folder):
-    return raw_b(spark, folder).select("sexo", "ciclovital", "niveleducativo", "clasificacion").distinct()
+    return raw_b(spark, folder).distinct()
 
 
 # Imputation ------------------------------------------------------------------
@@ -465,7 +478,7 @@ def load_stats(spark, folder):
 @query("star_denormalize")
 def star_denormalize(spark, folder):
     _, fact, dimensions = star_tables(spark, folder)
-    return star.denormalize(fact, dimensions)
+    return star.denormalize(star.number_facts(fact, dimensions), dimensions)
 
 
 @query("mart_build")
@@ -482,10 +495,20 @@ def mart_build(spark, folder):
 
 @query("csv_scan")
 def csv_scan(spark, folder):
+    """Columns are wanted in another order than the files have them, and texts hold line breaks."""
     rows = raw_a(spark, folder)
     path = scratch_path(spark, "raw_a_csv")
-    files.write_csv(rows, path)
-    return files.read_csv(spark, path, rows.columns)
+    files.write_csv(rows.select(*sorted(rows.columns)), path)
+    return files.read_csv(spark, path, rows.columns, multiline=True)
+
+
+@query("land_records")
+def land_records(spark, folder):
+    suppliers = table(spark, folder, "supplier")
+    path = scratch_path(spark, "landed")
+    columns = list(reversed(suppliers.columns))
+    files.land(suppliers, path, columns, "csv")
+    return files.read_csv(spark, path, suppliers.columns)
 
 
 def _answers(spark, folder) -> DataFrame:
@@ -510,10 +533,17 @@ def explode_records(spark, folder):
 @query("union_pages")
 def union_pages(spark, folder):
     customers = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+        F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nation"),
+        F.col("c_acctbal").alias("balance"),
+        F.col("c_mktsegment").alias("segment"),
     )
     suppliers = table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")
+        F.col("s_suppkey").alias("id"),
+        F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nation"),
+        F.col("s_acctbal").alias("balance"),
     )
     return files.union_pages([customers, suppliers])
 

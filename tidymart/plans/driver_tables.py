@@ -48,6 +48,19 @@ QUALITY_HERE = QualitySpec(
     years=(1996, 2000),
 )
 
+#: The zones of source A as columns of a pivot, and the numbers of the line items.
+PIVOT_ZONES = ("UPZ SIN ASIGNAR", "UPZ SIN ASIGNAR\t", *(f"Nación_{i}" for i in range(25)))
+NUMERIC_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+)
+
 STAGES_HERE = ("household", "machinery")
 
 
@@ -57,8 +70,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def _located_orders(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    # A fixed list of 25 nations.
-    nation = F.broadcast(table(spark, folder, "nation"))
+    nation = table(spark, folder, "nation")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", *columns)
     customer = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -73,13 +85,18 @@ def raw_a(spark: SparkSession, folder: str) -> DataFrame:
     zone = F.replace("n_name", F.lit("NATION"), F.lit("Nación"))
     return rows.select(
         F.year("o_orderdate").cast("string").alias("ANO"),
-        F.when(key % 11 == 0, "UPZ SIN ASIGNAR").when(key % 13 != 0, zone).alias("NOMBREUPZ"),
+        F.when(key % 22 == 0, "UPZ SIN ASIGNAR\t").when(key % 11 == 0, "UPZ SIN ASIGNAR").when(key % 13 != 0, zone).alias("NOMBREUPZ"),
         F.concat(F.lit("Región "), F.col("n_regionkey").cast("string")).alias("LOCALIDAD"),
-        F.when(status == "F", "Femenino").when(status == "O", "H").otherwise("P").alias("SEXO"),
+        F.when((status == "F") & (key % 3 == 0), "Femenino\r\n").when(status == "F", "Femenino").when(status == "O", "H").otherwise("P").alias("SEXO"),
         F.col("c_mktsegment").alias("CURSO_DE_VIDA"),
         F.col("o_orderpriority").alias("NIVELEDUCATIVO"),
-        F.when(key % 17 == 0, "abc").otherwise((key % 4).cast("string")).alias("CASOS"),
-        F.when(F.col("o_totalprice") > 100000, "Sí").otherwise("No").alias("SITIO_VIVIENDA"),
+        F.when(key % 17 == 0, "abc")
+        .when(key % 19 == 0, "1234567890e1")
+        .when(key % 23 == 0, "1e400")
+        .when(key % 29 == 0, F.concat(F.lit(" "), F.repeat(F.lit("0"), 320), F.lit("2.5e0\n")))
+        .otherwise((key % 4).cast("string"))
+        .alias("CASOS"),
+        F.when((F.col("o_totalprice") > 100000) & (key % 3 == 0), "Sí\n").when(F.col("o_totalprice") > 100000, "Sí").otherwise("No").alias("SITIO_VIVIENDA"),
         F.when(customer % 3 == 0, "X").otherwise("no").alias("SITIO_PARQUE"),
     )
 
@@ -101,7 +118,7 @@ def raw_b(spark: SparkSession, folder: str) -> DataFrame:
     status, flag = F.col("o_orderstatus"), F.col("l_returnflag")
     return rows.select(
         F.year("l_shipdate").cast("string").alias("ano_notificacion"),
-        F.replace("n_name", F.lit("NATION"), F.lit("NACION")).alias("nombre_upz"),
+        F.concat(F.replace("n_name", F.lit("NATION"), F.lit("NACION")), F.when(F.col("l_orderkey") % 5 == 0, "\n").otherwise("")).alias("nombre_upz"),
         F.when(status == "F", "m").when(status == "O", "masculino").otherwise("P").alias("sexo"),
         F.col("c_mktsegment").alias("ciclovital"),
         F.col("o_orderpriority").alias("niveleducativo"),

@@ -20,10 +20,10 @@ from tidymart.contracts import (
 from tidymart.operators.merge import merge_qc, merge_sources
 from tidymart.operators.profile import qc_report
 from tidymart.operators.quality import QualitySpec, quality_gate, quality_scorecard
-from tidymart.operators.star import build_dimensions, build_fact, load_stats
+from tidymart.operators.star import build_dimensions, build_fact, load_stats, new_facts, number_facts
 from tidymart.operators.tidy import tidy
 from tidymart.sources.files import write_report
-from tidymart.sources.tables import FACT_TABLE, read_star, write_star
+from tidymart.sources.tables import FACT_TABLE, loaded_before, read_star, write_star
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,9 @@ def build_mart(
     """Clean, join, score and load; every stage is a Parquet table that the next one reads.
 
     Written stages keep the raw tables from being read again, and give the planner true sizes.
-    Running the same load again replaces its tables.
+    Running the same load again replaces its tables. A load adds to the other loads in the folder: members keep
+    their ids (``existing`` names other ones to start from), facts whose keys are loaded are left out, and the
+    numbers of new facts follow the highest loaded one.
     """
     spark = raw_a.sparkSession
 
@@ -96,9 +98,14 @@ def build_mart(
     for name, report in reports.items():
         write_report(report, f"{folder}/reports/load={load}/{name}")
 
-    dimensions = build_dimensions(merged, existing)
+    loaded, members = loaded_before(spark, f"{folder}/star", load)
+    dimensions = build_dimensions(merged, members if existing is None else existing)
     fact = build_fact(merged, dimensions, spec.site_prefix)
-    write_star(fact, dimensions, f"{folder}/star", load)
+    highest = 0
+    if loaded is not None:
+        fact = new_facts(fact, loaded)
+        highest = loaded.agg(F.max("id_fact")).first()[0] or 0
+    write_star(number_facts(fact, dimensions, highest), dimensions, f"{folder}/star", load)
     loaded = spark.read.parquet(f"{folder}/star/{FACT_TABLE}/load={load}")
     return Mart(
         tidy_a=tidy_a,

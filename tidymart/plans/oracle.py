@@ -9,6 +9,7 @@ from tidymart.contracts import (
     FACT_KEYS,
     FACT_MEASURES,
     KEY,
+    LEVEL_REPLACEMENTS,
     MISSING,
     NA_TOKENS,
     PLACE_MISSING_RE,
@@ -19,6 +20,8 @@ from tidymart.contracts import (
     YES_TOKENS,
     ZONE_MISSING_RE,
 )
+from tidymart.functions.text import whitespace
+from tidymart.plans.driver_tables import NUMERIC_COLUMNS, PIVOT_ZONES
 
 KEYS = ", ".join(KEY)
 SITES = ("SITIO_VIVIENDA", "SITIO_PARQUE")
@@ -30,8 +33,16 @@ def _in(values) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
 
 
+#: Every white-space character of Unicode, as SQL.
+_WHITE = " || ".join(f"chr({ord(w)})" for w in whitespace())
+
+
+def _trim(c: str) -> str:
+    return f"trim({c}, {_WHITE})"
+
+
 def _fold(c: str) -> str:
-    return f"regexp_replace(strip_accents(lower(trim({c}))), '[^\\x00-\\x7F]', '', 'g')"
+    return f"regexp_replace(strip_accents(lower({_trim(c)})), '[^\\x00-\\x7F]', '', 'g')"
 
 
 def _missing(c: str) -> str:
@@ -62,12 +73,7 @@ def _level(c: str, replacements=()) -> str:
     return f"coalesce({out}, '{MISSING}')"
 
 
-LEVELS = (
-    ("tecnico pos secundaria", "tecnico post-secundaria"),
-    ("tecnico post secundaria", "tecnico post-secundaria"),
-    (" completo", " completa"),
-    (" incompleto", " incompleta"),
-)
+LEVELS = LEVEL_REPLACEMENTS
 
 
 def _class(c: str) -> str:
@@ -84,7 +90,8 @@ NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _number(c: str) -> str:
-    return f"case when regexp_matches(trim({c}), '{NUMBER}') then try_cast(trim({c}) as double) end"
+    value = f"try_cast({_trim(c)} as double)"
+    return f"case when regexp_matches({_trim(c)}, '{NUMBER}') and isfinite({value}) then {value} end"
 
 
 def _count(c: str) -> str:
@@ -109,19 +116,21 @@ def _percent(n: str, d: str) -> str:
 
 RAW_A = """raw_a as (
 select cast(year(o_orderdate) as varchar) as ANO,
-  case when o_orderkey % 11 = 0 then 'UPZ SIN ASIGNAR' when o_orderkey % 13 = 0 then null
+  case when o_orderkey % 22 = 0 then 'UPZ SIN ASIGNAR' || chr(9) when o_orderkey % 11 = 0 then 'UPZ SIN ASIGNAR' when o_orderkey % 13 = 0 then null
        else replace(n_name, 'NATION', 'Nación') end as NOMBREUPZ,
   concat('Región ', cast(n_regionkey as varchar)) as LOCALIDAD,
-  case o_orderstatus when 'F' then 'Femenino' when 'O' then 'H' else 'P' end as SEXO,
+  case when o_orderstatus = 'F' and o_orderkey % 3 = 0 then 'Femenino' || chr(13) || chr(10)
+    when o_orderstatus = 'F' then 'Femenino' when o_orderstatus = 'O' then 'H' else 'P' end as SEXO,
   c_mktsegment as CURSO_DE_VIDA, o_orderpriority as NIVELEDUCATIVO,
-  case when o_orderkey % 17 = 0 then 'abc' else cast(o_orderkey % 4 as varchar) end as CASOS,
-  case when o_totalprice > 100000 then 'Sí' else 'No' end as SITIO_VIVIENDA,
+  case when o_orderkey % 17 = 0 then 'abc' when o_orderkey % 19 = 0 then '1234567890e1' when o_orderkey % 23 = 0 then '1e400'
+    when o_orderkey % 29 = 0 then ' ' || repeat('0', 320) || '2.5e0' || chr(10) else cast(o_orderkey % 4 as varchar) end as CASOS,
+  case when o_totalprice > 100000 and o_orderkey % 3 = 0 then 'Sí' || chr(10) when o_totalprice > 100000 then 'Sí' else 'No' end as SITIO_VIVIENDA,
   case when o_custkey % 3 = 0 then 'X' else 'no' end as SITIO_PARQUE
 from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey)"""
 
 RAW_B = """raw_b as (
 select cast(year(l_shipdate) as varchar) as ano_notificacion,
-  replace(n_name, 'NATION', 'NACION') as nombre_upz,
+  replace(n_name, 'NATION', 'NACION') || case when l_orderkey % 5 = 0 then chr(10) else '' end as nombre_upz,
   case o_orderstatus when 'F' then 'm' when 'O' then 'masculino' else 'P' end as sexo,
   c_mktsegment as ciclovital, o_orderpriority as niveleducativo,
   case l_returnflag when 'R' then 'Intento suicida' when 'A' then 'Ideación' else l_returnflag end as clasificacion,
@@ -229,7 +238,7 @@ def _fact_measure(m: str) -> str:
 
 
 FACT = f"""fact as (
-select {', '.join(FACT_KEYS)}, {', '.join(_fact_measure(m) for m in FACT_MEASURES)}, {ORDER6}
+select row_number() over (order by {ORDER6}) as id_fact, {', '.join(FACT_KEYS)}, {', '.join(_fact_measure(m) for m in FACT_MEASURES)}, {ORDER6}
 from merged join dim_tiempo using (anio) join dim_ubicacion using (upz)
   join dim_perfil_demografico using (sexo, ciclo_vida, nivel_educativo)
   join dim_clasificacion using (clasificacion))"""
@@ -311,16 +320,16 @@ def _each(columns, line) -> str:
 
 
 def _zone(c: str, pattern: str = ZONE_MISSING_RE) -> str:
-    t = f"lower(trim({c}))"
+    t = f"lower({_trim(c)})"
     return f"case when {t} is null or regexp_matches({t}, '{pattern}') then '{MISSING}' else {t} end"
 
 
 def _bad(c: str) -> str:
-    return f"coalesce(lower(trim({c})) in {_in(BAD_TOKENS)}, false)"
+    return f"coalesce(lower({_trim(c)}) in {_in(BAD_TOKENS)}, false)"
 
 
 IMPUTED = f"""{RAW_A}, base as (
-  select LOCALIDAD, trim(NOMBREUPZ) as zona_antes, trim(LOCALIDAD) as place from raw_a),
+  select LOCALIDAD, {_trim('NOMBREUPZ')} as zona_antes, {_trim('LOCALIDAD')} as place from raw_a),
 pairs as (select place, zona_antes as z, count(*) as n from base
   where not ({_bad('zona_antes')} or zona_antes is null or {_bad('place')} or place is null) group by all),
 modes as (select place, z as mode from (select *, row_number() over (partition by place order by n desc, z) as r
@@ -341,7 +350,7 @@ def _pivot() -> str:
     cells = ", ".join(
         f"case when count(*) filter (NOMBREUPZ = '{z}') > 0 then "
         f"coalesce(sum({_number('CASOS')}) filter (NOMBREUPZ = '{z}'), 0.0::double) end as \"{z}\""
-        for z in ["UPZ SIN ASIGNAR", *(f"Nación_{i}" for i in range(25))]
+        for z in PIVOT_ZONES
     )
     return f"with {RAW_A} select ANO, {cells} from raw_a where NOMBREUPZ is not null group by ANO"
 
@@ -465,7 +474,11 @@ ORACLE: dict[str, str] = {
         f"select SITIO_PARQUE from raw_a) select answer as source, {_yes('answer')} as result, "
         "count(*) as n from answers group by all"
     ),
-    "positive_flag": _tally(RAW_B, "maltrato_sexual", _positive("maltrato_sexual")),
+    "positive_flag": (
+        f"with {RAW_B}, answers as (select maltrato_sexual as answer from raw_b union all "
+        f"select conflicto_pareja from raw_b) select answer as source, {_positive('answer')} as result, "
+        "count(*) as n from answers group by all"
+    ),
     "numeric_coerce": (
         f"with {RAW_A} select CASOS as source, {_number('CASOS')} as number, "
         f"{_count('CASOS')} as cases, count(*) as n from raw_a group by all"
@@ -514,10 +527,10 @@ ORACLE: dict[str, str] = {
         f"{_merged('inner', ORDER6, 'tidy_a6')} select * from merged"
     ),
     "merge_qc": f"with {AB}, {_MATCH} select *, '{','.join(KEY)}' as key_used from match",
-    "null_counts": "with j as (select d.doc_id, lang, source, n_chars, quality, toxic from documents d "
+    "null_counts": "with j as (select d.doc_id, text, lang, source, n_chars, quality, toxic from documents d "
     "left join labels l on d.doc_id = l.doc_id) "
     + _each(
-        ("doc_id", "lang", "source", "n_chars", "quality", "toxic"),
+        ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"),
         lambda c: f"select '{c}' as column, count(*) - count({c}) as nulls from j",
     ),
     "sentinel_counts": f"with {RAW_A}, {NORM_A} "
@@ -547,7 +560,7 @@ ORACLE: dict[str, str] = {
         "count(*) as n from raw_a where NOMBREUPZ is not null group by all)) where r = 1"
     ),
     "describe_numeric": _each(
-        ("l_quantity", "l_extendedprice", "l_discount"),
+        NUMERIC_COLUMNS,
         lambda c: f"select '{c}' as column, count({c}) as count, round(avg({c}), 4) as mean, "
         f"round(stddev_samp({c}), 4) as std, round(min({c}), 4) as min, "
         + ", ".join(f"round(quantile_cont({c}, {q / 100}), 4) as q{q}" for q in (25, 50, 75))
@@ -571,7 +584,15 @@ ORACLE: dict[str, str] = {
         + " from sized"
     ),
     "column_profile": _profile(),
-    "distinct_rows": f"with {RAW_B} select distinct sexo, ciclovital, niveleducativo, clasificacion from raw_b",
+    "distinct_rows": f"with {RAW_B} select distinct * from raw_b",
+    "distinct_counts_approx": f"with {RAW_B} "
+    + _each(RAW_B_COLUMNS, lambda c: f"select '{c}' as column, count(distinct {c}) as distinct_values, true as close from raw_b"),
+    "optional_zone_filter": (
+        f"with {RAW_B}, {NORM_B} select {KEYS}, clasificacion, 1::bigint as casos, maltrato_sexual, conflicto_pareja "
+        f"from norm_b where {CLEAN} and upz <> '{MISSING}'"
+    ),
+    "land_records": "select cast(s_suppkey as varchar) as s_suppkey, s_name, cast(s_nationkey as varchar) as s_nationkey, "
+    "cast(s_acctbal as varchar) as s_acctbal from supplier",
     "impute_mode": f"with {IMPUTED} select LOCALIDAD, zona_antes, zona, count(*) as n from imputed group by all",
     "impute_metrics": (
         f"with {IMPUTED} select count(*) filter ({_bad('zona_antes')}) as antes_sin_dato, "
@@ -604,11 +625,11 @@ ORACLE: dict[str, str] = {
     "dim_incremental": _incremental(),
     "fact_build": f"with {STAR} select {FACT_COLUMNS} from fact",
     "fact_numbered": (
-        f"with {STAR} select row_number() over (order by {ORDER6}) as id_fact, {', '.join(FACT_KEYS)}, "
+        f"with {STAR} select id_fact, {', '.join(FACT_KEYS)}, "
         "casos_spa, casos_sui from fact"
     ),
     "load_stats": f"with {STAR} {_STATS}",
-    "star_denormalize": f"with {STAR} select {WIDE} from fact",
+    "star_denormalize": f"with {STAR} select id_fact, {WIDE} from fact",
     "mart_build": _mart(),
     "csv_scan": f"with {RAW_A} select "
     + ", ".join(f"case when {c} not in {_in(NA_TOKENS)} then {c} end as {c}" for c in RAW_A_COLUMNS)
@@ -622,11 +643,11 @@ ORACLE: dict[str, str] = {
         "cast(c_acctbal as varchar) as c_acctbal, c_mktsegment from customer"
     ),
     "union_pages": (
-        "select c_custkey as id, c_name as name, c_mktsegment as segment from customer "
-        "union all select s_suppkey, s_name, null from supplier"
+        "select c_custkey as id, c_name as name, c_nationkey as nation, c_acctbal as balance, c_mktsegment as segment "
+        "from customer union all select s_suppkey, s_name, s_nationkey, s_acctbal, null from supplier"
     ),
-    "to_json_feed": f"with {STAR} select {WIDE} from fact",
-    "stream_filter": f"with {STAR} select {WIDE} from fact where ciclo_vida in ('household', 'machinery')",
+    "to_json_feed": f"with {STAR} select id_fact, {WIDE} from fact",
+    "stream_filter": f"with {STAR} select id_fact, {WIDE} from fact where ciclo_vida in ('household', 'machinery')",
     "stream_events": (
         f"with {EVENT_LINES} select n as event_id, event_type, cast(n % 100 as int) as amount "
         f"from lines where {_WANTED} and n % 11 <> 0"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidymart.contracts import NA_TOKENS, all_string
+from tidymart.operators.schema import require_columns
 
 # Doubled quotes inside quoted text, and no trimming of what is inside the cells.
 _CSV = {
@@ -35,14 +36,19 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
 def read_csv(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, multiline: bool = False
 ) -> DataFrame:
-    """CSV with a header, every column as text, not-available tokens as null.
+    """CSV with a header, every column as text, not-available tokens as null; columns by their names.
 
-    ``multiline`` allows line breaks inside quotes, at the price of one task per file.
+    ``columns`` are wanted in this order, whatever the order in the files; one that is missing fails.
+    All files must have the same header. A record with more or fewer cells than the header fails the job, so a
+    quoted line break is an error and not two rows; ``multiline`` allows it, at the price of one
+    task per file (a table of one column needs it whenever its texts can hold line breaks).
     """
-    reader = spark.read.options(**_CSV, multiLine=multiline)
+    strict = {"mode": "FAILFAST", "enforceSchema": False, "columnPruning": False}
+    rows = spark.read.options(**_CSV, **strict, multiLine=multiline).csv(path)
     if columns is not None:
-        reader = reader.schema(all_string(columns))
-    return null_tokens(reader.csv(path))
+        require_columns(rows, columns)
+        rows = rows.select(*columns)
+    return null_tokens(rows)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

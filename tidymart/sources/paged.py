@@ -52,8 +52,10 @@ class FolderFetcher:
     def __call__(self, offset: int, limit: int) -> dict:
         store, base = fs.FileSystem.from_uri(self.folder)
         files = store.get_file_info(fs.FileSelector(f"{base}/offset={offset}"))
-        page = next(f.path for f in files if f.base_name.startswith("part-"))
-        with store.open_input_stream(page, compression=None) as answer:
+        parts = [f.path for f in files if f.base_name.startswith("part-")]
+        if len(parts) != 1:
+            raise RuntimeError(f"{len(parts)} saved answers for offset {offset}, one is expected")
+        with store.open_input_stream(parts[0], compression=None) as answer:
             return json.loads(answer.read().decode("utf-8"))
 
 
@@ -65,20 +67,37 @@ def checked(answer: dict) -> dict:
 
 @dataclass
 class Page(InputPartition):
+    """Where a page begins, how many records it must have, and those that are known already."""
+
     offset: int
+    expected: int
+    records: list
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, fetch: Fetch, limit: int, columns: list[str]):
-        self.fetch, self.limit, self.columns = fetch, limit, columns
+    def __init__(self, fetch: Fetch, limit: int, columns: list[str], first: dict | None = None):
+        self.fetch, self.limit, self.columns, self.first = fetch, limit, columns, first
 
     def partitions(self) -> list[Page]:
-        """The first answer tells the total, and with it the offset of every page."""
-        total = int(checked(self.fetch(0, self.limit)).get("total") or 0)
-        return [Page(offset) for offset in range(0, max(total, 1), self.limit)]
+        """The first answer tells the total, and with it every page; its records are not fetched again."""
+        first = self.first if self.first is not None else checked(self.fetch(0, self.limit))
+        records = first.get("records") or []
+        total = int(first.get("total") or len(records))
+        pages = [Page(o, min(self.limit, total - o), []) for o in range(0, total, self.limit)]
+        if pages:
+            pages[0].records = records
+        return pages
 
     def read(self, partition: Page) -> Iterator[pa.RecordBatch]:
-        records = checked(self.fetch(partition.offset, self.limit)).get("records") or []
+        """All records of a page: where a server answers with fewer, it is asked for the rest."""
+        records = list(partition.records)
+        while len(records) < partition.expected:
+            start = partition.offset + len(records)
+            more = checked(self.fetch(start, partition.expected - len(records))).get("records") or []
+            if not more:
+                raise RuntimeError(f"no records from offset {start}, but the total promises more")
+            records += more
+        records = records[: partition.expected]
         if records:
             cells = [
                 pa.array([None if r.get(c) is None else str(r[c]) for r in records], pa.string())
@@ -87,8 +106,11 @@ class PagedReader(DataSourceReader):
             yield pa.RecordBatch.from_arrays(cells, names=self.columns)
 
 
-def paged_source(fetch: Fetch, name: str = "paged_records") -> type[DataSource]:
-    """A data source that reads through ``fetch(offset, limit)``; the option ``limit`` is the page size."""
+def paged_source(fetch: Fetch, name: str = "paged_records", first: dict | None = None) -> type[DataSource]:
+    """A data source that reads through ``fetch(offset, limit)``; the option ``limit`` is the page size.
+
+    ``first`` is the checked answer for the first page where it is known already.
+    """
 
     class PagedSource(DataSource):
         @classmethod
@@ -100,18 +122,19 @@ def paged_source(fetch: Fetch, name: str = "paged_records") -> type[DataSource]:
 
         def schema(self) -> StructType:
             """Columns of the first record, all text."""
-            records = checked(fetch(0, self._limit())).get("records") or []
+            answer = first if first is not None else checked(fetch(0, self._limit()))
+            records = answer.get("records") or []
             return all_string(records[0] if records else [])
 
         def reader(self, schema: StructType) -> DataSourceReader:
-            return PagedReader(fetch, self._limit(), schema.fieldNames())
+            return PagedReader(fetch, self._limit(), schema.fieldNames(), first)
 
     return PagedSource
 
 
 def read_pages(spark: SparkSession, fetch: Fetch, limit: int = PAGE_SIZE, columns=None):
-    """Every record of every page; each page is fetched by its own task."""
-    source = paged_source(fetch)
+    """Every record of every page; each page is fetched by its own task, the first one here and once."""
+    source = paged_source(fetch, first=checked(fetch(0, limit)))
     spark.dataSource.register(source)
     reader = spark.read.format(source.name()).option("limit", limit)
     if columns is not None:

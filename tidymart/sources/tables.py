@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tidymart.contracts import DIMENSIONS, LOAD_BATCH_ROWS
 
@@ -58,6 +59,18 @@ def write_star(fact: DataFrame, dimensions: dict[str, DataFrame], folder: str, l
     fact.write.mode("overwrite").parquet(f"{folder}/{FACT_TABLE}/load={load}")
 
 
+def loaded_before(spark: SparkSession, folder: str, load: str) -> tuple[DataFrame | None, dict[str, DataFrame]]:
+    """The facts and dimension members of all other loads; None and no dimension when there is none."""
+    try:
+        fact = spark.read.parquet(f"{folder}/{FACT_TABLE}").where(F.col("load") != load).drop("load")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return None, {}
+    members = {t: spark.read.parquet(f"{folder}/{t}").where(F.col("load") != load).drop("load").distinct() for t in DIMENSIONS}
+    return fact, members
+
+
 def read_star(spark: SparkSession, folder: str, load: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The facts of all loads, and the dimensions as of one load (they keep earlier members)."""
     fact = spark.read.parquet(f"{folder}/{FACT_TABLE}").drop("load")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from tidymart.contracts import FEED_SCHEMA, STREAM_STAGES
 
@@ -69,6 +70,24 @@ def set_aside(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("outcome").isin(MISSING_FIELD, REJECTED)).select("value", "outcome", "reason")
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def _not_stored(good: DataFrame, table: str, own: str, key: list[str]) -> DataFrame:
+    """The records whose key no other batch has stored; what an earlier attempt of this batch stored doesn't count."""
+    spark = good.sparkSession
+    try:
+        before = spark.read.option("mergeSchema", False).schema(good.schema).parquet(table)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return good
+    known = before.where(~F.col("_metadata.file_path").contains(f"/{own}/")).select(*key).distinct()
+    return good.join(known, key, "left_anti")
+
+
 def consume(
     feed: DataFrame,
     table: str,
@@ -82,17 +101,23 @@ def consume(
 ) -> StreamingQuery:
     """Start the job. Each micro-batch overwrites its own folder, so a repeated batch adds nothing.
 
-    ``unique_by`` drops repeated records inside a micro-batch.
+    The folder is named after the query, whose id lives in the checkpoint, and the batch: a job with a new
+    checkpoint counts its batches from 0 again, but adds to what other jobs have stored.
+
+    ``unique_by`` drops records whose key is stored already, by this job or another on the same table. Each
+    batch reads the key columns of the stored table for it; there is no state besides the table. Records
+    with a null in the key are repeated only if they come again in another batch.
     """
 
     def write(batch: DataFrame, number: int) -> None:
+        own = f"query={_query_id(batch.sparkSession, checkpoint)}/batch={number}"
         batch = batch.persist()
         try:
             good = stored(batch)
             if unique_by:
-                good = good.dropDuplicates(list(unique_by))
-            good.write.mode("overwrite").parquet(f"{table}/batch={number}")
-            set_aside(batch).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+                good = _not_stored(good.dropDuplicates(list(unique_by)), table, own, list(unique_by))
+            good.write.mode("overwrite").parquet(f"{table}/{own}")
+            set_aside(batch).write.mode("overwrite").parquet(f"{rejects}/{own}")
         finally:
             batch.unpersist()
         log.info("batch %d written", number)
