@@ -23,9 +23,16 @@ EXPECTED = sorted(
 )
 
 
-@pytest.mark.parametrize("limit", [impute.BROADCAST_BYTES, 0])
-def test_broadcast_and_shuffled_lookup_agree(raw, limit):
-    out = impute.impute_mode(raw, "upz", "loc", limit)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_broadcast_and_shuffled_lookup_agree(spark, raw, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        check_imputed(impute.impute_mode(raw, "upz", "loc"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def check_imputed(out):
     assert out.columns == ["loc", "upz", impute.BEFORE, impute.AFTER]
     assert sorted([(r["loc"], r[impute.AFTER]) for r in out.collect()], key=str) == EXPECTED
 

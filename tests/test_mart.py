@@ -18,11 +18,14 @@ def test_whole_job_and_a_second_load(spark, tmp_path):
     second = build_mart(a, b, folder, "2", spec, known)
     assert rows(second.dimensions["dim_tiempo"]) == [(1, 2021), (2, 2020)]
     assert rows(second.dimensions["dim_ubicacion"]) == [(1, "suba"), (2, "engativa")]
-    assert read_star(spark, f"{folder}/star", "2")[0].count() == 5
+    # The fact of the first load is left out of the second, and numbers go on.
+    facts = read_star(spark, f"{folder}/star", "2")[0]
+    assert sorted(r.id_fact for r in facts.collect()) == [1, 2, 3, 4]
+    assert rows(second.stats)[0][0] == 3
     summary = {(r.stage, r.metric): r.value for r in mart_summary(second).collect()}
     assert summary[("merge", "rows_merged")] == 4.0
     assert summary[("quality", "completitud")] == 96.88
-    assert summary[("load", "dimensiones_perfil")] == 3.0
+    assert summary[("load", "dimensiones_perfil")] == 2.0
 
     report = next((tmp_path / "mart" / "reports" / "load=2" / "report_b").glob("*.json"))
     assert json.loads(report.read_text()) == {
@@ -35,5 +38,9 @@ def test_whole_job_and_a_second_load(spark, tmp_path):
     # Running the load again replaces its tables.
     loaded = rows(second.fact)
     again = build_mart(a, b, folder, "2", spec, known)
-    assert read_star(spark, f"{folder}/star", "2")[0].count() == 5
+    assert read_star(spark, f"{folder}/star", "2")[0].count() == 4
     assert rows(again.fact) == loaded
+    # Loaded members are known by default, and a third load of the same data adds nothing.
+    third = build_mart(a, b, folder, "3", spec)
+    assert rows(third.dimensions["dim_tiempo"]) == [(1, 2021), (2, 2020)]
+    assert third.fact.count() == 0 and read_star(spark, f"{folder}/star", "3")[0].count() == 4

@@ -107,7 +107,7 @@ def test_pivot_tells_no_rows_from_no_numbers(spark):
         [("2020", "a", "1"), ("2020", "a", "2"), ("2020", "b", "x"), ("2021", "b", "4"), (None, "a", "1"), ("2021", None, "1")],
         "y string, z string, v string",
     )
-    out = profile.pivot_sum(df, "y", "z", F.col("v").try_cast("double"))
+    out = profile.pivot_sum(df, "y", "z", F.col("v").try_cast("double"), ["a", "b"])
     assert rows(out, "y", "a", "b") == [("2020", 3.0, 0.0), ("2021", None, 4.0)]
 
 

@@ -27,6 +27,49 @@ def test_csv_with_line_breaks(spark, tmp_path):
     assert rows(files.read_csv(spark, str(path), multiline=True)) == [("one\ntwo", "2")]
 
 
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,a\n1,2\n")
+    assert rows(files.read_csv(spark, str(tmp_path / "a.csv"), ["a", "b"]), "a", "b") == [("2", "1")]
+    with pytest.raises(Exception, match="c"):
+        files.read_csv(spark, str(tmp_path / "a.csv"), ["a", "c"])
+
+
+@pytest.mark.parametrize("text", ['a,b\n"x\ny",2\n', 'a,b\n1,"x\ny"\n', "a,b\n1\n", "a,b\n1,2,3\n"])
+def test_a_broken_record_is_never_returned(spark, tmp_path, text):
+    (tmp_path / "a.csv").write_text(text)
+    with pytest.raises(Exception):
+        files.read_csv(spark, str(tmp_path / "a.csv"), ["a", "b"]).collect()
+    if '"' in text:
+        assert files.read_csv(spark, str(tmp_path / "a.csv"), ["a", "b"], multiline=True).count() == 1
+
+
+def test_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, str(tmp_path), ["a", "b"]).collect()
+
+
+def test_short_pages_are_completed_and_missing_ones_fail(spark):
+    def short(offset, size):
+        return {"success": True, "result": {"records": [{"a": i} for i in range(offset, min(25, offset + 4))], "total": 25}}
+
+    def cut(offset, size):
+        return {"success": True, "result": {"records": [{"a": i} for i in range(offset, min(7, offset + size))], "total": 25}}
+
+    assert sorted(int(r.a) for r in paged.read_pages(spark, short, 10).collect()) == list(range(25))
+    with pytest.raises(Exception, match="no records from offset"):
+        paged.read_pages(spark, cut, 10).collect()
+
+
+def test_one_saved_answer_per_page(tmp_path):
+    (tmp_path / "offset=0").mkdir()
+    for name in ("part-0", "part-1"):
+        (tmp_path / "offset=0" / name).write_text('{"success": true}')
+    with pytest.raises(RuntimeError, match="2 saved answers"):
+        paged.FolderFetcher(str(tmp_path))(0, 10)
+
+
 def pages(total, limit, success=True):
     records = [{"_id": i, "zona": None if i % 3 == 0 else f"z{i}"} for i in range(total)]
 

@@ -1,5 +1,6 @@
 import golden
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidymart.contracts import FEED_SCHEMA
@@ -66,14 +67,40 @@ def test_restart_adds_only_what_is_new(spark, tmp_path):
     assert rows(stored, "id_fact") == [(1,), (9,)]
 
 
+def test_jobs_with_other_checkpoints_keep_each_others_rows(spark, tmp_path):
+    add(tmp_path, "1.txt", LINES)
+    run(spark, tmp_path)
+    for state, unique, expected in (("state2", [], [1, 1]), ("state3", ["id_fact"], [1, 1])):
+        source = feed.read_feed(spark, "text", {}, str(tmp_path / "in"))
+        paths = [str(tmp_path / n) for n in ("table", "rejects", state)]
+        feed.consume(source, *paths, schema=SCHEMA, unique_by=unique).awaitTermination()
+        stored = feed.stored_table(spark, paths[0], SCHEMA)
+        assert sorted(r.id_fact for r in stored.collect()) == expected
+
+
+def test_a_feed_that_is_published_again_adds_nothing(spark, tmp_path):
+    merged = golden.merged(spark, tmp_path)
+    dims = star.build_dimensions(merged)
+    wide = star.denormalize(star.number_facts(star.build_fact(merged, dims), dims), dims)
+    paths = [str(tmp_path / n) for n in ("table", "rejects", "state")]
+    for _ in range(2):
+        files.publish(wide, "text", {}, str(tmp_path / "in"))
+        source = feed.read_feed(spark, "text", {}, str(tmp_path / "in"))
+        feed.consume(source, *paths, unique_by=["id_fact"]).awaitTermination()
+    out = feed.stored_table(spark, paths[0])
+    assert sorted(r.id_fact for r in out.collect()) == sorted(
+        r.id_fact for r in wide.where(F.col("ciclo_vida").isin("adolescencia", "juventud")).collect()
+    )
+
+
 def test_published_star_goes_through_the_stream(spark, tmp_path):
     merged = golden.merged(spark, tmp_path)
     dims = star.build_dimensions(merged)
-    wide = star.denormalize(star.build_fact(merged, dims), dims)
+    wide = star.denormalize(star.number_facts(star.build_fact(merged, dims), dims), dims)
     files.publish(wide, "text", {}, str(tmp_path / "in"))
     source = feed.read_feed(spark, "text", {}, str(tmp_path / "in"))
     paths = [str(tmp_path / n) for n in ("table", "rejects", "state")]
     feed.consume(source, *paths).awaitTermination()
     out = feed.stored_table(spark, paths[0])
-    assert out.columns == FEED_SCHEMA.fieldNames() and len(out.columns) == 42
+    assert out.columns == FEED_SCHEMA.fieldNames() and len(out.columns) == 43
     assert rows(out, "ciclo_vida", "casos_sui") == [("adolescencia", 1), ("adolescencia", 2), ("juventud", 1)]

@@ -39,6 +39,15 @@ def test_fold_strips_all_white_space_and_only_at_the_ends(spark):
     assert apply(spark, text.fold, values) == [expected_fold(v) for v in values]
 
 
+def test_line_ends_at_the_end_alone_are_stripped(spark):
+    ends = ["\n", "\r\n", "\r", "\u2028", "\x85", "\n\n"]
+    assert apply(spark, text.fold, [f"Femenino{e}" for e in ends]) == ["femenino"] * len(ends)
+    assert apply(spark, text.standardize_sex, [f"Femenino{e}" for e in ends]) == ["mujer"] * len(ends)
+    assert apply(spark, text.unify_missing, [f"sin dato{e}" for e in ends]) == ["sin dato"] * len(ends)
+    assert apply(spark, text.yes_flag, [f"Si{e}" for e in ends]) == [1] * len(ends)
+    assert apply(spark, lambda c: text.regex_missing(c, ZONE_MISSING_RE), [f"Suba{e}" for e in ends]) == ["suba"] * len(ends)
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"], exclude_characters="\x00")), max_size=300))
 def test_fold_of_any_text(spark, values):

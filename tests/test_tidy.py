@@ -126,3 +126,16 @@ def test_contract_checks(spark):
     assert rows(schema.unique_violations(fact, ["a"])) == [(1, 2)]
     assert rows(schema.fk_orphans(fact, dim, "b")) == [(3, 1)]
     assert schema.select_rename(fact, {"a": "x", "zz": "y"}, ["a"]).columns == ["x"]
+
+
+def test_texts_are_folded_once_and_below_no_filter(spark):
+    """The optimizer must not move the filter on folded keys below their projection."""
+    raw = spark.createDataFrame([tuple("x" * 9)], "ANO string, NOMBREUPZ string, SEXO string, CURSO_DE_VIDA string, NIVELEDUCATIVO string, CASOS string, SITIO_VIVIENDA string, SITIO_PARQUE string, LOCALIDAD string")
+    for df, folds in (
+        (tidy.tidy_rows(raw, SPEC_A), 6),
+        (tidy.strict_key_filter(tidy.label_keys(raw, SPEC_A, pin=True)), 4),
+        (tidy.tidy(raw, SPEC_A), 6),
+    ):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("translate(") == folds
+        assert not any("translate(" in line for line in plan.splitlines() if "Filter" in line)

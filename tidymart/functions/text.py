@@ -174,8 +174,12 @@ def classify(c: Column, table: Mapping[str, str] = CLASS_MAP) -> Column:
     return label_class(fold(c), table)
 
 
+def label_yes(folded: Column) -> Column:
+    return F.coalesce(folded.isin(*YES_TOKENS), F.lit(False)).cast("int")
+
+
 def yes_flag(c: Column) -> Column:
-    return F.coalesce(fold(c).isin(*YES_TOKENS), F.lit(False)).cast("int")
+    return label_yes(fold(c))
 
 
 def regex_missing(c: Column, pattern: str) -> Column:

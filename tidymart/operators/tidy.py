@@ -81,6 +81,13 @@ def key_columns(spec: SourceSpec, folded: bool = False) -> dict[str, Column]:
     }
 
 
+def fold_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns folded in projections of their own, so that each step runs once per value."""
+    for step in (text.lowered, text.map_letters, text.drop_other):
+        df = df.withColumns({c: step(F.col(c)) for c in columns})
+    return df
+
+
 def label_keys(
     df: DataFrame,
     spec: SourceSpec,
@@ -95,9 +102,7 @@ def label_keys(
     """
     label = class_column(df, spec) if split_class else None
     texts = [raw for raw, new in spec.rename.items() if new in TEXT_KEY] + ([label] if label else [])
-    folded = df
-    for step in (text.lowered, text.map_letters, text.drop_other):
-        folded = folded.withColumns({c: step(F.col(c)) for c in texts})
+    folded = fold_columns(df, texts)
     columns = key_columns(spec, folded=True)
     if split_class:
         columns[CLASS_COLUMN] = text.label_class(F.col(label), spec.class_map) if label else F.lit(MISSING)
@@ -106,11 +111,12 @@ def label_keys(
     return folded.select(*(c.alias(n) for n, c in columns.items()), *carried)
 
 
-def flag_columns(df: DataFrame, spec: SourceSpec) -> dict[str, Column]:
+def with_flags(df: DataFrame, spec: SourceSpec) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows with the texts of their flags folded, and the 0/1 flags from them."""
     if spec.flag_prefix:
         sites = columns_with_prefix(df, spec.flag_prefix, ignore_case=True)
-        return {c: text.yes_flag(F.col(c)) for c in sites}
-    return {c: numeric.positive_flag(F.col(c)) for c in present_columns(df, spec.flag_columns)}
+        return fold_columns(df, sites), {c: text.label_yes(F.col(c)) for c in sites}
+    return df, {c: numeric.positive_flag(F.col(c)) for c in present_columns(df, spec.flag_columns)}
 
 
 def _cases(spec: SourceSpec) -> Column:
@@ -127,8 +133,9 @@ def tidy_rows(
 ) -> DataFrame:
     """One clean row per raw record: key, cases, 0/1 flags and (optionally) the class."""
     require_columns(df, spec.required)
-    measures = {CASES: _cases(spec), **flag_columns(df, spec)}
-    rows = df.select(
+    flagged, flags = with_flags(df, spec)
+    measures = {CASES: _cases(spec), **flags}
+    rows = flagged.select(
         *_raw_key(df, spec, split_class), *(c.alias(f"__{n}") for n, c in measures.items())
     )
     labelled = label_keys(rows, spec, [F.col(f"__{n}").alias(n) for n in measures], split_class, pin=True)
@@ -148,9 +155,9 @@ def tidy(
     count, because a filter on the key alone would be moved down and fold every raw row.
     """
     require_columns(df, spec.required)
-    flags = flag_columns(df, spec)
+    flagged, flags = with_flags(df, spec)
     names = [CASES, *flags]
-    measured = df.select(
+    measured = flagged.select(
         *_raw_key(df, spec, split_class),
         _cases(spec).alias(f"__{CASES}"),
         *(c.alias(f"__{n}") for n, c in flags.items()),

@@ -83,9 +83,8 @@ class PagedReader(DataSourceReader):
         first = self.first if self.first is not None else checked(self.fetch(0, self.limit))
         records = first.get("records") or []
         total = int(first.get("total") or len(records))
-        pages = [Page(o, min(self.limit, total - o), []) for o in range(0, total, self.limit)]
-        if pages:
-            pages[0].records = records
+        pages = [Page(o, min(self.limit, total - o), []) for o in range(0, max(total, 1), self.limit)]
+        pages[0].records = records
         return pages
 
     def read(self, partition: Page) -> Iterator[pa.RecordBatch]:
@@ -93,7 +92,7 @@ class PagedReader(DataSourceReader):
         records = list(partition.records)
         while len(records) < partition.expected:
             start = partition.offset + len(records)
-            more = checked(self.fetch(start, partition.expected - len(records))).get("records") or []
+            more = checked(self.fetch(start, self.limit)).get("records") or []
             if not more:
                 raise RuntimeError(f"no records from offset {start}, but the total promises more")
             records += more
