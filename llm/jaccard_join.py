@@ -11,7 +11,7 @@ documents share a key, while documents that have merely a passage in common do n
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -27,7 +27,10 @@ from tidymart.session import written
 #: Keys that a map task combines at once, and runs that one trie holds at most (a larger set has its own).
 KEYS_AT_ONCE = 2_000_000
 RUNS_IN_TRIE = 2_000_000
-_EARLY = 32
+#: Buckets of runs whose texts are counted, to tell frequent runs; the flags that are broadcast take 128 KB.
+BUCKETS = 1 << 20
+_BUCKET_SHIFT = np.uint64(44)
+_SLICES = 16
 
 
 @dataclass(frozen=True)
@@ -46,10 +49,16 @@ class Threshold:
 
 
 class Scheme:
-    """Size classes and the segments for each: sizes of linked sets are in the same class or in neighbouring ones."""
+    """Size classes and the segments for each: sizes of linked sets are in the same class or in neighbouring ones.
 
-    def __init__(self, threshold: Threshold):
+    `frequent` flags buckets of runs that very many texts hold. A segment without any other run is weak: it
+    tells little. A set with few weak segments agrees with its partners in one that isn't, so its weak ones
+    are no keys; any flags give exact results, as long as all texts are keyed with the same.
+    """
+
+    def __init__(self, threshold: Threshold, frequent: np.ndarray | None = None):
         self.threshold = threshold
+        self.frequent = frequent
         self.first = [1]
         self.segments: list[int] = []
         self.differ: list[int] = []
@@ -63,7 +72,7 @@ class Scheme:
             top = following - 1
             differ = (t.whole - t.part) * (top + t.largest_partner(top)) // (t.whole + t.part)
             self.differ.append(differ)
-            self.segments.append(differ + 1 + (-(-differ // 20) + 2 if differ else 0))
+            self.segments.append(differ + 1 + (-(-differ // 10) + 2 if differ else 0))
             self.crosses.append(t.largest_partner(top) > top)
             self.first.append(following)
 
@@ -89,14 +98,21 @@ class Scheme:
         new = np.ones(len(values), bool)
         new[1:] = (segment[1:] != segment[:-1]) | (owner[1:] != owner[:-1])
         at = np.flatnonzero(new)
+        strong = np.ones(len(at), bool)
+        if self.frequent is not None:
+            rare = ~self.frequent[(values >> _BUCKET_SHIFT).astype(np.int64)]
+            strong = np.add.reduceat(rare, at, dtype=np.int64) > 0
         sums = np.add.reduceat(words.mix(values), at)
-        keys = [self._key(sums, classes[owner[at]], segment[at])]
-        owners = [owner[at]]
-        # A set with so many empty segments may agree in empty ones alone: for these they are keys, too.
-        empty = count[sets] - np.bincount(owner[at], minlength=len(sizes))[sets]
-        for s in sets[empty >= count[sets] - np.array(self.differ)[classes[sets]]]:
-            mine = segment[at][owner[at] == s]
-            gone = np.setdiff1d(np.arange(count[s], dtype=np.uint64), mine)
+        of, segment = owner[at], segment[at]
+        # With so many weak or empty segments a set may agree in these alone: then they are keys, too.
+        allowed = count - np.array(self.differ)[classes]
+        weak = count - np.bincount(of[strong], minlength=len(sizes))
+        use = strong | (weak >= allowed)[of]
+        keys, owners = [self._key(sums[use], classes[of[use]], segment[use])], [of[use]]
+        filled = np.bincount(of, minlength=len(sizes))
+        for s in sets[(weak[sets] >= allowed[sets]) & (filled[sets] < count[sets])]:
+            low, high = np.searchsorted(of, (s, s + 1))
+            gone = np.setdiff1d(np.arange(count[s], dtype=np.uint64), segment[low:high])
             keys.append(self._key(np.zeros(len(gone), np.uint64), np.full(len(gone), classes[s]), gone))
             owners.append(np.full(len(gone), s))
         return np.concatenate(keys), np.concatenate(owners)
@@ -113,82 +129,120 @@ def run_sets(column: pa.Array, n: int):
         yield a, *words.sorted_sets(*words.shingle_hashes(hashes, first, n))
 
 
-_KEYED = "key long, doc_id long, size long, set_id long"
+_SETS = "doc_id long, size long, set_id long, slice int, counts binary"
+_SLICE = BUCKETS // _SLICES
+
+
+def identify(values: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """A 64-bit identity of each set."""
+    n = np.diff(total)
+    sums = np.add.reduceat(np.append(words.mix(values), np.uint64(0)), total[:-1])
+    return words.mix(np.where(n > 0, sums, np.uint64(0)) + n.astype(np.uint64)).view(np.int64)
+
+
+def _set_batches(batches, threshold: Threshold):
+    """Size and identity of each text's set; at the end of the task the texts that hold each bucket of runs, by slices."""
+    buckets = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        sizes, identities = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for _, values, total in run_sets(batch.column(1), threshold.n):
+            sizes.append(np.diff(total))
+            identities.append(identify(values, total))
+            buckets += np.bincount((values >> _BUCKET_SHIFT).astype(np.int64), minlength=BUCKETS)
+        none = pa.nulls(len(batch), pa.int32()), pa.nulls(len(batch), pa.binary())
+        found = pa.array(np.concatenate(sizes)), pa.array(np.concatenate(identities))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *found, *none], [c.split()[0] for c in _SETS.split(", ")])
+    if buckets.any():
+        packed = [pa.compress(part.astype("<u4").tobytes(), codec="zstd", asbytes=True) for part in buckets.reshape(_SLICES, -1)]
+        none = [pa.nulls(_SLICES, pa.int64())] * 3
+        slices = pa.array(range(_SLICES), pa.int32()), pa.array(packed, pa.binary())
+        yield pa.RecordBatch.from_arrays([*none, *slices], [c.split()[0] for c in _SETS.split(", ")])
+
+
+def _flag_batches(batches, limit: float):
+    """Buckets of each slice that more than `limit` texts hold, as bits; rows come sorted by slice."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for number, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            part = np.frombuffer(pa.decompress(counts, _SLICE * 4, codec="zstd", asbytes=True), "<u4")
+            sums[number] = sums.get(number, 0) + part.astype(np.int64)
+    flags = [np.packbits(s > limit).tobytes() for s in sums.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(flags, pa.binary())], ["slice", "flags"])
+
+
+def frequent_buckets(sets: DataFrame) -> np.ndarray:
+    """Flags of the buckets that hold far more texts than chance puts there, counted over all texts."""
+    total = sets.agg(F.sum("size")).first()[0] or 0
+    mean = total / BUCKETS
+    slices = sets.filter("slice is not null").select("slice", "counts").repartition(_SLICES, "slice")
+    found = slices.mapInArrow(partial(_flag_batches, limit=mean + 4 * mean**0.5 + 32), "slice int, flags binary")
+    flags = np.zeros((_SLICES, _SLICE), bool)
+    for row in found.collect():  # `_SLICES` rows of a fixed size
+        flags[row["slice"]] = np.unpackbits(np.frombuffer(row["flags"], np.uint8)).astype(bool)
+    return flags.ravel()
 
 
-def _keyed(keys, docs, sizes=None, sets=None):
-    none = pa.nulls(len(keys), pa.int64())
-    columns = [pa.array(keys.view(np.int64)), pa.array(docs), none if sizes is None else pa.array(sizes), none if sets is None else pa.array(sets)]
-    return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "size", "set_id"])
+_KEYED = "key long, set_id long"
 
 
-def _combined(keys: np.ndarray, docs: np.ndarray):
-    """One row per key of the task; documents that met here already are linked by a key of their own."""
-    order = np.lexsort((docs, keys))
-    keys, docs = keys[order], docs[order]
+def _keyed(keys, sets):
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(sets)], ["key", "set_id"])
+
+
+def _combined(keys: np.ndarray, sets: np.ndarray):
+    """One row per key of the task; sets that met here already are linked by a key of their own."""
+    order = np.lexsort((sets, keys))
+    keys, sets = keys[order], sets[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     at = np.flatnonzero(new)
-    yield _keyed(keys[at], docs[at])
-    least = np.repeat(docs[at], np.diff(np.append(at, len(keys))))
-    met = np.unique(np.stack([least, docs], 1)[least != docs], axis=0)
+    yield _keyed(keys[at], sets[at])
+    least = np.repeat(sets[at], np.diff(np.append(at, len(keys))))
+    met = np.unique(np.stack([least, sets], 1)[least != sets], axis=0)
     if len(met):
         a, b = met.T.copy()
         pair = words.mix(words.mix(a.view(np.uint64)) + b.view(np.uint64))
         yield _keyed(np.concatenate((pair, pair)), np.concatenate((a, b)))
 
 
-def _key_batches(batches, threshold: Threshold):
-    """Keys of all documents, and for each document a row with the size and the identity of its set."""
-    scheme = Scheme(threshold)
-    keys, docs, held = [], [], 0
+def _key_batches(batches, threshold: Threshold, frequent: np.ndarray):
+    """Keys of all sets. Copies have the same set, so they meet nobody here."""
+    scheme = Scheme(threshold, np.unpackbits(frequent).astype(bool))
+    keys, sets, held = [], [], 0
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for a, values, total in run_sets(batch.column(1), threshold.n):
-            here = ids[a : a + len(total) - 1]
-            sizes = np.diff(total)
-            sums = np.add.reduceat(np.append(words.mix(values), np.uint64(0)), total[:-1])
-            identity = words.mix(np.where(sizes > 0, sums, np.uint64(0)) + sizes.astype(np.uint64))
-            yield _keyed(words.mix(here.view(np.uint64)), here, sizes, identity.view(np.int64))
+        for _, values, total in run_sets(batch.column(0), threshold.n):
             found, owner = scheme.keys(values, total)
             keys.append(found)
-            docs.append(here[owner])
+            sets.append(identify(values, total)[owner])
             held += len(found)
             if held >= KEYS_AT_ONCE:
-                yield from _combined(np.concatenate(keys), np.concatenate(docs))
-                keys, docs, held = [], [], 0
+                yield from _combined(np.concatenate(keys), np.concatenate(sets))
+                keys, sets, held = [], [], 0
     if held:
-        yield from _combined(np.concatenate(keys), np.concatenate(docs))
+        yield from _combined(np.concatenate(keys), np.concatenate(sets))
 
 
 def _meet_batches(batches):
-    """Documents that share a key, from rows sorted by key: each with the least one. Size rows pass through."""
-    last_key, last_doc = None, None
+    """Sets that share a key, from rows sorted by key: each with the least one."""
+    last_key, last_set = None, None
     seen = np.zeros((0, 2), np.int64)
     for batch in batches:
-        size = batch.column(2).to_numpy(zero_copy_only=False)
-        is_key = np.isnan(size.astype(float))
-        if not is_key.all():
-            passed = batch.filter(pa.array(~is_key))
-            yield pa.RecordBatch.from_arrays([passed.column(1), pa.nulls(len(passed), pa.int64()), passed.column(2), passed.column(3)], ["a", "b", "size", "set_id"])
-        keys = batch.column(0).to_numpy()[is_key]
-        docs = batch.column(1).to_numpy()[is_key]
+        keys, sets = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(keys):
             continue
         if last_key is not None:
-            keys, docs = np.append(last_key, keys), np.append(last_doc, docs)
+            keys, sets = np.append(last_key, keys), np.append(last_set, sets)
         new = np.ones(len(keys), bool)
         new[1:] = keys[1:] != keys[:-1]
         at = np.flatnonzero(new)
-        least = np.repeat(np.minimum.reduceat(docs, at), np.diff(np.append(at, len(keys))))
-        met = np.stack([least, docs], 1)[least != docs]
-        last_key, last_doc = keys[-1:], least[-1:]
+        least = np.repeat(np.minimum.reduceat(sets, at), np.diff(np.append(at, len(keys))))
+        met = np.stack([least, sets], 1)[least != sets]
+        last_key, last_set = keys[-1:], least[-1:]
         if len(met):
             met = np.unique(met, axis=0)
             fresh = met[~_rows_in(met, seen)]
             if len(fresh):
-                none = pa.nulls(len(fresh), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(fresh[:, 0].copy()), pa.array(fresh[:, 1].copy()), none, none], ["a", "b", "size", "set_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in fresh.T], ["a", "b"])
                 seen = fresh if len(seen) > KEYS_AT_ONCE else np.concatenate((seen, fresh))
 
 
@@ -197,102 +251,159 @@ def _rows_in(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.isin(np.ascontiguousarray(rows).view(pair).ravel(), np.ascontiguousarray(others).view(pair).ravel())
 
 
-@dataclass(slots=True)
+_HEAD = 32  # runs of a node that are compared for all children of a node at once
+_NO_RUN = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
 class Node:
-    """A stretch of runs; the sets that end behind it; the sizes below; one set below if all are linked."""
+    """A stretch of runs, the sets that end behind it, and its children with what decides on them as arrays.
+
+    Of each child: its first runs, how many these are, the least and largest size below, and a set below if all sets
+    below are in one component (-1 if not).
+    """
 
-    runs: np.ndarray
-    children: dict = field(default_factory=dict)
-    ends: list = field(default_factory=list)
-    least: int = 1 << 60
-    most: int = 0
-    one: int | None = None
+    __slots__ = ("runs", "ends", "kids", "places", "heads", "lengths", "least", "most", "one")
+
+    def __init__(self, runs: np.ndarray):
+        self.runs = runs
+        self.ends: list[int] = []
+        self.kids: list[Node] = []
+        self.places: dict[int, int] = {}
+        self._room(0)
+
+    def _room(self, n: int) -> None:
+        self.heads = np.full((n, _HEAD), _NO_RUN)
+        self.lengths, self.least, self.most, self.one = (np.zeros(n, np.int64) for _ in range(4))
+
+    def put(self, i: int, child: Node, least: int, most: int, one: int) -> None:
+        """Child i, new or in the place of another; the arrays grow by doubling."""
+        if i == len(self.kids):
+            self.kids.append(child)
+            self.places[int(child.runs[0])] = i
+            if i == len(self.lengths):
+                old = self.heads, self.lengths, self.least, self.most, self.one
+                self._room(max(2, 2 * i))
+                for new, was in zip((self.heads, self.lengths, self.least, self.most, self.one), old, strict=True):
+                    new[:i] = was
+        self.kids[i] = child
+        head = child.runs[:_HEAD]
+        self.heads[i] = _NO_RUN
+        self.heads[i, : len(head)] = head
+        self.lengths[i], self.least[i], self.most[i], self.one[i] = len(head), least, most, one
 
 
 class PrefixTree:
-    """Joins sets one after another: `add` finds what the new set is linked with and stores it."""
+    """Joins sets one after another: `add` finds what the new set is linked with and stores it.
+
+    `label` has the component of each set, by its links so far; subtrees of the new set's own component are skipped.
+    """
 
     def __init__(self, threshold: Threshold):
         self.threshold = threshold
         self.root = Node(np.zeros(0, np.uint64))
-        self.parent: list[int] = []
-        self.sizes: list[int] = []
+        self.label = np.zeros(16, np.int64)
+        self.count = 0
         self.links: list[tuple[int, int]] = []
 
     def find(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = self.parent[self.parent[x]]
-            x = self.parent[x]
-        return x
+        return int(self.label[x])
+
+    def _unite(self, a: int, b: int) -> None:
+        mine = self.label[: self.count]
+        mine[mine == mine[b]] = mine[a]
 
     def add(self, runs: np.ndarray, known: int | None = None) -> int:
         """`known`: a set already in the tree that is linked with this one, directly or not."""
-        me = len(self.parent)
-        self.parent.append(me if known is None else self.find(known))
-        self.sizes.append(len(runs))
+        me = self.count
+        if me == len(self.label):
+            self.label = np.append(self.label, np.zeros(me, np.int64))
+        self.count += 1
+        self.label[me] = me if known is None else self.label[known]
         if len(runs):
             self._probe(me, runs)
             self._insert(me, runs)
         return me
 
-    def _possible(self, node: Node, size: int, overlap: int, seen: int, depth: int) -> bool:
+    def _possible(self, least, most, size: int, overlap, seen, depth):
         """Whether a set below, of any size there, can reach the threshold with what both have left."""
         t = self.threshold
-        other = min(max(size - seen + depth, node.least), node.most)
-        return t.linked(overlap + min(size - seen, other - depth), size, other)
+        other = np.minimum(np.maximum(size - seen + depth, least), most)
+        best = overlap + np.minimum(size - seen, other - depth)
+        return t.whole * best >= t.part * (size + other - best)
 
     def _probe(self, me: int, runs: np.ndarray) -> None:
         size = len(runs)
-        stack = [(child, 0, 0, 0) for child in self.root.children.values()]
+        padded = np.append(runs, _NO_RUN)  # no run is equal to what pads the heads, but in the padding
+        stack = [(self.root, 0, 0, 0)]
         while stack:
             node, overlap, seen, depth = stack.pop()
-            if node.one is not None and self.find(node.one) == self.find(me):
-                continue
-            if not self._possible(node, size, overlap, seen, depth):
+            # The latest children first: they are of sizes like this one's, so a link is found soon.
+            end, step = len(node.kids), 64
+            while end:
+                begin = max(0, end - step)
+                self._probe_children(me, runs, padded, size, node, begin, end, overlap, seen, depth, stack)
+                end, step = begin, 512
+
+    def _probe_children(self, me, runs, padded, size, node, begin, end, overlap, seen, depth, stack) -> None:
+        one = node.one[begin:end]
+        mine = self.label[me]
+        open_ = (one < 0) | (self.label[one] != mine)
+        open_ &= self._possible(node.least[begin:end], node.most[begin:end], size, overlap, seen, depth)
+        rows = begin + np.flatnonzero(open_)
+        if not len(rows):
+            return
+        heads, lengths = node.heads[rows], node.lengths[rows]
+        at = np.searchsorted(runs, heads)
+        same = (padded[at] == heads) & (heads != _NO_RUN)
+        overlaps = overlap + same.sum(1)
+        last = np.arange(len(rows)), lengths - 1
+        seens = at[last] + same[last]
+        depths = depth + lengths
+        good = self._possible(node.least[rows], node.most[rows], size, overlaps, seens, depths)
+        for i in np.flatnonzero(good):
+            row = rows[i]
+            child, o, s, d = node.kids[row], int(overlaps[i]), int(seens[i]), int(depths[i])
+            if node.one[row] >= 0 and self.label[node.one[row]] == self.label[me]:
                 continue
-            # A first look at few runs tells most subtrees off.
-            done = False
-            for part in (node.runs[:_EARLY], node.runs[_EARLY:]):
-                if len(part):
-                    at = np.searchsorted(runs, part)
-                    inside = at < size
-                    same = runs[at[inside]] == part[inside]
-                    overlap += int(same.sum())
-                    depth += len(part)
-                    seen = int(at[-1]) + int(inside[-1] and bool(same[-1]))
-                    if not self._possible(node, size, overlap, seen, depth):
-                        done = True
-                        break
-            if done:
-                continue
-            for other in node.ends:
-                if self.find(other) != self.find(me) and self.threshold.linked(overlap, size, depth):
+            rest = child.runs[_HEAD:]
+            if len(rest):
+                at_rest = np.searchsorted(runs, rest)
+                found = padded[at_rest] == rest
+                o, s, d = o + int(found.sum()), int(at_rest[-1]) + int(found[-1]), d + len(rest)
+                if not self._possible(node.least[row], node.most[row], size, o, s, d):
+                    continue
+            for other in child.ends:
+                if self.label[other] != self.label[me] and self.threshold.linked(o, size, d):
                     self.links.append((other, me))
-                    self.parent[self.find(me)] = self.find(other)
-            stack += [(child, overlap, seen, depth) for child in node.children.values()]
+                    self._unite(other, me)
+            if child.kids:
+                stack.append((child, o, s, d))
 
     def _insert(self, me: int, runs: np.ndarray) -> None:
         size, at, node = len(runs), 0, self.root
         while True:
-            child = node.children.get(int(runs[at])) if at < size else None
-            if child is None:
-                if at < size:
-                    child = Node(runs[at:], ends=[me], least=size, most=size, one=me)
-                    node.children[int(runs[at])] = child
-                else:
-                    node.ends.append(me)
+            if at == size:
+                node.ends.append(me)
+                return
+            i = node.places.get(int(runs[at]))
+            if i is None:
+                child = Node(runs[at:])
+                child.ends.append(me)
+                node.put(len(node.kids), child, size, size, me)
                 return
+            child = node.kids[i]
             n = min(len(child.runs), size - at)
             differ = np.flatnonzero(child.runs[:n] != runs[at : at + n])
             n = int(differ[0]) if len(differ) else n
             if n < len(child.runs):
-                top = Node(child.runs[:n], {int(child.runs[n]): child}, [], child.least, child.most, child.one)
+                top = Node(child.runs[:n])
                 child.runs = child.runs[n:]
-                node.children[int(runs[at])] = top
+                top.put(0, child, node.least[i], node.most[i], node.one[i])
+                node.put(i, top, node.least[i], node.most[i], node.one[i])
                 child = top
-            if child.one is not None and self.find(child.one) != self.find(me):
-                child.one = None
-            child.least, child.most = min(child.least, size), max(child.most, size)
+            if node.one[i] >= 0 and self.label[node.one[i]] != self.label[me]:
+                node.one[i] = -1
+            node.least[i], node.most[i] = min(node.least[i], size), max(node.most[i], size)
             at += n
             node = child
 
@@ -314,10 +425,10 @@ def _join_cell(rows: pd.DataFrame, threshold: Threshold) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def _cells(members: DataFrame, docs: DataFrame, threshold: Threshold) -> DataFrame:
-    """Links found in each cell; `members`: (cell, doc_id, size, label), cells of a bounded number of runs."""
-    joined = docs.join(members, "doc_id").select("cell", "doc_id", "size", "label", "text")
-    return joined.groupBy("cell").applyInPandas(partial(_join_cell, threshold=threshold), "a long, b long")
+def _cells(members: DataFrame, threshold: Threshold) -> DataFrame:
+    """Links found in each cell; `members`: (cell, doc_id, size, label, text), cells of a bounded number of runs."""
+    rows = members.select("cell", "doc_id", "size", "label", "text")
+    return rows.groupBy("cell").applyInPandas(partial(_join_cell, threshold=threshold), "a long, b long")
 
 
 def linked_components(docs: DataFrame, threshold: Threshold = Threshold(), id_column="doc_id", text_column="text") -> DataFrame:
@@ -327,31 +438,34 @@ def linked_components(docs: DataFrame, threshold: Threshold = Threshold(), id_co
     its whole sequence as its only run. Rows that repeat an id are one document with each other's links; a null id has a
     null component; an empty table gives no rows; other columns are ignored.
 
-    Only keys, sizes and ids are shuffled for all documents. Documents with equal sets are one class, of which the
-    one with the least id goes on, so copies cost nothing further. Texts move for documents that share a key with another class
-    alone. A class of candidates is split in cells of bounded size: the first round joins each cell, the second
-    joins what stayed apart from the largest component with every cell, so no pair is missed and no
-    cell holds an unbounded group.
+    Only keys and ids are shuffled for all documents. Documents with equal sets are one class, of which the
+    one with the least id goes on, so copies cost nothing further. The texts that go on are those that share a key with
+    another class; they are written once. A class of candidates is split in cells of bounded size: the first round
+    joins each cell, the second joins what stayed apart from the largest component with every cell, so no
+    pair is missed and no cell holds an unbounded group.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     real = rows.filter("doc_id is not null")
-    keyed = real.mapInArrow(partial(_key_batches, threshold=threshold), _KEYED)
+    sets = written(rows.mapInArrow(partial(_set_batches, threshold=threshold), _SETS), "jaccard-sets")
+    frequent = np.packbits(frequent_buckets(sets))
+    keyed = real.select("text").mapInArrow(partial(_key_batches, threshold=threshold, frequent=frequent), _KEYED)
     met = keyed.repartition("key").sortWithinPartitions("key")
-    met = written(met.mapInArrow(_meet_batches, "a long, b long, size long, set_id long"), "jaccard-keys")
-    sizes = met.filter("b is null").select(F.col("a").alias("doc_id"), "size", "set_id")
-    classes = written(sizes.filter("size > 0").groupBy("set_id", "size").agg(F.min("doc_id").alias("doc_id")), "jaccard-classes")
+    blocks = components(met.mapInArrow(_meet_batches, "a long, b long"), "a", "b")
 
-    blocks = components(met.filter("b is not null"), "a", "b")
-    members = blocks.join(classes, blocks["node"] == classes["doc_id"]).select("doc_id", "size", F.col("component").alias("block"))
+    everything = sets.filter("slice is null").select("doc_id", "size", "set_id")
+    sizes = everything.filter("doc_id is not null")
+    classes = written(sizes.filter("size > 0").groupBy("set_id", "size").agg(F.min("doc_id").alias("doc_id")), "jaccard-classes")
+    members = blocks.join(classes, blocks["node"] == classes["set_id"]).select("doc_id", "size", F.col("component").alias("block"))
     totals = members.groupBy("block").agg(F.sum("size").alias("runs"), F.count("*").alias("n")).filter("n > 1")
     cells = F.ceil(F.col("runs") / F.lit(RUNS_IN_TRIE)).cast("int")
     members = members.join(totals.select("block", cells.alias("cells")), "block")
     members = members.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("cells")))
     members = written(members.withColumn("cell", F.concat_ws(":", "block", "part")), "jaccard-members")
-    alone = members.select("cell", "doc_id", "size", F.col("doc_id").alias("label"))
-    links = written(_cells(alone, real, threshold), "jaccard-links")
+    # The few members are the side that is built, at every size.
+    texts = written(real.join(members.hint("shuffle_hash"), "doc_id").select(*members.columns, "text"), "jaccard-texts")
+    links = written(_cells(texts.withColumn("label", F.col("doc_id")), threshold), "jaccard-links")
     if not members.filter("cells > 1").isEmpty():
-        links = _across_cells(members.filter("cells > 1"), links, real, threshold)
+        links = _across_cells(texts.filter("cells > 1"), links, threshold)
     # A class is linked with the documents that have its set.
     same = sizes.join(classes.select("set_id", "size", F.col("doc_id").alias("keeper")), ["set_id", "size"])
     same = written(same.select("doc_id", "keeper"), "jaccard-same")
@@ -359,20 +473,21 @@ def linked_components(docs: DataFrame, threshold: Threshold = Threshold(), id_co
     joined = same.join(reached, same["keeper"] == reached["node"], "left")
     found = joined.select("doc_id", F.coalesce("component", "keeper").alias("component_id"))
     found = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    out = sizes.select("doc_id", "size").join(written(found, "jaccard-found"), "doc_id", "left")
-    out = out.select("doc_id", "size", F.coalesce("component_id", "doc_id").alias("component_id"))
-    unknown = rows.filter("doc_id is null").withColumn("doc_id", F.lit(0).cast("long"))
-    unknown = unknown.mapInArrow(partial(_key_batches, threshold=threshold), _KEYED).filter("size is not null")
-    none = F.lit(None).cast("long")
-    return out.unionByName(unknown.select(none.alias("doc_id"), "size", none.alias("component_id")))
+    out = everything.join(written(found, "jaccard-found"), "doc_id", "left")
+    return out.select("doc_id", "size", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _across_cells(members: DataFrame, links: DataFrame, docs: DataFrame, threshold: Threshold) -> DataFrame:
+def _across_cells(texts: DataFrame, links: DataFrame, threshold: Threshold) -> DataFrame:
     """The links with those between cells of blocks that have several."""
+
     def labelled(links):
         found = components(links, "a", "b")
-        joined = members.join(found, members["doc_id"] == found["node"], "left")
-        return written(joined.select(*members.columns, F.coalesce("component", "doc_id").alias("label")), "jaccard-labels")
+        ids = texts.select("doc_id", "size", "block", "cell")
+        joined = ids.join(found, ids["doc_id"] == found["node"], "left")
+        return written(joined.select(*ids.columns, F.coalesce("component", "doc_id").alias("label")), "jaccard-labels")
+
+    def joined_cells(rows, name):
+        return written(_cells(rows.join(texts.select("doc_id", "text"), "doc_id"), threshold), name)
 
     now = labelled(links)
     # The least documents of large components of each cell meet first: at most 16 of each cell.
@@ -380,7 +495,7 @@ def _across_cells(members: DataFrame, links: DataFrame, docs: DataFrame, thresho
     whole = now.groupBy("cell").agg(F.count("*").alias("all"))
     large = large.join(whole, "cell").filter("16 * n >= all").select("doc_id")
     heads = now.join(large, "doc_id", "left_semi").select(F.col("block").cast("string").alias("cell"), "doc_id", "size", "label")
-    links = written(links.union(_cells(heads, docs, threshold)), "jaccard-heads")
+    links = links.union(joined_cells(heads, "jaccard-heads"))
     now = labelled(links)
     # What is not in a block's largest component meets every cell of the block.
     counted = now.groupBy("block", "label").agg(F.count("*").alias("n"))
@@ -389,8 +504,7 @@ def _across_cells(members: DataFrame, links: DataFrame, docs: DataFrame, thresho
     places = now.select("block", "cell").distinct()
     guests = rest.select("block", "doc_id", "size", "label").join(places, "block").select("cell", "doc_id", "size", "label")
     hosts = now.join(rest.select("block").distinct(), "block", "left_semi").select("cell", "doc_id", "size", "label")
-    more = written(hosts.union(guests).distinct(), "jaccard-guests")
-    return written(links.union(_cells(more, docs, threshold)), "jaccard-all-links")
+    return links.union(joined_cells(hosts.union(guests).distinct(), "jaccard-all-links"))
 
 
 def keep_one_of_each(docs: DataFrame, threshold: Threshold = Threshold(), id_column="doc_id", text_column="text") -> DataFrame:

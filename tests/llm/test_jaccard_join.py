@@ -74,9 +74,11 @@ def test_group_of_copies_and_shared_passage(spark):
     assert sorted(map(tuple, found), key=str) == expected(rows, Threshold(4, 85, 100))
 
 
-def test_linked_sets_share_a_key():
+@pytest.mark.parametrize("share", [0, 0.1, 0.5, 1])
+def test_linked_sets_share_a_key_whatever_is_flagged(share):
     r = random.Random(2)
-    scheme = Scheme(Threshold(4, 85, 100))
+    flags = np.random.default_rng(3).random(jaccard_join.BUCKETS) < share
+    scheme = Scheme(Threshold(4, 85, 100), flags)
     for size in [*range(1, 40), 100, 500]:
         a = sorted(r.getrandbits(64) for _ in range(size))
         for _ in range(20):
