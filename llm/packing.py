@@ -7,8 +7,8 @@ documents. Pieces find their place by their rank among pieces of the same length
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from itertools import combinations_with_replacement
@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 
 from tidymart.session import written
 
-#: Texts where a blank stands next to other white space, or last, are encoded whole; all others word by word.
-_UNEVEN = re.compile(r" \s|\s |^\s| $")
-CACHED_WORDS = 600_000
+#: Words whose ids a Python worker keeps, of about 200 bytes each.
+CACHED_WORDS = 2_000_000
 _WORDS_AT_ONCE = 1 << 20
 
 
@@ -31,7 +30,7 @@ class WordEncoder:
     """Token ids of texts as little-endian 32-bit bytes; a word is encoded once while it stays in a bounded cache.
 
     In byte-level BPE a blank before a word belongs to the word, so a text whose blanks stand alone between words
-    can be cut before each blank without changing its ids.
+    can be cut before each blank without changing its ids. Other texts are encoded whole.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
@@ -41,11 +40,16 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
-        self.later: dict[str, bytes] = {}
+        self.later: dict[str, bytes | None] = {}
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _word(self, text: str) -> bytes:
+        """Ids of a short text, without the offsets and masks of a full encoding."""
+        model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        return array("I", [token.id for part, _ in cut(text) for token in model.tokenize(part)]).tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         start, size = 0, 0
@@ -56,16 +60,26 @@ class WordEncoder:
                 start, size = i + 1, 0
 
     def _run(self, texts: list[str]) -> Iterator[bytes]:
-        words = [None if _UNEVEN.search(t) or not t else t.split(" ") for t in texts]
+        words = [t.split(" ") for t in texts]
         known = self.later
         if len(known) > self.limit:
             known.clear()
-        missing = list({w for ws in words if ws for w in ws[1:] if w not in known})
-        known.update(zip(missing, self._bytes([" " + w for w in missing]), strict=True))
-        first = self._bytes([t if ws is None else ws[0] for t, ws in zip(texts, words, strict=True)])
+        self._learn(set().union(*[ws[1:] for ws in words]) - known.keys())
+        first = [self._word(ws[0]) for ws in words]
         get = known.__getitem__
-        for head, ws in zip(first, words, strict=True):
-            yield head + b"".join(map(get, ws[1:])) if ws else head
+        for text, head, ws in zip(texts, first, words, strict=True):
+            later = list(map(get, ws[1:]))
+            if None in later or later and ws[0] and ws[0][-1].isspace():
+                yield self._whole([text])[0]
+            else:
+                yield head + b"".join(later)
+
+    def _learn(self, missing: set[str]) -> None:
+        """Encode words that follow a blank; None where it stands next to other white space, or ends the text."""
+        uneven = [w for w in missing if not w or w[0].isspace() or w[-1].isspace()]
+        self.later.update(dict.fromkeys(uneven))
+        missing.difference_update(uneven)
+        self.later.update((w, self._word(" " + w)) for w in missing)
 
 
 @lru_cache(1)
