@@ -142,7 +142,22 @@ def op10_html_text(spark, folder):
     return html_text.extract_text(table(spark, folder, "pages"))
 
 
-@query("op1_ngram_jaccard_join")
+JACCARD_SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
+runs as (
+  select doc_id, unnest(case when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) when len(w) > 0 then [w] else [] end) as run from words),
+sets as (select distinct doc_id, run from runs),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as shared from sets a join sets b on a.run = b.run and a.doc_id <> b.doc_id group by all),
+links as (select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * shared >= 85 * (x.n + y.n - shared)),
+reach(a, b) as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a)
+select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(min(b), d.doc_id)) as component_id
+from documents d left join sizes s on s.doc_id = d.doc_id left join reach r on r.a = d.doc_id group by d.doc_id, n"""
+
+
+@query("op1_ngram_jaccard_join", JACCARD_SQL)
 def op1_jaccard(spark, folder):
     found = jaccard_join.linked_components(table(spark, folder, "documents"), jaccard_join.Threshold(n=4, part=85, whole=100))
     return found.select("doc_id", F.col("size").alias("n_shingles"), "component_id")
