@@ -408,20 +408,73 @@ class PrefixTree:
             node = child
 
 
+def likely_groups(sets: list[np.ndarray], threshold: Threshold) -> list[list[int]]:
+    """Sets that may be linked, in groups with no link between them; sets that can't be linked are left out.
+
+    Under any order two linked sets share one of their first runs, as many as a partner may lack and one more.
+    Here the order is by how few of the sets hold a run, so these are a set's rarest runs: a passage that
+    many share doesn't bring its documents together. Leaving sets out makes other runs rarer, so it is repeated.
+    """
+    left = [i for i, s in enumerate(sets) if len(s)]
+    while left:
+        runs = np.concatenate([sets[i] for i in left])
+        total = np.concatenate(([0], np.cumsum([len(sets[i]) for i in left])))
+        distinct, place, count = np.unique(runs, return_inverse=True, return_counts=True)
+        shared, owners = [], []
+        for k, i in enumerate(left):
+            mine = place[total[k] : total[k + 1]]
+            n = len(mine)
+            first = n - -(-threshold.part * n // threshold.whole) + 1
+            # Places ascend with the hashes, so this is one order for all sets.
+            rarest = mine[np.lexsort((mine, count[mine]))[:first]]
+            rarest = rarest[count[rarest] > 1]
+            shared.append(rarest)
+            owners.append(np.full(len(rarest), k))
+        shared, owners = np.concatenate(shared), np.concatenate(owners)
+        met = np.bincount(shared, minlength=len(distinct))
+        useful = met[shared] > 1
+        shared, owners = shared[useful], owners[useful]
+        kept = np.unique(owners)
+        if len(kept) == len(left):
+            break
+        left = [left[k] for k in kept]
+    if not left:
+        return []
+    parent = list(range(len(left)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    order = np.argsort(shared, kind="stable")
+    same = shared[order][1:] == shared[order][:-1]
+    pairs = np.stack([owners[order][:-1][same], owners[order][1:][same]], 1)
+    for a, b in np.unique(pairs, axis=0).tolist():
+        parent[find(a)] = find(b)
+    groups: dict[int, list[int]] = {}
+    for k, i in enumerate(left):
+        groups.setdefault(find(k), []).append(i)
+    return list(groups.values())
+
+
 def _join_cell(rows: pd.DataFrame, threshold: Threshold) -> pd.DataFrame:
     """Links between the documents of a cell, one at least for any two that links connect."""
     # Small sets first, and among equals those of one label together, so that order depends on no shuffle.
     rows = rows.sort_values(["size", "label", "doc_id"], kind="stable").drop_duplicates("doc_id")
-    tree = PrefixTree(threshold)
-    ids, first = [], {}
+    ids, labels = rows["doc_id"].tolist(), rows["label"].tolist()
+    sets = []
     for _, values, total in run_sets(pa.array(rows["text"], pa.string()), threshold.n):
-        for k in range(len(total) - 1):
-            row = len(ids)
-            label = int(rows["label"].iat[row])
-            ids.append(int(rows["doc_id"].iat[row]))
-            me = tree.add(values[total[k] : total[k + 1]], first.get(label))
-            first.setdefault(label, me)
-    links = [(ids[a], ids[b]) for a, b in tree.links]
+        sets += [values[a:b] for a, b in zip(total[:-1].tolist(), total[1:].tolist(), strict=True)]
+    links = []
+    for group in likely_groups(sets, threshold):
+        tree = PrefixTree(threshold)
+        first: dict[int, int] = {}
+        for i in group:
+            me = tree.add(sets[i], first.get(labels[i]))
+            first.setdefault(labels[i], me)
+        links += [(ids[group[a]], ids[group[b]]) for a, b in tree.links]
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 

@@ -9,7 +9,7 @@ from cases import corpus, documents, mutated, prose
 from llm import components as components_module
 from llm import jaccard_join
 from llm.components import components
-from llm.jaccard_join import PrefixTree, Scheme, Threshold, keep_one_of_each, linked_components
+from llm.jaccard_join import PrefixTree, Scheme, Threshold, keep_one_of_each, likely_groups, linked_components
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -112,6 +112,22 @@ def test_tree_finds_every_component():
     assert all(t.linked(len(ordered[a] & ordered[b]), len(ordered[a]), len(ordered[b])) for a, b in tree.links)
 
 
+def test_likely_groups_keep_all_links_and_part_passages():
+    r = random.Random(9)
+    t = Threshold(1, 80, 100)
+    passage = [r.getrandbits(60) for _ in range(40)]
+    sets = [np.array(sorted({*passage, *(r.getrandbits(60) for _ in range(60))}), np.uint64) for _ in range(50)]
+    near = [r.getrandbits(60) for _ in range(100)]
+    sets += [np.array(sorted({*near[: 100 - k], *(r.getrandbits(60) for _ in range(k))}), np.uint64) for k in range(20)]
+    groups = likely_groups(sets, t)
+    assert all(i >= 50 for g in groups for i in g)
+    of = {i: k for k, g in enumerate(groups) for i in g}
+    for a in range(len(sets)):
+        for b in range(a):
+            if t.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b])):
+                assert of[a] == of[b]
+
+
 @pytest.mark.parametrize("limit", [500_000, 7])
 def test_components_of_a_chain_and_a_star(spark, monkeypatch, limit):
     monkeypatch.setattr(components_module, "LINKS_IN_TASK", limit)
