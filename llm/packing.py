@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from tidymart.session import written
 
 #: Words whose ids a Python worker keeps, of about 200 bytes each.
-CACHED_WORDS = 2_000_000
+CACHED_WORDS = 800_000
 _WORDS_AT_ONCE = 1 << 20
+_TEXTS_AT_ONCE = 1_000
 
 
 class WordEncoder:
@@ -101,7 +102,8 @@ def _encode_batches(batches, path: str, most: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
     chunk = TaskContext.get().partitionId()
     ranks = [0] * (most + 1)
-    for batch in batches:
+    # Few texts at once, so that a worker holds little besides its cache.
+    for batch in (b.slice(at, _TEXTS_AT_ONCE) for b in batches for at in range(0, len(b), _TEXTS_AT_ONCE)):
         columns: list[list] = [[] for _ in range(6)]
         texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
         for doc_id, ids in zip(batch.column(0).to_pylist(), tokenize.encode(texts), strict=True):
