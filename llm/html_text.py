@@ -39,6 +39,10 @@ _ENDS_PARAGRAPH = frozenset(
 )
 
 
+#: A line in a marked article needs the threshold divided by the first, any other the threshold times the second.
+MARK_PRIOR, MARK_PRIOR_OUTSIDE = 64, 2
+
+
 @dataclass
 class Line:
     text: list[str] = field(default_factory=list)
@@ -155,13 +159,20 @@ def smooth(values: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return np.convolve(values, kernel, "full")[radius : radius + len(values)] / weights
 
 
+def _stretches(flags: np.ndarray) -> list[tuple[int, int]]:
+    """(begin, end) of the runs of equal flags."""
+    edges = [0, *(np.flatnonzero(flags[1:] != flags[:-1]) + 1).tolist(), len(flags)]
+    return list(zip(edges[:-1], edges[1:], strict=True))
+
+
 def select_lines(lines: list[Line], sigma: float = 1.0) -> list[Line]:
     """The lines of the content regions.
 
-    The ratio of a line is its unlinked characters per tag. Where the page marks an article, its lines count with
-    the page's highest ratio and all others with none, so the marked region decides. The clusters are the lines
-    whose smoothed ratio reaches the threshold, the standard deviation of the smoothed ratios but at most their
-    mean; a line of links alone is never content.
+    The ratio of a line is its unlinked characters per tag. The clusters are the lines whose smoothed ratio reaches
+    the threshold, the standard deviation of the smoothed ratios but at most their mean; a line of links alone is not
+    content. Where the page marks an article, the mark is a prior: its lines need a small part of the threshold, others a
+    multiple of it, and the mark's edges end the smoothing. A line of links alone may stay in a mark by the text around
+    it, but smoothing doesn't lift three or more in a row.
     """
     if not lines:
         return []
@@ -169,12 +180,20 @@ def select_lines(lines: list[Line], sigma: float = 1.0) -> list[Line]:
     unlinked = length - np.array([x.linked for x in lines])
     ratio = unlinked / np.maximum(1, [x.tags for x in lines])
     marked = np.array([x.article for x in lines])
-    if marked.any():
-        chosen = smooth(np.where(marked, max(ratio.max(), 1.0), 0.0), sigma)
-        return [x for x, inside, r in zip(lines, marked, chosen, strict=True) if inside and r > 0]
-    smoothed = smooth(ratio, sigma)
+    if not marked.any():
+        smoothed = smooth(ratio, sigma)
+        threshold = min(float(smoothed.std()), float(smoothed.mean()))
+        return [x for x, r, u in zip(lines, smoothed, unlinked, strict=True) if r >= threshold and u > 0]
+    smoothed = np.zeros(len(lines))
+    for a, b in _stretches(marked):
+        smoothed[a:b] = smooth(ratio[a:b], sigma)
+    for a, b in _stretches(unlinked > 0):
+        if unlinked[a] == 0 and b - a > 2:
+            smoothed[a:b] = 0
     threshold = min(float(smoothed.std()), float(smoothed.mean()))
-    return [x for x, r, u in zip(lines, smoothed, unlinked, strict=True) if r >= threshold and u > 0]
+    prior = np.where(marked, 1 / MARK_PRIOR, MARK_PRIOR_OUTSIDE)
+    chosen = (smoothed >= threshold * prior) & (smoothed > 0) & (marked | (unlinked > 0))
+    return [x for x, keep in zip(lines, chosen, strict=True) if keep]
 
 
 def main_text(html: str | None, sigma: float = 1.0) -> str:

@@ -51,3 +51,19 @@ def test_table(spark):
     out = extract_text(pages)
     assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "u", "é x", 3), (1, "u", "é x", 3), (None, None, "", 0)], key=str)
     assert extract_text(pages.filter(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, kept, gone",
+    [
+        (f"<article><p>Teaser of it</article><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>", ["Teaser", "real"], []),
+        (f"<article><p>{LONG}</p><ul><li><a>l1</a><li><a>l2</a><li><a>l3</a><li><a>l4</a></ul><p>{LONG}</p></article>", ["real"], ["l1", "l2", "l3", "l4"]),
+        (f"<article><h1><a>Title</a></h1><p>{LONG}</p><p>Is.</p><p><a>source</a></p><p>{LONG}</p></article>", ["Title", "Is.", "source"], []),
+        (f"<article><p>{LONG}</p><p>{LONG}</p></article><div>(c) 2024 A firm, its street, its town</div>", ["real"], ["firm"]),
+        (f"<article><p>{LONG}</p><p>{LONG}</p></article><ul><li><a>l1</a><li><a>l2</a></ul>", ["real"], ["l1"]),
+        (f"<article><table><tr><td>1</td><td>2</td></tr></table><p>{LONG}</p></article>", ["1 2 Some"], []),
+    ],
+)
+def test_ratio_decides_on_pages_with_a_mark(page, kept, gone):
+    text = main_text(page)
+    assert all(k in text for k in kept) and not any(g in text for g in gone)
