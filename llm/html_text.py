@@ -22,7 +22,9 @@ _UNREAD = frozenset(
     "nav footer aside form button select textarea menu dialog".split()
 )
 _ARTICLE = frozenset(("article", "main"))
-#: Words in class, id or role that mark other regions.
+#: Elements that are content whatever their names say.
+_NEVER_NAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+#: Names in class, id or role that mark other regions, alone or in a compound with each other and `_BOX_WORDS`.
 _REGION_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
     "gdpr notice alert nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer comment comments "
@@ -30,6 +32,12 @@ _REGION_WORDS = frozenset(
     "login popup modal overlay widget pagination pager toolbar complementary contentinfo".split()
 )
 _HEADER_WORDS = frozenset(("header", "masthead", "topbar"))
+#: What the box of a region is called besides; other words make a name a slug or a topic.
+_BOX_WORDS = frozenset(
+    "area bar block body bottom box button buttons col column container content desktop fixed form group header icons inline "
+    "inner item items left link links list main mobile outer page pane panel post posts article articles primary reader right "
+    "row secondary section site slot space sticky top unit user widgets wrap wrapper zone".split()
+)
 #: A name that begins like this tells what the page has besides, as in has-sidebar.
 _ABOUT_OTHERS = frozenset(("has", "with", "no", "without"))
 _WORD = re.compile(r"[a-z]+")
@@ -41,6 +49,8 @@ _ENDS_PARAGRAPH = frozenset(
 
 #: A line in a marked article needs the threshold divided by the first, any other the threshold times the second.
 MARK_PRIOR, MARK_PRIOR_OUTSIDE = 64, 2
+#: A region named as another one is the body with so many unlinked characters, and so many times those of the rest.
+BODY_LEAST, BODY_SHARE = 200, 4
 
 
 @dataclass
@@ -49,6 +59,7 @@ class Line:
     tags: int = 0
     linked: int = 0
     article: bool = False
+    region: int = 0  # 1 + the place of its named region, 0 if it is in none
 
 
 class LineParser(HTMLParser):
@@ -57,8 +68,10 @@ class LineParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, bool]] = []  # tag, unread region begins, article begins
-        self.unread = self.articles = self.links = 0
+        # Tag, whether an unread region, an article and a named region begin.
+        self.open: list[tuple[str, bool, bool, bool]] = []
+        self.unread = self.articles = self.links = self.named = 0
+        self.region_in_article: list[bool] = []
         self.seen_article = False
         self.line = Line()
 
@@ -68,41 +81,51 @@ class LineParser(HTMLParser):
             self.line = Line()
         else:
             self.line = Line(tags=self.line.tags)  # tags before any text count with the next text
+        self._place_line()
+
+    def _place_line(self):
         self.line.article = self.articles > 0
+        self.line.region = len(self.region_in_article) if self.named else 0
 
     def _is_unread(self, tag: str, attrs) -> bool:
         if tag in _UNREAD:
             return True
         if tag == "header" and not self.articles:
             return True
+        return any(name == "hidden" or name == "aria-hidden" and value == "true" for name, value in attrs)
+
+    def _is_named(self, tag: str, attrs) -> bool:
+        if tag in _NEVER_NAMED:
+            return False
+        regions = _REGION_WORDS if self.articles else _REGION_WORDS | _HEADER_WORDS
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
-                names = [_WORD.findall(n) for n in value.lower().split()]
-                words = {w for n in names if n and n[0] not in _ABOUT_OTHERS for w in n}
-                if words & _REGION_WORDS or words & _HEADER_WORDS and not self.articles:
-                    return True
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
+                for found in map(_WORD.findall, value.lower().split()):
+                    words = {w for w in found if len(w) > 1}
+                    if words & regions and found[0] not in _ABOUT_OTHERS and words <= regions | _BOX_WORDS:
+                        return True
         return False
 
     def _pop(self):
-        tag, unread, article = self.open.pop()
+        tag, unread, article, named = self.open.pop()
         self.unread -= unread
         self.articles -= article
+        self.named -= named
         self.links -= tag == "a"
 
     def handle_starttag(self, tag, attrs):
-        if tag == "body" and any(t == "head" for t, _, _ in self.open):
+        if tag == "body" and any(t == "head" for t, *_ in self.open):
             while self.open[-1][0] != "html" and len(self.open) > 1:
                 self._pop()
         article = tag in _ARTICLE
-        if article and self.unread and not self.seen_article and not any(t in _UNREAD and t != "head" for t, _, _ in self.open):
+        boxed = self.unread or self.named
+        if article and boxed and not self.seen_article and not any(t in _UNREAD and t != "head" for t, *_ in self.open):
             # A page's first article does not stand in an advert or notice: that region was not closed.
-            while self.unread:
+            while self.unread or self.named:
                 self._pop()
         self.seen_article |= article
         if tag not in _INLINE:
-            if tag in _ENDS_PARAGRAPH and any(t == "p" for t, _, _ in self.open[-4:]):
+            if tag in _ENDS_PARAGRAPH and any(t == "p" for t, *_ in self.open[-4:]):
                 while self.open[-1][0] in _INLINE or self.open[-1][0] == "p":
                     ended = self.open[-1][0] == "p"
                     self._pop()
@@ -115,11 +138,17 @@ class LineParser(HTMLParser):
         if tag in _VOID:
             return
         unread = tag not in ("html", "body") and self._is_unread(tag, attrs)
-        self.open.append((tag, unread, article))
+        named = not unread and self._is_named(tag, attrs)
+        if named and tag in _INLINE:
+            unread, named = True, False  # a part of a line has no ratio of its own
+        if named and not self.named:
+            self.region_in_article.append(self.articles > 0)
+        self.open.append((tag, unread, article, named))
         self.unread += unread
+        self.named += named
         self.articles += article
         self.links += tag == "a"
-        self.line.article = self.articles > 0
+        self._place_line()
 
     def handle_startendtag(self, tag, attrs):
         if tag not in _INLINE:
@@ -137,7 +166,7 @@ class LineParser(HTMLParser):
                 break
             if tag in _INLINE and self.open[i][0] not in _INLINE:
                 break
-        self.line.article = self.articles > 0
+        self._place_line()
 
     def handle_data(self, data):
         if not self.unread:
@@ -146,9 +175,38 @@ class LineParser(HTMLParser):
                 self.line.linked += len(data)
 
     def finish(self) -> list[Line]:
+        """All lines but those of named regions that are none of the content by their text, too."""
         self.close()
         self._end_line()
-        return self.lines
+        if not self.region_in_article:
+            return self.lines
+        kept = {0} | self._content_regions()
+        return [x for x in self.lines if x.region in kept]
+
+    def _content_regions(self) -> set[int]:
+        """Named regions that are the body after all: long, few links, and next to no text besides.
+
+        What a region is compared with is the text in no named region: that of the articles for a region in one, or all
+        of it where no article has text. A region outside of the articles with the text is none.
+        """
+        count = len(self.region_in_article)
+        sums = [[0, 0, 0] for _ in range(count + 1)]  # unlinked, linked, tags
+        inside = [0, 0]  # unlinked and tags of articles, without their named regions
+        for x in self.lines:
+            unlinked = sum(map(len, x.text)) - x.linked
+            total = sums[x.region]
+            total[0], total[1], total[2] = total[0] + unlinked, total[1] + x.linked, total[2] + x.tags
+            if x.article and not x.region:
+                inside = [inside[0] + unlinked, inside[1] + x.tags]
+        found = set()
+        for k, in_article in enumerate(self.region_in_article, 1):
+            unlinked, linked, tags = sums[k]
+            if inside[0] and not in_article or unlinked < max(BODY_LEAST, linked):
+                continue
+            others, other_tags = inside if in_article else (sums[0][0], sums[0][2])
+            if unlinked >= BODY_SHARE * others and unlinked * max(1, other_tags) >= others * max(1, tags):
+                found.add(k)
+        return found
 
 
 def smooth(values: np.ndarray, sigma: float = 1.0) -> np.ndarray:

@@ -67,3 +67,21 @@ def test_table(spark):
 def test_ratio_decides_on_pages_with_a_mark(page, kept, gone):
     text = main_text(page)
     assert all(k in text for k in kept) and not any(g in text for g in gone)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article class='post category-social tag-newsletter'><p>Body</p></article>", "Body"),
+        ("<article id='notice-of-meeting'><p>Body</p></article>", "Body"),
+        ("<main class=comments><p>Body</p></main>", "Body"),
+        ("<article><h2 id='related-work'>Related</h2><h2 class=share>Share</h2><p>Body</p></article>", "Related Share Body"),
+        ("<article><section id='social-policy'><p>Policy</p></section><div class='menu-design'>Menus</div></article>", "Policy Menus"),
+        ("<article><p>Body</p><div class='related-posts'>r</div><div class='ad-slot'>a</div><div id='share_buttons'>s</div></article>", "Body"),
+        (f"<article><h1>T</h1><div class=notice><p>{LONG}</p></div></article>", "T " + LONG.strip()),
+        (f"<article><p>short</p></article><div class=ad>{LONG}</div>", "short"),
+        (f"<article><p>{LONG}</p><section class=comments><p>{LONG}</p></section></article>", LONG.strip()),
+    ],
+)
+def test_names_remove_whole_names_of_regions_only(page, text):
+    assert main_text(page) == text
