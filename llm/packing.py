@@ -7,6 +7,7 @@ documents. Pieces find their place by their rank among pieces of the same length
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -31,15 +32,18 @@ class WordEncoder:
     """Token ids of texts as little-endian 32-bit bytes; a word is encoded once while it stays in a bounded cache.
 
     In byte-level BPE a blank before a word belongs to the word, so a text whose blanks stand alone between words
-    can be cut before each blank without changing its ids. Other texts are encoded whole.
+    can be cut before each blank without changing its ids. Other texts, and those that hold an added token of the
+    tokenizer, are encoded whole. With `added_as_text` added tokens have no ids of their own; the operator doesn't use it.
     """
 
-    def __init__(self, path: str, limit: int = CACHED_WORDS):
+    def __init__(self, path: str, limit: int = CACHED_WORDS, added_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = added_as_text
+        added = [] if added_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.limit = limit
         self.later: dict[str, bytes | None] = {}
 
@@ -61,16 +65,18 @@ class WordEncoder:
                 start, size = i + 1, 0
 
     def _run(self, texts: list[str]) -> Iterator[bytes]:
-        words = [t.split(" ") for t in texts]
+        whole = [self.added is not None and self.added.search(t) is not None for t in texts]
+        # Nothing of a text that is encoded whole enters the cache.
+        words = [[""] if w else t.split(" ") for t, w in zip(texts, whole, strict=True)]
         known = self.later
         if len(known) > self.limit:
             known.clear()
         self._learn(set().union(*[ws[1:] for ws in words]) - known.keys())
         first = [self._word(ws[0]) for ws in words]
         get = known.__getitem__
-        for text, head, ws in zip(texts, first, words, strict=True):
+        for text, head, ws, as_one in zip(texts, first, words, whole, strict=True):
             later = list(map(get, ws[1:]))
-            if None in later or later and ws[0] and ws[0][-1].isspace():
+            if as_one or None in later or later and ws[0] and ws[0][-1].isspace():
                 yield self._whole([text])[0]
             else:
                 yield head + b"".join(later)
@@ -85,7 +91,7 @@ class WordEncoder:
 
 @lru_cache(1)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return WordEncoder(path, added_as_text=False)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, chunk long, rank long"

@@ -78,3 +78,14 @@ def test_fit_is_a_non_negative_least_square():
     a = np.array([[0, 0, 0], [1, 1, 0], [1, 0, 0], [0, 1, 1]])
     slope = a.T @ (a @ x - counts)
     assert (x >= 0).all() and (slope > -0.05).all() and abs(slope @ x) < 0.5
+
+
+def test_added_tokens_are_encoded_as_the_plain_library_does(spark):
+    plain = Tokenizer.from_file(PATH)
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a b<|endoftext|>c", "<|endoftext|><|endoftext|> x", "one <|endoftext| > two"]
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [505, 220, 50256, 734]
+    out = pack_documents(documents(spark, texts), PATH, most=64).collect()
+    found = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in out}
+    for i, text in enumerate(texts, 1):
+        ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert found[i] == (len(ids), zlib.crc32(ids.tobytes())), text
