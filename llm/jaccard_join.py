@@ -459,11 +459,20 @@ def likely_groups(sets: list[np.ndarray], threshold: Threshold) -> list[list[int
     return list(groups.values())
 
 
+def _own_batches(batches, threshold: Threshold):
+    """The rows whose text has the set they name."""
+    for batch in batches:
+        named = batch.column("set_id").to_numpy()
+        identities = [np.zeros(0, np.int64)]
+        identities += [identify(values, total) for _, values, total in run_sets(batch.column("text"), threshold.n)]
+        yield batch.filter(pa.array(np.concatenate(identities) == named))
+
+
 def _join_cell(rows: pd.DataFrame, threshold: Threshold) -> pd.DataFrame:
-    """Links between the documents of a cell, one at least for any two that links connect."""
+    """Links between the sets of a cell, one at least for any two that links connect."""
     # Small sets first, and among equals those of one label together, so that order depends on no shuffle.
-    rows = rows.sort_values(["size", "label", "doc_id"], kind="stable").drop_duplicates("doc_id")
-    ids, labels = rows["doc_id"].tolist(), rows["label"].tolist()
+    rows = rows.sort_values(["size", "label", "set_id"], kind="stable").drop_duplicates("set_id")
+    ids, labels = rows["set_id"].tolist(), rows["label"].tolist()
     sets = []
     for _, values, total in run_sets(pa.array(rows["text"], pa.string()), threshold.n):
         sets += [values[a:b] for a, b in zip(total[:-1].tolist(), total[1:].tolist(), strict=True)]
@@ -479,8 +488,8 @@ def _join_cell(rows: pd.DataFrame, threshold: Threshold) -> pd.DataFrame:
 
 
 def _cells(members: DataFrame, threshold: Threshold) -> DataFrame:
-    """Links found in each cell; `members`: (cell, doc_id, size, label, text), cells of a bounded number of runs."""
-    rows = members.select("cell", "doc_id", "size", "label", "text")
+    """Links found in each cell; `members`: (cell, set_id, size, label, text), cells of a bounded number of runs."""
+    rows = members.select("cell", "set_id", "size", "label", "text")
     return rows.groupBy("cell").applyInPandas(partial(_join_cell, threshold=threshold), "a long, b long")
 
 
@@ -508,21 +517,29 @@ def linked_components(docs: DataFrame, threshold: Threshold = Threshold(), id_co
     everything = sets.filter("slice is null").select("doc_id", "size", "set_id")
     sizes = everything.filter("doc_id is not null")
     classes = written(sizes.filter("size > 0").groupBy("set_id", "size").agg(F.min("doc_id").alias("doc_id")), "jaccard-classes")
-    members = blocks.join(classes, blocks["node"] == classes["set_id"]).select("doc_id", "size", F.col("component").alias("block"))
+    members = blocks.join(classes, blocks["node"] == classes["set_id"])
+    members = members.select("set_id", "doc_id", "size", F.col("component").alias("block"))
     totals = members.groupBy("block").agg(F.sum("size").alias("runs"), F.count("*").alias("n")).filter("n > 1")
     cells = F.ceil(F.col("runs") / F.lit(RUNS_IN_TRIE)).cast("int")
     members = members.join(totals.select("block", cells.alias("cells")), "block")
-    members = members.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("cells")))
+    members = members.withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("cells")))
     members = written(members.withColumn("cell", F.concat_ws(":", "block", "part")), "jaccard-members")
     # The few members are the side that is built, at every size.
-    texts = written(real.join(members.hint("shuffle_hash"), "doc_id").select(*members.columns, "text"), "jaccard-texts")
-    links = written(_cells(texts.withColumn("label", F.col("doc_id")), threshold), "jaccard-links")
+    texts = real.join(members.hint("shuffle_hash"), "doc_id").select(*members.drop("doc_id").columns, "text")
+    # An id may have other texts besides the one whose set is wanted.
+    texts = written(texts.mapInArrow(partial(_own_batches, threshold=threshold), texts.schema), "jaccard-texts")
+    links = written(_cells(texts.withColumn("label", F.col("set_id")), threshold), "jaccard-links")
     if not members.filter("cells > 1").isEmpty():
         links = _across_cells(texts.filter("cells > 1"), links, threshold)
     # A class is linked with the documents that have its set.
     same = sizes.join(classes.select("set_id", "size", F.col("doc_id").alias("keeper")), ["set_id", "size"])
     same = written(same.select("doc_id", "keeper"), "jaccard-same")
-    reached = components(links, "a", "b")
+    keepers = classes.select("set_id", "doc_id")
+    links = links.join(keepers.toDF("a", "left"), "a").join(keepers.toDF("b", "right"), "b").select("left", "right")
+    # An id with several sets links their classes.
+    several = same.groupBy("doc_id").agg(F.min("keeper").alias("low"), F.max("keeper").alias("high")).filter("low < high")
+    own = same.join(several, "doc_id", "left_semi").select("doc_id", "keeper").distinct()
+    reached = components(written(links.union(own), "jaccard-document-links"), "left", "right")
     joined = same.join(reached, same["keeper"] == reached["node"], "left")
     found = joined.select("doc_id", F.coalesce("component", "keeper").alias("component_id"))
     found = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
@@ -535,19 +552,19 @@ def _across_cells(texts: DataFrame, links: DataFrame, threshold: Threshold) -> D
 
     def labelled(links):
         found = components(links, "a", "b")
-        ids = texts.select("doc_id", "size", "block", "cell")
-        joined = ids.join(found, ids["doc_id"] == found["node"], "left")
-        return written(joined.select(*ids.columns, F.coalesce("component", "doc_id").alias("label")), "jaccard-labels")
+        ids = texts.select("set_id", "size", "block", "cell")
+        joined = ids.join(found, ids["set_id"] == found["node"], "left")
+        return written(joined.select(*ids.columns, F.coalesce("component", "set_id").alias("label")), "jaccard-labels")
 
     def joined_cells(rows, name):
-        return written(_cells(rows.join(texts.select("doc_id", "text"), "doc_id"), threshold), name)
+        return written(_cells(rows.join(texts.select("set_id", "text"), "set_id"), threshold), name)
 
     now = labelled(links)
-    # The least documents of large components of each cell meet first: at most 16 of each cell.
-    large = now.groupBy("block", "cell", "label").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    # The least sets of large components of each cell meet first: at most 16 of each cell.
+    large = now.groupBy("block", "cell", "label").agg(F.min("set_id").alias("set_id"), F.count("*").alias("n"))
     whole = now.groupBy("cell").agg(F.count("*").alias("all"))
-    large = large.join(whole, "cell").filter("16 * n >= all").select("doc_id")
-    heads = now.join(large, "doc_id", "left_semi").select(F.col("block").cast("string").alias("cell"), "doc_id", "size", "label")
+    large = large.join(whole, "cell").filter("16 * n >= all").select("set_id")
+    heads = now.join(large, "set_id", "left_semi").select(F.col("block").cast("string").alias("cell"), "set_id", "size", "label")
     links = links.union(joined_cells(heads, "jaccard-heads"))
     now = labelled(links)
     # What is not in a block's largest component meets every cell of the block.
@@ -555,8 +572,8 @@ def _across_cells(texts: DataFrame, links: DataFrame, threshold: Threshold) -> D
     largest = counted.groupBy("block").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
     rest = now.join(largest, "block").filter("label <> largest")
     places = now.select("block", "cell").distinct()
-    guests = rest.select("block", "doc_id", "size", "label").join(places, "block").select("cell", "doc_id", "size", "label")
-    hosts = now.join(rest.select("block").distinct(), "block", "left_semi").select("cell", "doc_id", "size", "label")
+    guests = rest.select("block", "set_id", "size", "label").join(places, "block").select("cell", "set_id", "size", "label")
+    hosts = now.join(rest.select("block").distinct(), "block", "left_semi").select("cell", "set_id", "size", "label")
     return links.union(joined_cells(hosts.union(guests).distinct(), "jaccard-all-links"))
 
 

@@ -142,3 +142,19 @@ def test_one_of_each_stays(spark):
     kept = keep_one_of_each(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 5, 6]
     assert linked_components(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 300])
+def test_an_id_with_several_texts_keeps_the_links_of_each(spark, monkeypatch, limit):
+    monkeypatch.setattr(jaccard_join, "RUNS_IN_TRIE", limit)
+    r = random.Random(8)
+    texts = []
+    for i in range(12):
+        a, b, c = (prose(r, 60) for _ in range(3))
+        # Two texts of one size under one id, with near copies under other ids, and a copy of a third one.
+        texts += [(10 * i + 1, a), (10 * i + 1, b), (10 * i + 2, mutated(r, a, 1)), (10 * i + 3, mutated(r, b, 1))]
+        texts += [(10 * i + 4, c), (10 * i + 6, c), (10 * i + 6, prose(r, 60)), (10 * i + 5, texts[-1][1]), (10 * i + 5, c)]
+    docs = documents(spark, texts)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = linked_components(docs, Threshold(4, 80, 100)).collect()
+    assert sorted(map(tuple, found), key=str) == expected(rows, Threshold(4, 80, 100))
