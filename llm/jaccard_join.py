@@ -159,13 +159,19 @@ def _set_batches(batches, threshold: Threshold):
         yield pa.RecordBatch.from_arrays([*none, *slices], [c.split()[0] for c in _SETS.split(", ")])
 
 
-def _flag_batches(batches, limit: float):
-    """Buckets of each slice that more than `limit` texts hold, as bits; rows come sorted by slice."""
+def _bucket_sums(batches) -> dict[int, np.ndarray]:
+    """Texts that hold each bucket, by slice."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for number, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             part = np.frombuffer(pa.decompress(counts, _SLICE * 4, codec="zstd", asbytes=True), "<u4")
             sums[number] = sums.get(number, 0) + part.astype(np.int64)
+    return sums
+
+
+def _flag_batches(batches, limit: float):
+    """Buckets of each slice that more than `limit` texts hold, as bits."""
+    sums = _bucket_sums(batches)
     flags = [np.packbits(s > limit).tobytes() for s in sums.values()]
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(flags, pa.binary())], ["slice", "flags"])
 
@@ -182,6 +188,22 @@ def frequent_buckets(sets: DataFrame) -> np.ndarray:
     return flags.ravel()
 
 
+def _level_batches(batches):
+    """How frequent the buckets of each slice are, in eighths of a doubling."""
+    sums = _bucket_sums(batches)
+    levels = [np.minimum(8 * np.log2(s + 1), 255).astype(np.uint8).tobytes() for s in sums.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], ["slice", "levels"])
+
+
+def bucket_levels(sets: DataFrame) -> np.ndarray:
+    """A byte for each bucket that grows with the texts that hold it."""
+    slices = sets.filter("slice is not null").select("slice", "counts").repartition(_SLICES, "slice")
+    levels = np.zeros((_SLICES, _SLICE), np.uint8)
+    for row in slices.mapInArrow(_level_batches, "slice int, levels binary").collect():  # `_SLICES` rows of a fixed size
+        levels[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
+    return levels.ravel()
+
+
 _KEYED = "key long, set_id long"
 
 
@@ -222,6 +244,35 @@ def _key_batches(batches, threshold: Threshold, frequent: np.ndarray):
         yield from _combined(np.concatenate(keys), np.concatenate(sets))
 
 
+def rarest_runs(values: np.ndarray, total: np.ndarray, levels: np.ndarray, threshold: Threshold):
+    """Each set's first runs in the order of levels and hashes, one more than a linked set may lack, and the set of each.
+
+    The order is one for all sets, so two linked sets share one of these.
+    """
+    sizes = np.diff(total)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((values, levels[(values >> _BUCKET_SHIFT).astype(np.int64)], owner))
+    first = sizes - -(-threshold.part * sizes // threshold.whole) + 1
+    rank = np.arange(len(values)) - total[:-1][owner]
+    return values[order[rank < first[owner]]], owner[rank < first[owner]]
+
+
+def _rarest_batches(batches, threshold: Threshold, levels: np.ndarray):
+    """The rarest runs of all sets as keys."""
+    keys, sets, held = [], [], 0
+    for batch in batches:
+        for _, values, total in run_sets(batch.column(0), threshold.n):
+            found, owner = rarest_runs(values, np.asarray(total), levels, threshold)
+            keys.append(found)
+            sets.append(identify(values, total)[owner])
+            held += len(found)
+            if held >= KEYS_AT_ONCE:
+                yield from _combined(np.concatenate(keys), np.concatenate(sets))
+                keys, sets, held = [], [], 0
+    if held:
+        yield from _combined(np.concatenate(keys), np.concatenate(sets))
+
+
 def _meet_batches(batches):
     """Sets that share a key, from rows sorted by key: each with the least one."""
     last_key, last_set = None, None
@@ -502,9 +553,10 @@ def linked_components(docs: DataFrame, threshold: Threshold = Threshold(), id_co
 
     Only keys and ids are shuffled for all documents. Documents with equal sets are one class, of which the
     one with the least id goes on, so copies cost nothing further. The texts that go on are those that share a key with
-    another class; they are written once. A class of candidates is split in cells of bounded size: the first round
-    joins each cell, the second joins what stayed apart from the largest component with every cell, so no
-    pair is missed and no cell holds an unbounded group.
+    another class; they are written once. A class of candidates that is larger than a cell is parted by the rarest runs of
+    its sets, and what is still larger is split in cells of bounded size: the first round joins each cell, the second
+    joins what stayed apart from the largest component with every cell, in groups of bounded size. So no
+    pair is missed and no task holds more than two cells.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     real = rows.filter("doc_id is not null")
@@ -520,16 +572,18 @@ def linked_components(docs: DataFrame, threshold: Threshold = Threshold(), id_co
     members = blocks.join(classes, blocks["node"] == classes["set_id"])
     members = members.select("set_id", "doc_id", "size", F.col("component").alias("block"))
     totals = members.groupBy("block").agg(F.sum("size").alias("runs"), F.count("*").alias("n")).filter("n > 1")
-    cells = F.ceil(F.col("runs") / F.lit(RUNS_IN_TRIE)).cast("int")
+    cells = F.ceil(F.col("runs") / F.lit(RUNS_IN_TRIE)).cast("long")
     members = members.join(totals.select("block", cells.alias("cells")), "block")
-    members = members.withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("cells")))
-    members = written(members.withColumn("cell", F.concat_ws(":", "block", "part")), "jaccard-members")
+    members = written(members.withColumn("cell", F.col("block").cast("string")), "jaccard-members")
     # The few members are the side that is built, at every size.
     texts = real.join(members.hint("shuffle_hash"), "doc_id").select(*members.drop("doc_id").columns, "text")
     # An id may have other texts besides the one whose set is wanted.
     texts = written(texts.mapInArrow(partial(_own_batches, threshold=threshold), texts.schema), "jaccard-texts")
+    large = not members.filter("cells > 1").isEmpty()
+    if large:
+        texts = texts.filter("cells <= 1").unionByName(_parted(texts.filter("cells > 1"), threshold))
     links = written(_cells(texts.withColumn("label", F.col("set_id")), threshold), "jaccard-links")
-    if not members.filter("cells > 1").isEmpty():
+    if large:
         links = _across_cells(texts.filter("cells > 1"), links, threshold)
     # A class is linked with the documents that have its set.
     same = sizes.join(classes.select("set_id", "size", F.col("doc_id").alias("keeper")), ["set_id", "size"])
@@ -547,6 +601,26 @@ def linked_components(docs: DataFrame, threshold: Threshold = Threshold(), id_co
     return out.select("doc_id", "size", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _parted(texts: DataFrame, threshold: Threshold) -> DataFrame:
+    """The texts of large blocks in blocks of those that share rarest runs, and these in cells.
+
+    A passage that many share is frequent, so it brings nobody together here; who meets nobody is left out.
+    """
+    levels = bucket_levels(written(texts.select("set_id", "text").mapInArrow(partial(_set_batches, threshold=threshold), _SETS), "jaccard-large"))
+    keyed = texts.select("text").mapInArrow(partial(_rarest_batches, threshold=threshold, levels=levels), _KEYED)
+    met = keyed.repartition("key").sortWithinPartitions("key")
+    found = components(met.mapInArrow(_meet_batches, "a long, b long"), "a", "b")
+    ids = texts.select("set_id", "size").distinct()
+    members = ids.join(found, ids["set_id"] == found["node"]).select("set_id", "size", F.col("component").alias("block"))
+    members = written(members, "jaccard-large-members")
+    cells = F.ceil(F.sum("size") / F.lit(RUNS_IN_TRIE)).cast("long").alias("cells")
+    members = members.join(members.groupBy("block").agg(cells), "block")
+    part = F.pmod(F.xxhash64("set_id"), F.col("cells"))
+    # The names differ from those of small blocks.
+    members = members.withColumn("cell", F.concat_ws(":", "block", part))
+    return written(members.join(texts.select("set_id", "text"), "set_id").select(*texts.columns), "jaccard-large-texts")
+
+
 def _across_cells(texts: DataFrame, links: DataFrame, threshold: Threshold) -> DataFrame:
     """The links with those between cells of blocks that have several."""
 
@@ -564,16 +638,24 @@ def _across_cells(texts: DataFrame, links: DataFrame, threshold: Threshold) -> D
     large = now.groupBy("block", "cell", "label").agg(F.min("set_id").alias("set_id"), F.count("*").alias("n"))
     whole = now.groupBy("cell").agg(F.count("*").alias("all"))
     large = large.join(whole, "cell").filter("16 * n >= all").select("set_id")
-    heads = now.join(large, "set_id", "left_semi").select(F.col("block").cast("string").alias("cell"), "set_id", "size", "label")
+    heads = written(now.join(large, "set_id", "left_semi"), "jaccard-large-heads")
+    groups = heads.groupBy("block").agg(F.ceil(F.sum("size") / F.lit(RUNS_IN_TRIE)).cast("long").alias("groups"))
+    group = F.pmod(F.xxhash64("set_id", F.lit(2)), F.col("groups"))
+    heads = heads.join(groups, "block").select(F.concat_ws(":", "block", group).alias("cell"), "set_id", "size", "label")
     links = links.union(joined_cells(heads, "jaccard-heads"))
     now = labelled(links)
-    # What is not in a block's largest component meets every cell of the block.
+    # What is not in a block's largest component meets every cell of the block, in guests' groups of a cell's size.
     counted = now.groupBy("block", "label").agg(F.count("*").alias("n"))
     largest = counted.groupBy("block").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
     rest = now.join(largest, "block").filter("label <> largest")
+    rest = written(rest.select("block", "set_id", "size", "label"), "jaccard-rest")
+    groups = rest.groupBy("block").agg(F.ceil(F.sum("size") / F.lit(RUNS_IN_TRIE)).cast("long").alias("groups"))
+    group = F.pmod(F.xxhash64("set_id", F.lit(1)), F.col("groups"))
+    columns = F.concat_ws("/", "cell", "group").alias("cell"), F.col("set_id"), F.col("size"), F.col("label")
     places = now.select("block", "cell").distinct()
-    guests = rest.select("block", "set_id", "size", "label").join(places, "block").select("cell", "set_id", "size", "label")
-    hosts = now.join(rest.select("block").distinct(), "block", "left_semi").select("cell", "set_id", "size", "label")
+    guests = rest.join(groups, "block").withColumn("group", group).join(places, "block").select(*columns)
+    every = groups.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
+    hosts = now.join(every, "block").select(*columns)
     return links.union(joined_cells(hosts.union(guests).distinct(), "jaccard-all-links"))
 
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from cases import corpus, documents, mutated, prose
+from pyspark.sql import functions as F
 
 from llm import components as components_module
 from llm import jaccard_join
@@ -158,3 +159,44 @@ def test_an_id_with_several_texts_keeps_the_links_of_each(spark, monkeypatch, li
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     found = linked_components(docs, Threshold(4, 80, 100)).collect()
     assert sorted(map(tuple, found), key=str) == expected(rows, Threshold(4, 80, 100))
+
+
+@pytest.mark.parametrize("boilerplate", [0.7, 0.9])
+def test_no_group_holds_more_than_two_cells(spark, monkeypatch, tmp_path, boilerplate):
+    """Many unlinked documents that share most of their text; with more of it, chains of links among them."""
+    monkeypatch.setattr(jaccard_join, "RUNS_IN_TRIE", 2000)
+    r = random.Random(12)
+    n, t = 200, Threshold(2, 80, 100)
+    words_ = [f"w{k}" for k in range(n)]
+    texts = []
+    for i in range(60):
+        own = [w if k < boilerplate * n else f"d{i}x{k}" for k, w in enumerate(words_)]
+        texts.append(" ".join(own))
+    texts += [mutated(r, texts[i], 1) for i in (3, 30)]
+    seen = []
+    real = jaccard_join._cells
+
+    def watched(members, threshold):
+        seen.extend(x["runs"] for x in members.dropDuplicates(["cell", "set_id"]).groupBy("cell").agg(F.sum("size").alias("runs")).collect())
+        return real(members, threshold)
+
+    monkeypatch.setattr(jaccard_join, "_cells", watched)
+    docs = documents(spark, texts)
+    rows = [(x["doc_id"], x["text"]) for x in docs.collect()]
+    found = linked_components(docs, t).collect()
+    assert sorted(map(tuple, found), key=str) == expected(rows, t)
+    # Sets are dealt by hash, so a cell is a little uneven.
+    assert seen and max(seen) <= 2 * 2 * jaccard_join.RUNS_IN_TRIE
+
+
+def test_linked_sets_share_a_rarest_run():
+    r = random.Random(14)
+    t = Threshold(1, 80, 100)
+    levels = np.random.default_rng(4).integers(0, 9, jaccard_join.BUCKETS).astype(np.uint8)
+    for size in [*range(1, 30), 100, 400]:
+        a = sorted(r.getrandbits(64) for _ in range(size))
+        for _ in range(20):
+            b = sorted({*r.sample(a, size - r.randrange(0, size // 5 + 1)), *(r.getrandbits(64) for _ in range(r.randrange(0, size // 5 + 1)))})
+            if t.linked(len(set(a) & set(b)), len(a), len(b)):
+                keys, owner = jaccard_join.rarest_runs(np.array(a + b, np.uint64), np.array([0, len(a), len(a) + len(b)]), levels, t)
+                assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
