@@ -1,7 +1,7 @@
 import json
 
 import golden
-from conftest import rows
+from helpers import rows
 
 from tidymart.contracts import SITE_PREFIX
 from tidymart.plans.mart import MartSpec, build_mart, mart_summary

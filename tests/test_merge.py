@@ -1,7 +1,7 @@
 import random
 
 import golden
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidymart.contracts import KEY

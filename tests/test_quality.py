@@ -1,6 +1,6 @@
 import golden
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tidymart.contracts import QUALITY_TARGETS
 from tidymart.operators import quality

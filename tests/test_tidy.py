@@ -3,7 +3,7 @@ from dataclasses import replace
 
 import golden
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidymart.contracts import CONSUMPTION, KEY, NOTIFICATIONS
