@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, exact_dedup, html_text, jaccard_join, packing, pitman_yor, secret_scan, sharding, toxicity, warc
+from llm import decontaminate, exact_dedup, fill_in_middle, html_text, jaccard_join, packing, pitman_yor, secret_scan, sharding, toxicity, warc
 from llm.workers import importable
 from tidymart.session import scratch_path
 
@@ -171,3 +171,20 @@ def op6_decontamination(spark, folder):
 @query("op3_pitman_yor")
 def op3_pitman_yor(spark, folder):
     return pitman_yor.score_texts(table(spark, folder, "documents"))
+
+
+_FORM_SQL = "case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end"
+FIM_SQL = f"""
+with hashed as (select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as x from documents),
+numbers as (select doc_id, t, length(t) as n, {", ".join(f"('0x' || substr(x, {1 + 8 * i}, 8))::bigint as h{i + 1}" for i in range(4))} from hashed),
+formed as (select doc_id, t, n, {_FORM_SQL} as form, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b from numbers),
+parts as (select *, substr(t, 1, a) as p, substr(t, a + 1, b - a) as m, substr(t, b + 1) as s from formed)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(t) as restored_sha256
+from parts"""
+
+
+@query("op11_fill_in_middle", FIM_SQL)
+def op11_fill_in_middle(spark, folder):
+    return fill_in_middle.fim_digests(table(spark, folder, "documents"))
