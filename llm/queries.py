@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, exact_dedup, fill_in_middle, html_text, jaccard_join, packing, pitman_yor, secret_scan, sharding, toxicity, warc
+from llm import decontaminate, exact_dedup, fill_in_middle, filter_audit, html_text, jaccard_join, packing, pitman_yor, secret_scan, sharding, toxicity, warc
 from llm.workers import importable
 from tidymart.session import scratch_path
 
@@ -188,3 +188,36 @@ from parts"""
 @query("op11_fill_in_middle", FIM_SQL)
 def op11_fill_in_middle(spark, folder):
     return fill_in_middle.fim_digests(table(spark, folder, "documents"))
+
+
+AUDIT_SQL = r"""
+with words as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
+failing as (
+  select doc_id, part, (len(w) < 50)::int as a, (100 * len(list_distinct(w)) < 65 * len(w))::int as b,
+    (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::int as c,
+    regexp_matches(t, '[#$%&*|]')::int as d, (doc_id > min(doc_id) over (partition by t))::int as e from words),
+marked as (
+  select part, map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} as fails, count(*) as n, count(*) filter (quality = 1) as good, count(*) filter (toxic = 1) as bad
+  from failing left join (select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id) using (doc_id) group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f),
+orders as (
+  select p.f || q.f || r.f || s.f || t.f as o from letters p, letters q, letters r, letters s, letters t
+  where len(list_distinct([p.f, q.f, r.f, s.f, t.f])) = 5),
+steps as (select o as filter_order, k::int as step, substr(o, k::int, 1) as f, string_split(substr(o, 1, k::int - 1), '') as before from orders, range(1, 6) as r(k)),
+states as (
+  select part, filter_order, step, f, n, good, bad, fails[f] as own, list_sum(list_transform(['A', 'B', 'C', 'D', 'E'], lambda x: fails[x])) as every,
+    len(list_filter(before, lambda x: x <> '' and fails[x] = 1)) > 0 as gone from marked, steps),
+counted as (
+  select part, filter_order, step, f, coalesce(sum(n) filter (not gone and own = 0), 0)::bigint as kept,
+    coalesce(sum(n) filter (not gone and own = 1), 0)::bigint as removed, coalesce(sum(n) filter (gone and own = 1), 0)::bigint as redundant,
+    coalesce(sum(n) filter (own = 1 and every = 1), 0)::bigint as unique_fails, coalesce(sum(good) filter (not gone and own = 1), 0)::bigint as good_lost,
+    coalesce(sum(bad) filter (not gone and own = 1), 0)::bigint as toxic_lost from states group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, f))::bigint as shapley from counted"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def op12_filter_audit(spark, folder):
+    return filter_audit.audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
