@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, exact_dedup, fill_in_middle, filter_audit, html_text, jaccard_join, packing, pitman_yor, secret_scan, sharding, toxicity, warc
+from llm import decontaminate, exact_dedup, fill_in_middle, filter_audit, html_text, jaccard_join, language_mix, packing, pitman_yor, secret_scan, sharding, toxicity, warc
 from llm.workers import importable
 from tidymart.session import scratch_path
 
@@ -221,3 +221,11 @@ select part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 @query("op12_filter_audit", AUDIT_SQL)
 def op12_filter_audit(spark, folder):
     return filter_audit.audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_language_mixture")
+def op13_language_mixture(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = language_mix.held_out()
+    found = language_mix.predict(docs, language_mix.train(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
