@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -19,8 +20,10 @@ _INLINE = frozenset(
 #: Elements whose text is never part of an article.
 _UNREAD = frozenset(
     "head title script style noscript template iframe object svg math canvas audio video map "
-    "nav footer aside form button select textarea menu dialog".split()
+    "footer button select textarea menu dialog".split()
 )
+#: Elements that are no part of an article unless they hold one: server-made pages are one big form, and some are left open.
+_HOLDERS = frozenset(("form", "aside", "nav"))
 _ARTICLE = frozenset(("article", "main"))
 #: Elements that are content whatever their names say.
 _NEVER_NAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
@@ -68,11 +71,15 @@ class LineParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        # Tag, whether an unread region, an article and a named region begin.
-        self.open: list[tuple[str, bool, bool, bool]] = []
-        self.unread = self.articles = self.links = self.named = 0
+        # Tag, whether an unread region and an article begin, and the number of the named region that begins, or 0.
+        self.open: list[tuple[str, bool, bool, int]] = []
+        self.count: Counter[str] = Counter()  # open elements by tag
+        self.unread = self.articles = self.links = 0
+        self.regions: list[int] = []
         self.region_in_article: list[bool] = []
-        self.seen_article = False
+        self.holding: set[int] = set()  # holders in which an article begins
+        self.bodies: set[int] = set()  # those that are the page's body therefore
+        self.seen_article = self.endless_comment = False
         self.line = Line()
 
     def _end_line(self):
@@ -85,7 +92,7 @@ class LineParser(HTMLParser):
 
     def _place_line(self):
         self.line.article = self.articles > 0
-        self.line.region = len(self.region_in_article) if self.named else 0
+        self.line.region = self.regions[-1] if self.regions else 0
 
     def _is_unread(self, tag: str, attrs) -> bool:
         if tag in _UNREAD:
@@ -106,23 +113,44 @@ class LineParser(HTMLParser):
                         return True
         return False
 
-    def _pop(self):
-        tag, unread, article, named = self.open.pop()
+    def _pop(self, closed: bool = False):
+        tag, unread, article, region = self.open.pop()
+        self.count[tag] -= 1
         self.unread -= unread
         self.articles -= article
-        self.named -= named
         self.links -= tag == "a"
+        if region:
+            self.regions.pop()
+            if region in self.holding and (tag == "form" or not closed):
+                self.bodies.add(region)
+
+    def parse_starttag(self, i):
+        # Without a bracket to come no tag is whole; the parser would read the rest of the page for each of them.
+        return super().parse_starttag(i) if self.rawdata.find(">", i) >= 0 else -1
+
+    def parse_comment(self, i, report=1):
+        """As the parser does, but a page whose comment never ends is searched for the end once."""
+        end = -1 if self.endless_comment else super().parse_comment(i, report)
+        self.endless_comment = end < 0
+        return end
+
+    def parse_marked_section(self, i, report=1):
+        """Any section, known or not, is a comment up to its bracket, as in browsers."""
+        end = self.rawdata.find(">", i + 3)
+        return -1 if end < 0 else end + 1
 
     def handle_starttag(self, tag, attrs):
-        if tag == "body" and any(t == "head" for t, *_ in self.open):
+        if tag == "body" and self.count["head"]:
             while self.open[-1][0] != "html" and len(self.open) > 1:
                 self._pop()
         article = tag in _ARTICLE
-        boxed = self.unread or self.named
-        if article and boxed and not self.seen_article and not any(t in _UNREAD and t != "head" for t, *_ in self.open):
+        if article and not self.seen_article and (self.unread or self.regions):
             # A page's first article does not stand in an advert or notice: that region was not closed.
-            while self.unread or self.named:
-                self._pop()
+            if not any(self.count[t] for t in (_UNREAD - {"head"}) | _HOLDERS):
+                while self.unread or self.regions:
+                    self._pop()
+        if article and self.regions:
+            self.holding.update(self.regions)
         self.seen_article |= article
         if tag not in _INLINE:
             if tag in _ENDS_PARAGRAPH and any(t == "p" for t, *_ in self.open[-4:]):
@@ -138,14 +166,15 @@ class LineParser(HTMLParser):
         if tag in _VOID:
             return
         unread = tag not in ("html", "body") and self._is_unread(tag, attrs)
-        named = not unread and self._is_named(tag, attrs)
+        named = not unread and (tag in _HOLDERS or self._is_named(tag, attrs))
         if named and tag in _INLINE:
             unread, named = True, False  # a part of a line has no ratio of its own
-        if named and not self.named:
+        if named:
             self.region_in_article.append(self.articles > 0)
-        self.open.append((tag, unread, article, named))
+            self.regions.append(len(self.region_in_article))
+        self.open.append((tag, unread, article, self.regions[-1] if named else 0))
+        self.count[tag] += 1
         self.unread += unread
-        self.named += named
         self.articles += article
         self.links += tag == "a"
         self._place_line()
@@ -159,10 +188,13 @@ class LineParser(HTMLParser):
         if tag not in _INLINE:
             self._end_line()
         self.line.tags += 1
-        for i in range(len(self.open) - 1, -1, -1):
+        # Elements that are passed are closed, too, so the search costs no more than they did; without an open one there is none.
+        last = len(self.open) - 1 if self.count[tag] else -1
+        for i in range(last, -1, -1):
             if self.open[i][0] == tag:
-                while len(self.open) > i:
+                while len(self.open) > i + 1:
                     self._pop()
+                self._pop(closed=True)
                 break
             if tag in _INLINE and self.open[i][0] not in _INLINE:
                 break
@@ -178,16 +210,19 @@ class LineParser(HTMLParser):
         """All lines but those of named regions that are none of the content by their text, too."""
         self.close()
         self._end_line()
+        while self.open:
+            self._pop()
         if not self.region_in_article:
             return self.lines
-        kept = {0} | self._content_regions()
+        kept = {0} | self.bodies | self._content_regions()
         return [x for x in self.lines if x.region in kept]
 
     def _content_regions(self) -> set[int]:
         """Named regions that are the body after all: long, few links, and next to no text besides.
 
         What a region is compared with is the text in no named region: that of the articles for a region in one, or all
-        of it where no article has text. A region outside of the articles with the text is none.
+        of it where no article has text. A region outside of the articles with the text is none. A region's own text is
+        what stands in no region inside it.
         """
         count = len(self.region_in_article)
         sums = [[0, 0, 0] for _ in range(count + 1)]  # unlinked, linked, tags
@@ -196,7 +231,7 @@ class LineParser(HTMLParser):
             unlinked = sum(map(len, x.text)) - x.linked
             total = sums[x.region]
             total[0], total[1], total[2] = total[0] + unlinked, total[1] + x.linked, total[2] + x.tags
-            if x.article and not x.region:
+            if x.article and (not x.region or x.region in self.bodies):
                 inside = [inside[0] + unlinked, inside[1] + x.tags]
         found = set()
         for k, in_article in enumerate(self.region_in_article, 1):
@@ -274,7 +309,7 @@ def extract_text(pages: DataFrame, id_column="page_id", url_column="url", html_c
     """One row per page: page_id, url, text, n_chars (code points).
 
     A null or empty page, and one without text, gives an empty text. Unclosed and crossing tags are read as the
-    parser meets them; repeated rows are extracted each; null ids and URLs are kept; other columns are ignored.
+    parser meets them, and no malformed markup is an error: unknown declarations and sections are comments. Repeated rows are extracted each; null ids and URLs are kept; other columns are ignored.
     """
     rows = pages.select(F.col(id_column).cast("long"), F.col(url_column).cast("string"), F.col(html_column).cast("string"))
     return rows.mapInArrow(_extract_batches, "page_id long, url string, text string, n_chars long")

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +89,76 @@ def test_ratio_decides_on_pages_with_a_mark(page, kept, gone):
 )
 def test_names_remove_whole_names_of_regions_only(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<![foo[bar]]>x", "x"),
+        ("<article><p>a<![if !IE]>b<![endif]>c<![ x [ >d</article>", "abcd"),
+        ("<article>a<!odd thing>b<!-- c --!> d --> e<?php f ?>g</article>", "ab eg"),
+        ("<![ x [", "<![ x ["),
+        ("<form action=/p><nav>n</nav><div class=sidebar>s</div><article><p>Body</p><input value=x><button>Go</button></article></form>", "Body"),
+        ("<form><input>Search</form><article><p>x</article><form>c</form>", "x"),
+        (f"<body><aside>open<article><p>{LONG}</p></article></body>", LONG.strip()),
+        (f"<nav><a>Home</a><main><p>{LONG}</p></main>", LONG.strip()),
+        ("<aside><article>teaser</article></aside><article><p>real</article>", "real"),
+        (f"<form><div><p>{LONG}</p></div><nav>menu</nav><div class=comments>c</div></form>", LONG.strip()),
+    ],
+)
+def test_malformed_pages_and_pages_in_a_form(page, text):
+    assert main_text(page) == text
+
+
+def test_no_input_is_an_error():
+    r = random.Random(6)
+    page = f"<html><head><title>t</title></head><body><form><nav><a href='x'>y</a></nav><article><p>{LONG}</p><!-- c --></article></form></body></html>"
+    odd = ["<![", "<!", "</", "<?", "<!--", "&#", "&#x110000;", "<![CDATA[", "]]>", "<!DOCTYPE [", "\x00", "<a b='", "</article>", "<svg>", "<"]
+    for k in range(len(page)):
+        main_text(page[:k])
+        main_text(page[:k] + r.choice(odd) + page[k:])
+
+
+def test_unclosed_and_unmatched_tags_take_linear_time():
+    begun = time.process_time()
+    for part in ("<a ", "<!--", "<a href='", "</", "<!", "<?", "<![", "<div <"):
+        main_text(part * 8_000)
+    main_text("<div>" * 16_000 + "</p>" * 16_000 + "<b>x</i>" * 16_000)
+    assert time.process_time() - begun < 20
+
+
+def slow_text(page):
+    """The marked article of a well-formed page, by cutting regions out until none is left."""
+    body = re.search("<article.*?</article>", page, re.S)
+    if not body:
+        return None
+    text = re.sub("<!--.*?-->", "", body.group(), flags=re.S)
+    region = r"<(\w+)(?: [^>]*)?>(?:(?!</?\1[ >]).)*?</\1>"
+    while True:
+        cut = text
+        for found in re.finditer(region, text, re.S):
+            head = found.group()[: found.group().index(">") + 1]
+            named = re.search(r"(?:class|id|role)=.?([\w -]*)", head)
+            names = set(re.findall("[a-z]+", named.group(1).lower())) if named else set()
+            if found.group(1) in ("script", "style", "nav", "aside", "form", "footer") or names & REGIONS:
+                cut = text.replace(found.group(), "", 1)
+                break
+        if cut == text:
+            break
+        text = cut
+    text = re.sub(r"</?(?:a|b|em|i|span|strong|code|sub|sup|small)(?: [^>]*)?>", "", text)
+    from html import unescape
+
+    return " ".join(unescape(re.sub("<[^>]*>", " ", text)).split())
+
+
+REGIONS = set("ad ads advert sponsored promo cookie notice nav menu breadcrumb sidebar comment comments share social related newsletter".split())
+
+
+def test_pages_equal_a_slow_reading(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    found = {r["page_id"]: r["text"] for r in extract_text(pages).collect()}
+    wanted = {r["page_id"]: slow_text(r["html"]) for r in pages.collect()}
+    compared = [k for k, v in wanted.items() if v is not None]
+    same = sum(found[k] == wanted[k] for k in compared)
+    assert len(compared) >= 40 and same >= 0.98 * len(compared)
