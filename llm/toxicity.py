@@ -15,6 +15,8 @@ from tidymart.session import written
 
 SAMPLE_ROWS = 20_000
 TERMS = 2_048
+#: Score of every text where the labels do not hold both kinds: nothing is learned, so nothing is toxic.
+NOTHING_LEARNED = 0.01
 #: Lengths in bytes of the word beginnings that are terms besides whole words.
 PREFIXES = (4, 5, 7)
 _BUCKET_BITS = np.uint64(44)  # 2**20 buckets
@@ -145,9 +147,12 @@ def fit(lists: list[np.ndarray], labels: np.ndarray, terms: np.ndarray, factors=
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, most_terms: int = TERMS, id_column="doc_id", text_column="text", label_column="toxic") -> Model:
     """Fit on a bounded sample of labelled documents: the `sample_rows` with the smallest hash of their id.
 
-    The terms are the `most_terms` that stand out most in toxic texts of the sample. Ids and labels of the sample
-    are small by this bound and are broadcast to the documents; their texts are written once. Rows without
-    a label or id are not learned from; without any, the model has no terms and scores one half.
+    The terms are the `most_terms` that stand out most in toxic texts of the sample: at least three toxic texts hold them,
+    and their share there is 1.5 standard errors above the one in clean texts. Pairs are learned among these. Ids and labels of the
+    sample are small by this bound and are broadcast to the documents; their texts are written once. Rows without a label
+    or id are not learned from; of several labels of an id the highest counts, and rows that repeat an id are each learned from.
+    Where the labels are of one kind or there are none, the model has no terms and every text scores `NOTHING_LEARNED`. Columns
+    besides the named ones are ignored.
     """
     wanted = labels.select(F.col(id_column).alias("__id"), F.col(label_column).cast("int").alias("__toxic"))
     wanted = wanted.dropna().groupBy("__id").agg(F.max("__toxic").alias("__toxic"))
@@ -158,8 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, mo
     totals = sample.agg(F.sum("toxic"), F.count("*")).first()
     bad, all_ = int(totals[0] or 0), int(totals[1])
     if not bad or bad == all_:
-        share = 0.5 if not all_ else (bad + 1) / (all_ + 2)
-        return Model(np.zeros(0, np.uint64), float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, 1)))
+        return Model(np.zeros(0, np.uint64), float(np.log(NOTHING_LEARNED / (1 - NOTHING_LEARNED))), np.zeros(0), np.zeros((0, 1)))
     counts = sample.mapInArrow(_count_batches, "term long, toxic long, clean long")
     counted = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     in_toxic, in_clean = F.col("toxic") / bad, F.col("clean") / (all_ - bad)
@@ -199,7 +203,11 @@ def held_out(id_column: str = "doc_id", folds: int = 5):
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
-    """The documents whose score stays below `limit`, with all their columns; labels of held-out rows are not used."""
+    """The documents whose score stays below `limit`, with all their columns; labels of held-out rows are not used.
+
+    Without labels of both kinds nothing is dropped. A null text is scored as an empty one; repeated rows stay or go together,
+    null ids too; an empty table gives no rows.
+    """
     model = train(docs, labels.filter(~held_out()))
     scored = partial(_keep_batches, model=model, limit=limit, at=docs.columns.index("text"))
     return docs.mapInArrow(scored, docs.schema)

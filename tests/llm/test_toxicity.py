@@ -68,9 +68,24 @@ def test_scores_depend_on_the_text_alone(spark):
     assert len({r["score"] for r in found}) <= 3
 
 
-@pytest.mark.parametrize("kind", ["none", "all clean", "nulls"])
+@pytest.mark.parametrize("kind", ["none", "all clean", "all toxic", "nulls"])
 def test_labels_that_teach_nothing(spark, kind):
     docs = documents(spark, ["a", "b", None])
-    rows = {"none": [], "all clean": [(1, 0), (2, 0)], "nulls": [(None, 1), (1, None)]}[kind]
-    model = train(docs, spark.createDataFrame(rows, "doc_id long, toxic int"))
-    assert score(docs, model).count() == 3 and score(docs.limit(0), model).count() == 0
+    rows = {"none": [], "all clean": [(1, 0), (2, 0)], "all toxic": [(1, 1), (2, 1)], "nulls": [(None, 1), (1, None)]}[kind]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+    model = train(docs, labels)
+    assert score(docs, model).filter("score < 0.5").count() == 3 and score(docs.limit(0), model).count() == 0
+    kept = drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_the_machine_beats_a_linear_model_on_pairs(spark):
+    docs, labels = pairs_table(spark)
+    model = train(docs, labels.filter("doc_id <= 400"))
+    alone = Model(model.terms, model.bias, model.weights, np.zeros((len(model.terms), 1)))
+    marks = labels.select("doc_id", "toxic").filter("doc_id > 400")
+    right = []
+    for m in (model, alone):
+        found = score(docs, m).join(marks, "doc_id").collect()
+        right.append(np.mean([(r["score"] >= 0.5) == bool(r["toxic"]) for r in found]))
+    assert right[0] > right[1]
