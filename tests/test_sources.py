@@ -160,3 +160,57 @@ def test_database_options():
     assert tables.append_options("u", "t") == {"url": "u", "dbtable": "t", "batchsize": "1000"}
     assert tables.scan_options("u", "t", ("id", 1, 9, 3))["numPartitions"] == "3"
     assert "partitionColumn" not in tables.scan_options("u", "t")
+
+
+def growing(folder, total):
+    """A source of numbered records that notes in a folder which offsets it was asked for."""
+    path = f"{folder}/calls"
+
+    def fetch(offset, size):
+        with open(path, "a") as log:
+            log.write(f"{offset}\n")
+        records = [{"a": i} for i in range(offset, min(total, offset + size))]
+        return {"success": True, "result": {"records": records, "total": total}}
+
+    return fetch
+
+
+def test_a_restarted_extract_goes_on_where_it_stopped(spark, tmp_path):
+    paths = str(tmp_path / "target"), str(tmp_path / "state")
+    for total in (0, 13, 13, 20, 47):
+        (tmp_path / "calls").write_text("")
+        paged.extract_new(spark, growing(tmp_path, total), *paths, ["a"], 10).awaitTermination()
+        found = rows(spark.read.schema("a string").parquet(paths[0])) if total else []
+        assert found == sorted((str(i),) for i in range(total))
+    # The last run asked for the total and read three pages; pages before them were not asked for again.
+    asked = {int(x) for x in (tmp_path / "calls").read_text().split()}
+    assert asked == {0, 20, 30, 40}
+    with pytest.raises(Exception, match="47 were read before"):
+        paged.extract_new(spark, growing(tmp_path, 30), *paths, ["a"], 10).awaitTermination()
+
+
+def test_a_batch_that_failed_is_read_again(spark, tmp_path):
+    paths = str(tmp_path / "target"), str(tmp_path / "state")
+
+    whole = growing(tmp_path, 25)
+
+    def broken(offset, size):
+        if offset == 10:
+            raise OSError("no network")
+        return whole(offset, size)
+
+    with pytest.raises(Exception, match="no network"):
+        paged.extract_new(spark, broken, *paths, ["a"], 10).awaitTermination()
+    paged.extract_new(spark, growing(tmp_path, 25), *paths, ["a"], 10).awaitTermination()
+    assert rows(spark.read.parquet(paths[0])) == sorted((str(i),) for i in range(25))
+
+
+def test_no_record_travels_with_the_source():
+    from pyspark import cloudpickle
+
+    def fetch(offset, size):
+        return {"success": True, "result": {"records": [{"a": "x" * 1000} for _ in range(size)], "total": 900}}
+
+    source = paged.paged_source(fetch, known=paged.extent(fetch, 300))({"limit": "300"})
+    assert len(cloudpickle.dumps(source.reader(source.schema()))) < 5000 and len(cloudpickle.dumps(type(source))) < 20_000
+    assert [(p.offset, p.expected) for p in source.reader(source.schema()).partitions()] == [(0, 300), (300, 300), (600, 300)]

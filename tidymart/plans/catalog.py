@@ -511,9 +511,9 @@ def land_records(spark, folder):
     return files.read_csv(spark, path, suppliers.columns)
 
 
-def _answers(spark, folder) -> DataFrame:
+def _answers(spark, folder, customers: DataFrame | None = None) -> DataFrame:
     """The customers as answers of a paged API: (offset, answer), at most PAGE_ROWS records each."""
-    customers = table(spark, folder, "customer")
+    customers = table(spark, folder, "customer") if customers is None else customers
     record = F.struct(*(F.col(c).cast("string").alias(c) for c in customers.columns))
     offset = (F.col("c_custkey") - F.col("c_custkey") % PAGE_ROWS).alias("offset")
     pages = customers.groupBy(offset).agg(F.collect_list(record).alias("records"))
@@ -638,3 +638,20 @@ def paged_source(spark, folder):
     )
     answers.write.partitionBy("offset").text(path)
     return paged.read_pages(spark, paged.FolderFetcher(path), PAGE_ROWS, table(spark, folder, "customer").columns)
+
+
+@query("paged_stream")
+def paged_stream(spark, folder):
+    """Three runs of the extractor with one checkpoint: over a part that ends inside a page, over all, over all again."""
+    customers = table(spark, folder, "customer")
+    target, checkpoint = scratch_path(spark, "extracted"), scratch_path(spark, "extract-state")
+    early = customers.where(F.col("c_custkey") < customers.agg(F.expr("max(c_custkey) div 2")).scalar())
+    saved = []
+    for part in (early, customers):
+        saved.append(scratch_path(spark, "answers"))
+        text = F.to_json("answer", {"ignoreNullFields": "false"}).alias("text")
+        _answers(spark, folder, part).select("offset", text).write.partitionBy("offset").text(saved[-1])
+    for path in (saved[0], saved[1], saved[1]):
+        fetch = paged.FolderFetcher(path)
+        paged.extract_new(spark, fetch, target, checkpoint, customers.columns, PAGE_ROWS).awaitTermination()
+    return spark.read.parquet(target)

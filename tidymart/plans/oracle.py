@@ -642,6 +642,10 @@ ORACLE: dict[str, str] = {
         "select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, "
         "cast(c_acctbal as varchar) as c_acctbal, c_mktsegment from customer"
     ),
+    "paged_stream": (
+        "select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, "
+        "cast(c_acctbal as varchar) as c_acctbal, c_mktsegment from customer"
+    ),
     "union_pages": (
         "select c_custkey as id, c_name as name, c_nationkey as nation, c_acctbal as balance, c_mktsegment as segment "
         "from customer union all select s_suppkey, s_name, s_nationkey, s_acctbal, null from supplier"
