@@ -104,3 +104,66 @@ def test_published_star_goes_through_the_stream(spark, tmp_path):
     out = feed.stored_table(spark, paths[0])
     assert out.columns == FEED_SCHEMA.fieldNames() and len(out.columns) == 43
     assert rows(out, "ciclo_vida", "casos_sui") == [("adolescencia", 1), ("adolescencia", 2), ("juventud", 1)]
+
+
+TIMED = T.StructType([*SCHEMA.fields, T.StructField("at", T.TimestampType())])
+
+
+def land(spark, folder, job, name, lines):
+    """One run of a feeding job with its own folder and checkpoint, all of them landing in one place."""
+    (folder / job).mkdir(exist_ok=True)
+    (folder / job / name).write_text("\n".join(lines) + "\n")
+    source = feed.read_feed(spark, "text", {}, str(folder / job))
+    feed.consume(source, str(folder / "landing"), str(folder / "rejects"), str(folder / f"state-{job}"), schema=TIMED).awaitTermination()
+
+
+def settle(spark, folder, **options):
+    paths = [str(folder / n) for n in ("landing", "table", "keys")]
+    query = feed.settle(spark, *paths, ["id_fact"], TIMED, **options)
+    query.awaitTermination()
+    return query, feed.stored_table(spark, paths[1], TIMED)
+
+
+def line(n, cases=1, at="2024-01-01T00:00:00Z"):
+    return '{"id_fact":%s,"ciclo_vida":"juventud","casos_spa":%d,"at":"%s"}' % (n, cases, at)
+
+
+def test_keys_are_state_across_jobs(spark, tmp_path):
+    land(spark, tmp_path, "a", "1.txt", [line(k) for k in range(40)] + [line(3, 9), line("null"), line("null"), LINES[1]])
+    _, out = settle(spark, tmp_path)
+    assert sorted(str(r.id_fact) for r in out.collect()) == sorted(map(str, [*range(40), None, None]))
+    # Another job publishes all of it again, and a little more: only that is stored, what was stored first stays.
+    land(spark, tmp_path, "b", "1.txt", [line(k, 7) for k in range(42)])
+    query, out = settle(spark, tmp_path)
+    assert rows(out.where("id_fact is not null"), "id_fact", "casos_spa") == rows(
+        spark.createDataFrame([(k, 1 if k < 40 else 7) for k in range(42) if k != 3], "id_fact int, casos_spa int").union(
+            out.where("id_fact = 3").select("id_fact", "casos_spa")
+        )
+    )
+    # The batch read what was landed since, and nothing of the table.
+    assert query.lastProgress["numInputRows"] == 42
+    assert query.lastProgress["stateOperators"][0]["numRowsUpdated"] == 2
+    _, again = settle(spark, tmp_path)
+    assert again.count() == 44
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    land(spark, tmp_path, "a", "1.txt", [line(k) for k in range(5)])
+    settle(spark, tmp_path)
+    # The batch was written, but the driver was lost before it was marked as done.
+    for commit in (tmp_path / "keys" / "commits").glob("*"):
+        commit.unlink()
+    _, out = settle(spark, tmp_path)
+    assert rows(out, "id_fact") == [(k,) for k in range(5)]
+
+
+def test_keys_are_forgotten_behind_the_horizon(spark, tmp_path):
+    options = {"event_time": "at", "horizon": "1 day"}
+    land(spark, tmp_path, "a", "1.txt", [line(1, 1, "2024-01-01T00:00:00Z"), line(1, 2, "2024-01-01T01:00:00Z")])
+    settle(spark, tmp_path, **options)
+    land(spark, tmp_path, "a", "2.txt", [line(1, 3, "2024-01-01T20:00:00Z"), line(2, 1, "2024-03-01T00:00:00Z")])
+    settle(spark, tmp_path, **options)
+    land(spark, tmp_path, "a", "3.txt", [line(3, 1, "2024-03-01T01:00:00Z")])
+    query, out = settle(spark, tmp_path, **options)
+    assert rows(out, "id_fact") == [(1,), (2,), (3,)]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 2

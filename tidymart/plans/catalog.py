@@ -619,6 +619,21 @@ def stream_events(spark, folder):
     return _events(spark, folder, feed.stored_table)
 
 
+@query("stream_unique")
+def stream_unique(spark, folder):
+    """The feed is published three times: twice to one job, and to a job with a checkpoint of its own; keys are state."""
+    base = scratch_path(spark, "unique")
+    lines = _event_lines(spark, folder)
+    for published, job in (("in", "one"), ("in", "one"), ("again", "two")):
+        lines.write.mode("append").text(f"{base}/{published}")
+        source = feed.read_feed(spark, "text", {}, f"{base}/{published}")
+        landed, rejects, state = (f"{base}/{x}" for x in ("landing", "rejects", f"state-{job}"))
+        options = {"schema": EVENT_SCHEMA, "field": "event_type", "wanted": EVENT_TYPES}
+        feed.consume(source, landed, rejects, state, **options).awaitTermination()
+        feed.settle(spark, landed, f"{base}/table", f"{base}/keys", ["event_id"], EVENT_SCHEMA).awaitTermination()
+    return feed.stored_table(spark, f"{base}/table", EVENT_SCHEMA)
+
+
 @query("stream_missing_field")
 def stream_missing_field(spark, folder):
     return _events(spark, folder, feed.reject_table).where(F.col("outcome") == feed.MISSING_FIELD)

@@ -652,9 +652,10 @@ ORACLE: dict[str, str] = {
     ),
     "to_json_feed": f"with {STAR} select id_fact, {WIDE} from fact",
     "stream_filter": f"with {STAR} select id_fact, {WIDE} from fact where ciclo_vida in ('household', 'machinery')",
-    "stream_events": (
+    **dict.fromkeys(
+        ("stream_events", "stream_unique"),
         f"with {EVENT_LINES} select n as event_id, event_type, cast(n % 100 as int) as amount "
-        f"from lines where {_WANTED} and n % 11 <> 0"
+        f"from lines where {_WANTED} and n % 11 <> 0",
     ),
     "stream_missing_field": (
         f"with {EVENT_LINES} select value, 'missing_field' as outcome, 'no field event_type' as reason "

@@ -105,8 +105,9 @@ def consume(
     checkpoint counts its batches from 0 again, but adds to what other jobs have stored.
 
     ``unique_by`` drops records whose key is stored already, by this job or another on the same table. Each
-    batch reads the key columns of the stored table for it; there is no state besides the table. Records
-    with a null in the key are repeated only if they come again in another batch.
+    batch reads the key columns of the stored table for it; there is no state besides the table, so this is for tables
+    that stay small: :func:`settle` keeps the keys as state. Records with a null in the key are repeated only
+    if they come again in another batch.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -131,6 +132,64 @@ def consume(
     )
 
 
+#: Keys live on the executors' disks and in the checkpoint, not in their heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_SETTING = "spark.sql.streaming.stateStore.providerClass"
+
+
+def settle(
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    checkpoint: str,
+    unique_by: Sequence[str],
+    schema: T.StructType = FEED_SCHEMA,
+    event_time: str | None = None,
+    horizon: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Move records from where :func:`consume` lands them to `table`, each key once; the keys are state of this query.
+
+    Any number of feeding jobs, each with its own checkpoint, land in ``landing``. A batch reads the files that have
+    come since the last one and looks its own keys up in the state store, which is split by key; stored records are
+    not read again. Of records that share a key the one that comes first is stored, of several in one batch
+    any one. Records with a null in the key are stored as often as they are landed.
+
+    Without a ``horizon`` a key is kept for good and the state grows with the number of keys. With ``event_time`` (a
+    timestamp column) and ``horizon`` (such as "7 days") keys are forgotten that long after the latest event, and
+    what comes later than that may be stored anew.
+    """
+    names = [f"__k{i}" for i in range(len(unique_by))]
+    landed = spark.readStream.schema(schema).parquet(landing)
+    whole = F.lit(True)
+    for c in unique_by:
+        whole = whole & F.col(c).isNotNull()
+    # A record without a whole key is its own key: its place in the landing folder.
+    place = F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
+    keyed = landed.select("*", F.when(~whole, place).alias("__alone"), *(F.col(c).alias(n) for c, n in zip(unique_by, names, strict=True)))
+    if horizon:
+        unique = keyed.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([*names, "__alone"])
+    else:
+        unique = keyed.dropDuplicates([*names, "__alone"])
+
+    def write(batch: DataFrame, number: int) -> None:
+        own = f"query={_query_id(batch.sparkSession, checkpoint)}/batch={number}"
+        batch.write.mode("overwrite").parquet(f"{table}/{own}")
+
+    before = spark.conf.get(_STATE_SETTING)
+    spark.conf.set(_STATE_SETTING, STATE_STORE)
+    try:
+        return (
+            unique.select(*schema.fieldNames())
+            .writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
+    finally:
+        spark.conf.set(_STATE_SETTING, before)
+
+
 def stored_table(spark: SparkSession, path: str, schema: T.StructType = FEED_SCHEMA) -> DataFrame:
     """What the stream has stored so far."""
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
