@@ -27,7 +27,8 @@ from tidymart.plans.driver_tables import (
     raw_b,
     table,
 )
-from tidymart.plans.mart import MartSpec, build_mart, mart_summary
+from tidymart.plans.mart import MartSpec, build_mart, load_star, mart_summary
+from tidymart.plans.refresh import Refreshed, refresh_mart
 from tidymart.session import scratch_path, written
 from tidymart.sources import files, paged
 from tidymart.streaming import feed
@@ -490,6 +491,56 @@ def mart_build(spark, folder):
     return mart_summary(mart)
 
 
+def _refreshed(spark, folder) -> Refreshed:
+    """Three loads: the early years, half of the rest, the other half; the last two meet in their years."""
+    spec = MartSpec(SPEC_A, SPEC_B, SITE_PREFIX_HERE, RISKS_HERE, QUALITY_HERE)
+    a, b = written(raw_a(spark, folder), "raw-a"), written(raw_b(spark, folder), "raw-b")
+    target, mart = scratch_path(spark, "refreshed"), None
+
+    def half(df, k):
+        return F.pmod(F.xxhash64(*df.columns), F.lit(2)) == k
+
+    early_a, early_b = F.col("ANO") <= "1996", F.col("ano_notificacion") <= "1996"
+    for load, in_a, in_b in (
+        ("early", early_a, early_b),
+        ("one", ~early_a & half(a, 0), ~early_b & half(b, 0)),
+        ("two", ~early_a & half(a, 1), ~early_b & half(b, 1)),
+    ):
+        mart = refresh_mart(a.where(in_a), b.where(in_b), target, load, spec)
+    return mart
+
+
+@query("refresh_merged")
+def refresh_merged(spark, folder):
+    mart = _refreshed(spark, folder)
+    return mart.merged.select(*merged(spark, folder).columns)
+
+
+@query("refresh_scorecard")
+def refresh_scorecard(spark, folder):
+    return _refreshed(spark, folder).scorecard
+
+
+@query("refresh_star")
+def refresh_star(spark, folder):
+    mart = _refreshed(spark, folder)
+    wide = star.denormalize(mart.fact.drop("anio"), mart.dimensions)
+    return wide.select(*star.NATURAL, "casos_spa", "casos_sui", "sitio_vivienda", "pct_conflicto_pareja")
+
+
+@query("load_set_aside")
+def load_set_aside(spark, folder):
+    """A merged table from outside with rows that have no year, rows that repeat, and counts that are missing."""
+    rows = written(merged(spark, folder), "merged")
+    undated = rows.where("anio = 1996").withColumn("anio", F.lit(None).cast("bigint"))
+    uncounted = rows.withColumn("casos_sui", F.when(F.col("anio") != 1995, F.col("casos_sui")))
+    broken = uncounted.unionByName(undated).unionByName(rows.where("anio = 1997"))
+    load = load_star(broken, scratch_path(spark, "loaded"), "first", SITE_PREFIX_HERE)
+    kept = load.fact.select(F.lit("loaded").alias("reason"), F.lit(1).cast("bigint").alias("copies"))
+    every = load.set_aside.select("reason", "copies").unionByName(kept)
+    return every.groupBy("reason").agg(F.sum("copies").alias("n"))
+
+
 # Sources and sinks -----------------------------------------------------------
 
 

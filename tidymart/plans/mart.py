@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tidymart.contracts import (
     CLASS_COLUMN,
     CONSUMPTION,
+    DIMENSIONS,
+    FACT_COUNTS,
+    FACT_KEYS,
     KEY,
     NOTIFICATIONS,
     RISK_COLUMNS,
@@ -20,8 +23,10 @@ from tidymart.contracts import (
 from tidymart.operators.merge import merge_qc, merge_sources
 from tidymart.operators.profile import qc_report
 from tidymart.operators.quality import QualitySpec, quality_gate, quality_scorecard
+from tidymart.operators.schema import check_rows
 from tidymart.operators.star import build_dimensions, build_fact, load_stats, new_facts, number_facts
 from tidymart.operators.tidy import tidy
+from tidymart.session import written
 from tidymart.sources.files import write_report
 from tidymart.sources.tables import FACT_TABLE, loaded_before, read_star, write_star
 
@@ -48,6 +53,64 @@ class Mart:
     fact: DataFrame
     dimensions: Mapping[str, DataFrame]
     stats: DataFrame
+    set_aside: DataFrame
+
+
+@dataclass(frozen=True)
+class Load:
+    """A loaded star: the facts of the load, the members as of it, and the rows that broke a constraint with their reason."""
+
+    fact: DataFrame
+    dimensions: Mapping[str, DataFrame]
+    set_aside: DataFrame
+
+
+#: Why a fact is refused: a key without a member, as in a database that looks it up, or a count that is missing.
+FACT_CONTRACT = {key: f"no member of {table}" for table, (key, _) in DIMENSIONS.items()} | {
+    c: f"null {c}" for c in FACT_COUNTS
+}
+
+
+def checked_facts(fact: DataFrame, dimensions: Mapping[str, DataFrame], name: str) -> tuple[DataFrame, DataFrame]:
+    """The facts that keep the contract, and the others with ``reason`` and ``copies``.
+
+    Both are parts of one written table: the rows are checked while they are written, once.
+    """
+    foreign = {key: dimensions[table] for table, (key, _) in DIMENSIONS.items()}
+    marked = check_rows(fact, FACT_CONTRACT, FACT_KEYS, foreign).withColumn("accepted", F.col("reason").isNull())
+    stored = written(marked, name, ["accepted"])
+    return stored.where("accepted").select(*fact.columns), stored.where("not accepted").drop("accepted")
+
+
+def load_star(
+    merged: DataFrame,
+    folder: str,
+    load: str,
+    site_prefix: str = SITE_PREFIX,
+    existing: Mapping[str, DataFrame] | None = None,
+) -> Load:
+    """Load a merged table into the star in `folder`, whatever it comes from.
+
+    Members that other loads know keep their ids; ``existing`` names other ones to start from. Rows without a year have
+    no member and are set aside, as are missing counts and repeated keys; they stay as the table
+    ``set_aside`` of the load. A fact whose keys are loaded already is left out, and numbers follow the highest one.
+    """
+    spark = merged.sparkSession
+    loaded, members = loaded_before(spark, folder, load)
+    dimensions = build_dimensions(merged.where(F.col("anio").isNotNull()), members if existing is None else existing)
+    fact, refused = checked_facts(build_fact(merged, dimensions, site_prefix), dimensions, "facts")
+    highest = 0
+    if loaded is not None:
+        fact = new_facts(fact, loaded)
+        highest = loaded.agg(F.max("id_fact")).first()[0] or 0
+    write_star(number_facts(fact, dimensions, highest), dimensions, folder, load)
+    path = f"{folder}/set_aside/load={load}"
+    refused.write.mode("overwrite").parquet(path)
+    return Load(
+        fact=spark.read.parquet(f"{folder}/{FACT_TABLE}/load={load}"),
+        dimensions=read_star(spark, folder, load)[1],
+        set_aside=spark.read.schema(refused.schema).parquet(path),
+    )
 
 
 def build_mart(
@@ -98,22 +161,15 @@ def build_mart(
     for name, report in reports.items():
         write_report(report, f"{folder}/reports/load={load}/{name}")
 
-    loaded, members = loaded_before(spark, f"{folder}/star", load)
-    dimensions = build_dimensions(merged, members if existing is None else existing)
-    fact = build_fact(merged, dimensions, spec.site_prefix)
-    highest = 0
-    if loaded is not None:
-        fact = new_facts(fact, loaded)
-        highest = loaded.agg(F.max("id_fact")).first()[0] or 0
-    write_star(number_facts(fact, dimensions, highest), dimensions, f"{folder}/star", load)
-    loaded = spark.read.parquet(f"{folder}/star/{FACT_TABLE}/load={load}")
+    star = load_star(merged, f"{folder}/star", load, spec.site_prefix, existing)
     return Mart(
         tidy_a=tidy_a,
         tidy_b=tidy_b,
         merged=merged,
-        fact=loaded,
-        dimensions=read_star(spark, f"{folder}/star", load)[1],
-        stats=load_stats(loaded),
+        fact=star.fact,
+        dimensions=star.dimensions,
+        stats=load_stats(star.fact),
+        set_aside=star.set_aside,
         **reports,
     )
 

@@ -631,6 +631,18 @@ ORACLE: dict[str, str] = {
     "load_stats": f"with {STAR} {_STATS}",
     "star_denormalize": f"with {STAR} select id_fact, {WIDE} from fact",
     "mart_build": _mart(),
+    "refresh_merged": f"with {M} select * from merged",
+    "refresh_scorecard": f"with {CARD} select * from card",
+    "refresh_star": (
+        f"with {M} select cast(anio as int) as anio, {', '.join(KEY[1:])}, clasificacion, casos_spa, casos_sui, "
+        "SITIO_VIVIENDA as sitio_vivienda, pct_conflicto_pareja from merged"
+    ),
+    "load_set_aside": (
+        f"with {M}, counts as (select 'loaded' as reason, count(*) as n from merged where anio <> 1995 "
+        "union all select 'null casos_sui', count(*) from merged where anio = 1995 "
+        "union all select 'no member of dim_tiempo', count(*) from merged where anio = 1996 "
+        "union all select 'repeated key', count(*) from merged where anio = 1997) select * from counts where n > 0"
+    ),
     "csv_scan": f"with {RAW_A} select "
     + ", ".join(f"case when {c} not in {_in(NA_TOKENS)} then {c} end as {c}" for c in RAW_A_COLUMNS)
     + " from raw_a",
