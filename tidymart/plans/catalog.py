@@ -492,22 +492,17 @@ def mart_build(spark, folder):
 
 
 def _refreshed(spark, folder) -> Refreshed:
-    """Three loads: the early years, half of the rest, the other half; the last two meet in their years."""
+    """Two loads: the early years with half of the later ones, and the other half, which touches the later years only."""
     spec = MartSpec(SPEC_A, SPEC_B, SITE_PREFIX_HERE, RISKS_HERE, QUALITY_HERE)
     a, b = written(raw_a(spark, folder), "raw-a"), written(raw_b(spark, folder), "raw-b")
-    target, mart = scratch_path(spark, "refreshed"), None
-
-    def half(df, k):
-        return F.pmod(F.xxhash64(*df.columns), F.lit(2)) == k
-
-    early_a, early_b = F.col("ANO") <= "1996", F.col("ano_notificacion") <= "1996"
-    for load, in_a, in_b in (
-        ("early", early_a, early_b),
-        ("one", ~early_a & half(a, 0), ~early_b & half(b, 0)),
-        ("two", ~early_a & half(a, 1), ~early_b & half(b, 1)),
-    ):
-        mart = refresh_mart(a.where(in_a), b.where(in_b), target, load, spec)
-    return mart
+    target = scratch_path(spark, "refreshed")
+
+    def late(df, year):
+        return F.coalesce((F.col(year) > "1996") & (F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 0), F.lit(False))
+
+    late_a, late_b = late(a, "ANO"), late(b, "ano_notificacion")
+    refresh_mart(a.where(~late_a), b.where(~late_b), target, "first", spec)
+    return refresh_mart(a.where(late_a), b.where(late_b), target, "second", spec)
 
 
 @query("refresh_merged")
