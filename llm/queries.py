@@ -73,8 +73,12 @@ from documents left join lists using (doc_id)"""
 
 @query("op2_secret_scan", SECRETS_SQL)
 def op2_secret_scan(spark, folder):
+    # An earlier scan had half of the documents and fewer rules; now what it has not seen is scanned, and all is returned.
     ledger = scratch_path(spark, "secret-ledger")
-    found = secret_scan.scan_versions(table(spark, folder, "documents"), ledger)
+    documents = table(spark, folder, "documents")
+    earlier = documents.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    secret_scan.scan_versions(earlier, ledger, rules=secret_scan.BASE_RULES)
+    found = secret_scan.scan_versions(documents, ledger)
     hits = F.col("hits")
     return found.select(
         "doc_id",

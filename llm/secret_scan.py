@@ -40,6 +40,8 @@ MORE_RULES = (
     Rule("pem", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + MORE_RULES
+#: Matches whose places are summed up together.
+BLOCK_MATCHES = 256
 LEDGER = "blob binary, kind string, version int, spans array<struct<start:bigint,end:bigint>>"
 
 
@@ -47,7 +49,8 @@ def find_spans(text: Column, rule: Rule) -> Column:
     """Leftmost non-overlapping matches as (start, end) in code points, end exclusive; a null text has none.
 
     The texts between the matches come from splitting at them, so places are sums of lengths and the text is
-    walked a fixed number of times, however many matches it has.
+    walked a fixed number of times, however many matches it has. Sums run within blocks of matches, from the
+    sums of the blocks before, because appending to an array copies it.
     """
     pattern = F.lit(rule.pattern)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
@@ -56,6 +59,16 @@ def find_spans(text: Column, rule: Rule) -> Column:
         F.split(text, rule.pattern, -1).alias("gap"), whole.alias("found"), value.alias("value")
     )
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    zero = F.lit(0).cast("bigint")
+
+    def length(part: Column) -> Column:
+        return F.length(part["gap"]) + F.coalesce(F.length(part["found"]), F.lit(0))
+
+    def block_starts(sums: Column) -> Column:
+        first = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("starts"))
+        return F.aggregate(
+            sums, first, lambda x, n: F.struct((x["at"] + n).alias("at"), F.concat(x["starts"], F.array(x["at"])).alias("starts")), lambda x: x["starts"]
+        )
 
     def step(so_far: Column, part: Column) -> Column:
         start = so_far["at"] + F.length(part["gap"])
@@ -64,11 +77,27 @@ def find_spans(text: Column, rule: Rule) -> Column:
         good = part["found"].isNotNull() & (F.length(part["value"]) >= rule.least)
         return F.struct(end.alias("at"), F.when(good, F.concat(so_far["spans"], F.array(span))).otherwise(so_far["spans"]).alias("spans"))
 
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
-    spans = F.aggregate(parts, first, step, lambda x: x["spans"])
+    def of_block(pair: Column) -> Column:
+        first = F.struct(pair["start"].alias("at"), none.alias("spans"))
+        return F.aggregate(pair["block"], first, step, lambda x: x["spans"])
+
+    def of_blocks(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda n, part: n + length(part)))
+        return F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), block_starts(sums).alias("start")), of_block))
+
+    def cut(all_: Column) -> Column:
+        last = F.floor((F.size(all_) - 1) / BLOCK_MATCHES).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(all_, k * BLOCK_MATCHES + 1, BLOCK_MATCHES))
+
+    spans = bound(bound(parts, cut), of_blocks)
     return F.when(text.rlike(rule.pattern), spans).otherwise(none)
 
 
+def bound(value: Column, use) -> Column:
+    """What `use` makes of a value that is computed once, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def read_ledger(spark, path: str) -> DataFrame:
     try:
         return spark.read.schema(LEDGER).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from llm import secret_scan
 from llm.queries import QUERIES
-from llm.secret_scan import RULES, Rule, count_spans, scan_versions, spans_text
+from llm.secret_scan import BASE_RULES, RULES, Rule, count_spans, find_spans, scan_versions, spans_text
 from tidymart.session import scratch_path
 
 TEXTS = [
@@ -77,3 +77,15 @@ def test_query_runs_no_python(spark, tmp_path):
     assert "Python" not in plan and "Arrow" not in plan
     none = hashlib.sha256(b"").hexdigest()
     assert {r["base_sha256"] for r in df.collect() if r["doc_id"] in (8, 9, 10)} == {none}
+
+
+def test_many_matches_take_linear_time(spark):
+    import time
+
+    texts = [" ".join(["0123456789abcdef"] * n) for n in (255, 256, 257, 1000, 40_000)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    begun = time.perf_counter()
+    found = df.select("k", find_spans(F.col("t"), BASE_RULES[2]).alias("s")).orderBy("k").collect()
+    assert time.perf_counter() - begun < 60
+    for row, text in zip(found, texts, strict=True):
+        assert [(x["start"], x["end"]) for x in row["s"]] == [(17 * i, 17 * i + 16) for i in range((len(text) + 1) // 17)]
