@@ -1,9 +1,13 @@
-"""Benchmark decontamination: CGK embeddings, bit-sampling hashes of item-sized windows, exact edit distance.
+"""Benchmark decontamination: CGK embeddings, bit-sampling hashes, exact edit distance of the whole item.
 
 The CGK walk reads a window word by word; at each step a random bit of (step, word) tells whether it moves on. Two
 windows a few edits apart soon read the same words at the same steps again, so their edit distance shows as
 Hamming distance between what they read. A hash table samples a few steps of the walk; windows that read the
 same words there are candidates, and the edit distance of the whole item against the document decides.
+
+Walks begin at each word of an item and of a text and cover up to half of the item, eight words at most, instead of the
+whole window: edits spoil the walks that pass them, so a long item keeps many whole ones. Recall is measured by
+length in the tests; items of four words and less allow no edit and are always found.
 """
 
 from __future__ import annotations
@@ -27,14 +31,14 @@ _BUCKET_BITS = np.uint64(44)
 
 @dataclass(frozen=True)
 class Search:
-    """`similarity`: 1 - edits / words of the item. Items below `least_words` can't tell a passage and are not sought.
+    """`similarity`: 1 - edits / words of the item. Items below `least_words` can't tell a passage: only a text that is one is found.
 
     Each table samples `sampled` steps; there are as many tables as make a window whose walk agrees in `agree` of
     its steps a candidate with probability `recall`.
     """
 
     similarity: float = 0.8
-    least_words: int = 5
+    least_words: int = 3
     recall: float = 0.9
     agree: float = 0.8
     sampled: int = 4
@@ -48,16 +52,17 @@ class Search:
         return int(n * (1 - self.similarity) + 1e-9)
 
     def anchor_words(self, n: int) -> int:
-        """Words that a walk covers on average: a power of two, half of the item at most and 8 at most.
+        """Words that a walk covers on average: a power of two, half of the item at most and 8 at most; 0 is one step.
 
         A window of the item's size has a walk from each of its words, so edits spoil only those that pass them.
         """
-        return 1 << min(3, max(0, (n // 2).bit_length() - 1))
+        return 1 << min(3, (n // 2).bit_length() - 1) if n > 1 else 0
 
     def steps(self, span: int) -> list[np.ndarray]:
         """The sampled steps of each table of walks of 2 * span steps."""
         random = np.random.default_rng(self.seed + span)
-        return [np.sort(random.choice(2 * span, min(self.sampled, 2 * span), replace=False)) for _ in range(self.tables)]
+        steps = max(1, 2 * span)
+        return [np.sort(random.choice(steps, min(self.sampled, steps), replace=False)) for _ in range(self.tables)]
 
 
 def walk_keys(hashes: np.ndarray, first: np.ndarray, spans: list[int], search: Search):
@@ -75,7 +80,7 @@ def walk_keys(hashes: np.ndarray, first: np.ndarray, spans: list[int], search: S
     wanted = {(span, t): steps for span in spans for t, steps in enumerate(search.steps(span))}
     keys = {name: np.full(len(begin), np.uint64(name[0] * 1000 + name[1] + 1)) for name in wanted}
     at = begin
-    for step in range(2 * max(spans, default=0)):
+    for step in range(max(1, 2 * max(spans)) if spans else 0):
         read = padded[at]
         for name, steps in wanted.items():
             if step in steps:
@@ -161,6 +166,8 @@ def _matches(tables: Tables, hashes: np.ndarray, first: np.ndarray):
         part = hashes[low:high]
         if np.isin(item, part).sum() < len(item) - slack:
             continue
+        if len(item) < tables.search.least_words and first[t + 1] - first[t] != len(item):
+            continue
         edits, end = edit_distance_within(item, part)
         if edits <= slack and edits < best.get((t, o), (1 << 60,))[0]:
             best[t, o] = (edits, low + end - int(first[t]))
@@ -171,10 +178,43 @@ def _matches(tables: Tables, hashes: np.ndarray, first: np.ndarray):
 _FOUND = "doc_id long, item_id long, edits int, item_words int, similarity double, end_word long"
 
 
+def unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where code points of scripts without blanks between words begin (Thai, Lao, Burmese, Khmer, kana, Han), and of their punctuation.
+
+    In UTF-8 the first two bytes tell: U+0E00-0EFF, U+1000-10BF, U+1780-17FF, U+3040-9FFF, U+20000-2FFFF, and U+3000-303F.
+    """
+    at = np.flatnonzero(data >= 0xE0)
+    lead, second = data[at], data[np.minimum(at + 1, len(data) - 1)]
+    marks = (lead == 0xE3) & (second == 0x80)
+    alone = (lead >= 0xE3) & (lead <= 0xE9) & ~marks
+    alone |= (lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    alone |= (lead == 0xE1) & np.isin(second, (0x80, 0x81, 0x82, 0x9E, 0x9F))
+    alone |= (lead == 0xF0) & (second >= 0xA0) & (second <= 0xAF)
+    return at[alone], at[marks]
+
+
+def unit_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the words of each text and the number of words before it; a code point of an unspaced script is a word."""
+    alone, marks = unspaced(data)
+    if not len(alone) and not len(marks):
+        return words.word_hashes(data, starts, words.PUNCTUATION)
+    inside = ~words.PUNCTUATION[data]
+    for k in range(3):
+        inside[marks + k] = False
+    opens = np.zeros(len(data) + 1, bool)  # a word ends here, or one begins
+    opens[starts] = True
+    opens[alone] = True
+    opens[alone + np.where(data[alone] >= 0xF0, 4, 3)] = True
+    before = np.concatenate(([False], inside[:-1]))
+    begin = np.flatnonzero(inside & (~before | opens[:-1]))
+    end = np.flatnonzero(inside & (np.concatenate((~inside[1:], [True])) | opens[1:])) + 1
+    return words.hash_spans(words.lowered(data), begin, end), np.searchsorted(begin, starts)
+
+
 def text_words(column: pa.Array):
     """Chunks of texts: first row, word hashes, number of words before each text; punctuation separates words."""
     for a, _, data, starts in words.chunks(column):
-        yield a, *words.word_hashes(data, starts, words.PUNCTUATION)
+        yield a, *unit_hashes(data, starts)
 
 
 def _search_batches(batches, tables: Tables):
@@ -200,12 +240,14 @@ def _count_batches(batches):
 def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), id_column="doc_id", text_column="text", item_column="item_id", item_text="text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, edits, item_words, similarity, end_word.
 
-    Words are runs of letters, digits and other characters above ASCII, with A-Z lower-cased. Of the stretches
+    Words are runs of letters, digits and other characters above ASCII, with A-Z lower-cased; in scripts without blanks
+    between words each character is a word. Of the stretches
     of a text that are within the edits the best counts, and its first end. Items are taken in blocks of about
     `block_words` words, so what is broadcast is bounded; each block is one pass over the documents, and no document is moved.
 
-    Null or empty texts and items match nothing; an item with a null id is sought, one below the least number
-    of words is not; repeated rows are listed each; empty tables give no rows; other columns are ignored.
+    Null or empty texts and items match nothing, nor do those without a word; an item with a null id is sought, one below the
+    least number of words is found only in a text that has no other word; repeated rows are listed each; empty
+    tables give no rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     items = benchmark.select(F.col(item_column).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
@@ -219,7 +261,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search(),
         column = pa.array([r["text"] for r in mine], pa.string())
         for a, hashes, first in text_words(column):
             for k in range(len(first) - 1):
-                if first[k + 1] - first[k] >= search.least_words:
+                if first[k + 1] > first[k]:
                     hashed.append((mine[a + k]["item_id"], hashes[first[k] : first[k + 1]]))
         part = rows.mapInArrow(partial(_search_batches, tables=Tables(hashed, search)), _FOUND)
         found = part if found is None else found.unionByName(part)
