@@ -6,6 +6,7 @@ documents. Pieces find their place by their rank among pieces of the same length
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -26,6 +27,20 @@ from tidymart.session import written
 CACHED_WORDS = 800_000
 _WORDS_AT_ONCE = 1 << 20
 _TEXTS_AT_ONCE = 1_000
+#: Kinds of characters that the byte-level rule parts in the same way wherever they stand: Latin letters, digits,
+#: punctuation but the apostrophe, and a line feed alone.
+_PARTS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+|[!-&(-/:-@\\[-`{-~]+|\n")
+_PLAIN = re.compile("(?:[A-Za-zÀ-ÖØ-öø-ɏ0-9!-&(-/:-@\\[-`{-~]|\n(?!\n))+")
+
+
+def byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it is printable, else the next from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
+
+
+_LETTERS = byte_letters()
 
 
 class WordEncoder:
@@ -45,6 +60,12 @@ class WordEncoder:
         added = [] if added_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.limit = limit
+        settings = json.loads(self.tokenizer.to_str())
+        cut = settings["pre_tokenizer"] or {}
+        by_rule = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        self.by_rule = bool(by_rule) and not settings["normalizer"]
+        self.tokenizer_model = self.tokenizer.model
+        self.parts: dict[str, bytes] = {}
         self.later: dict[str, bytes | None] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -75,18 +96,34 @@ class WordEncoder:
         first = [self._word(ws[0]) for ws in words]
         get = known.__getitem__
         for text, head, ws, as_one in zip(texts, first, words, whole, strict=True):
-            later = list(map(get, ws[1:]))
-            if as_one or None in later or later and ws[0] and ws[0][-1].isspace():
+            if as_one or len(ws) > 1 and ws[0] and ws[0][-1].isspace():
+                yield self._whole([text])[0]
+                continue
+            try:
+                yield head + b"".join(map(get, ws[1:]))
+            except TypeError:  # an uneven word has no ids of its own
                 yield self._whole([text])[0]
-            else:
-                yield head + b"".join(later)
 
     def _learn(self, missing: set[str]) -> None:
         """Encode words that follow a blank; None where it stands next to other white space, or ends the text."""
         uneven = [w for w in missing if not w or w[0].isspace() or w[-1].isspace()]
         self.later.update(dict.fromkeys(uneven))
         missing.difference_update(uneven)
-        self.later.update((w, self._word(" " + w)) for w in missing)
+        if len(self.parts) > self.limit // 2:
+            self.parts.clear()
+        plain = _PLAIN.fullmatch if self.by_rule else lambda w: None
+        self.later.update((w, self._by_parts(" " + w) if plain(w) else self._word(" " + w)) for w in missing)
+
+    def _by_parts(self, text: str) -> bytes:
+        """Ids of a blank and a word whose parts can be told without the library; each part is encoded once."""
+        found = _PARTS.findall(text)
+        found[0] = " " + found[0]
+        known = self.parts
+        for part in found:
+            if part not in known:
+                letters = part.encode().decode("latin-1").translate(_LETTERS)
+                known[part] = array("I", [t.id for t in self.tokenizer_model.tokenize(letters)]).tobytes()
+        return known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
 
 
 @lru_cache(1)

@@ -89,3 +89,15 @@ def test_added_tokens_are_encoded_as_the_plain_library_does(spark):
     for i, text in enumerate(texts, 1):
         ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 2], "<u4")
         assert found[i] == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
+def test_parts_of_words_have_the_ids_of_the_library():
+    plain = Tokenizer.from_file(PATH)
+    r = random.Random(8)
+    kinds = ["abcXYZ", "éßÑŁɏÀ", "0129", ".,;:!?-_/()[]{}$%&*#@+=<>|~^`\"\\", "\n", "'", "中ª²½µ×÷", "\t\r\x0b\x85\u00a0", " "]
+    weights = [30, 10, 8, 10, 3, 2, 2, 1, 12]
+    texts = ["".join(r.choice(r.choices(kinds, weights)[0]) for _ in range(r.randrange(1, 60))) for _ in range(4000)]
+    encoder = WordEncoder(PATH, added_as_text=False)
+    assert encoder.by_rule
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert list(np.frombuffer(ids, "<u4")) == plain.encode(text, add_special_tokens=False).ids, text
