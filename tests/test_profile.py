@@ -135,3 +135,11 @@ def test_column_profile(spark):
     # 4 rows, 3 kinds when null counts as one
     assert out[("n", "Duplicados")] == ("1", "1 duplicados encontrados")
     assert out[("n", "Ejemplos de problemas")] == ("[null, null]", "Revisar valores")
+
+
+def test_pivot_leaves_no_value_out_unseen(spark):
+    df = spark.createDataFrame([("1", "a", 1.0), ("1", "c", 2.0), ("1", "d", 4.0), ("2", "d", None)], "y string, z string, v double")
+    with pytest.raises(Exception, match="no column is named for"):
+        profile.pivot_sum(df, "y", "z", F.col("v"), ["a", "b"]).collect()
+    out = profile.pivot_sum(df, "y", "z", F.col("v"), ["a", "b"], others="rest")
+    assert out.columns == ["y", "a", "b", "rest"] and rows(out) == [("1", 1.0, None, 6.0), ("2", None, None, 0.0)]

@@ -293,17 +293,21 @@ def duplicate_sample(df: DataFrame, key: Sequence[str], columns: Sequence[str],
 
 
 def pivot_sum(
-    df: DataFrame, index: str, column: str, measure: Column, values: Sequence
+    df: DataFrame, index: str, column: str, measure: Column, values: Sequence, others: str | None = None
 ) -> DataFrame:
     """index x column sums: null where no row exists, 0 where rows exist without a number.
 
-    ``values`` names the columns of the result, so no job has to find them first.
+    ``values`` names the columns of the result, so no job has to find them first. Any other value fails the job, or is
+    summed in the column ``others`` where that is named; nothing is left out unseen.
     """
     cell = F.when(F.count(F.lit(1)) > 0, F.coalesce(F.sum(measure), F.lit(0.0)))
     rows = df.where(F.col(index).isNotNull() & F.col(column).isNotNull())
-    grouped = rows.groupBy(index, column).agg(cell.alias("__cell"))
-    pivoted = grouped.groupBy(index).pivot(column, list(values))
-    return pivoted.agg(F.first("__cell", ignorenulls=True))
+    value = F.col(column).cast("string")
+    rest = F.raise_error(F.concat(F.lit("no column is named for "), value)).cast("string") if others is None else F.lit(others)
+    named = F.when(F.col(column).isin(*values), value).otherwise(rest)
+    grouped = rows.groupBy(index, named.alias("__column")).agg(cell.alias("__cell"))
+    names = [str(v) for v in values] + ([] if others is None else [others])
+    return grouped.groupBy(index).pivot("__column", names).agg(F.first("__cell", ignorenulls=True))
 
 
 def qc_report(df: DataFrame, key: Sequence[str]) -> DataFrame:
