@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidymart.contracts import DIMENSIONS, FEED_SCHEMA, KEY, PLACE_MISSING_RE, ZONE_MISSING_RE
 from tidymart.functions import numeric, text
-from tidymart.operators import impute, merge, profile, quality, schema, star
+from tidymart.operators import impute, merge, profile, quality, schema, sketches, star
 from tidymart.operators import tidy as tidying
 from tidymart.plans.driver_tables import (
     NUMERIC_COLUMNS,
@@ -300,6 +300,41 @@ def distinct_counts_approx(spark, folder):
     return exact.join(estimate, "column").select("column", "distinct_values", close)
 
 
+def _sketched(spark, rows: DataFrame, **columns) -> DataFrame:
+    """The rows come in three loads; each stores its sketches, and only those are read afterwards."""
+    folder = scratch_path(spark, "sketches")
+    for load in range(3):
+        part = rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(3)) == load)
+        sketches.store_sketches(sketches.sketch_columns(part, **columns), folder, str(load))
+    return sketches.stored_sketches(spark, folder)
+
+
+@query("distinct_counts_merged")
+def distinct_counts_merged(spark, folder):
+    """The exact counts, and whether the merged estimate is within five standard errors of each."""
+    rows = raw_b(spark, folder)
+    stored = _sketched(spark, rows, distinct=rows.columns)
+    estimate = sketches.merged_distinct_counts(stored).withColumnRenamed("distinct_values", "estimate")
+    exact = profile.distinct_counts(rows)
+    off = F.abs(F.col("estimate") - F.col("distinct_values"))
+    close = (off <= 5 * sketches.distinct_error() * F.col("distinct_values")).alias("close")
+    return exact.join(estimate, "column").select("column", "distinct_values", close)
+
+
+@query("quartiles_merged")
+def quartiles_merged(spark, folder):
+    """The number of values per column, and whether the rank of each merged quartile is within three times the stated error."""
+    rows = table(spark, folder, "lineitem").select(*NUMERIC_COLUMNS)
+    found = written(sketches.merged_quantiles(_sketched(spark, rows, quantiles=NUMERIC_COLUMNS)), "quartiles")
+    limit = 3 * sketches.rank_error()
+    values = rows.select(*(F.col(c).cast("double").alias(c) for c in NUMERIC_COLUMNS)).unpivot([], list(NUMERIC_COLUMNS), "column", "x")
+    ranks = values.join(F.broadcast(found), "column").groupBy("column", "probability", "n").agg(
+        F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto")
+    )
+    low, high = F.col("below") / F.col("n") <= F.col("probability") + limit, F.col("upto") / F.col("n") >= F.col("probability") - limit
+    return ranks.select("column", "probability", "n", (low & high).alias("close"))
+
+
 @query("frequency_share")
 def frequency_share(spark, folder):
     return profile.frequency_share(raw_a(spark, folder), "NOMBREUPZ")

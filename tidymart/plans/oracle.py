@@ -585,8 +585,16 @@ ORACLE: dict[str, str] = {
     ),
     "column_profile": _profile(),
     "distinct_rows": f"with {RAW_B} select distinct * from raw_b",
-    "distinct_counts_approx": f"with {RAW_B} "
-    + _each(RAW_B_COLUMNS, lambda c: f"select '{c}' as column, count(distinct {c}) as distinct_values, true as close from raw_b"),
+    **dict.fromkeys(
+        ("distinct_counts_approx", "distinct_counts_merged"),
+        f"with {RAW_B} "
+        + _each(RAW_B_COLUMNS, lambda c: f"select '{c}' as column, count(distinct {c}) as distinct_values, true as close from raw_b"),
+    ),
+    "quartiles_merged": _each(
+        NUMERIC_COLUMNS,
+        lambda c: f"select '{c}' as column, p::double as probability, count({c}) as n, true as close "
+        "from lineitem, (values (0.25), (0.5), (0.75)) as q(p) group by p",
+    ),
     "optional_zone_filter": (
         f"with {RAW_B}, {NORM_B} select {KEYS}, clasificacion, 1::bigint as casos, maltrato_sexual, conflicto_pareja "
         f"from norm_b where {CLEAN} and upz <> '{MISSING}'"
