@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidymart.contracts import KEY
 from tidymart.operators import merge
+from tidymart.sources import tables
 from tidymart.sources.files import write_csv
 
 RATIOS = [
@@ -91,3 +92,28 @@ def test_an_empty_side(spark, tmp_path):
     a, b = golden.tidy_a(spark, tmp_path), golden.tidy_b(spark, tmp_path)
     assert rows(merge.merge_qc(a.limit(0), b.limit(0)))[0][:5] == (0, 0, 0, 0, 0)
     assert rows(merge.merge_qc(a.limit(0), b))[0][:5] == (0, 5, 0, 0, 5)
+
+
+def test_bucketed_tables_join_and_group_without_moving_rows(spark, tmp_path):
+    a, b = golden.tidy_a(spark, tmp_path), golden.tidy_b(spark, tmp_path)
+    plain = merge.merge_sources(a, b, refold=False, null_safe=())
+    sides = [
+        tables.write_bucketed(df, f"merge_{name}", str(tmp_path / name), KEY, 4) for name, df in (("a", a), ("b", b))
+    ]
+    again = [
+        tables.open_bucketed(spark, f"again_{name}", str(tmp_path / name), df.schema, KEY, 4) for name, df in (("a", a), ("b", b))
+    ]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for pair in (sides, again):
+            merged = merge.merge_sources(*pair, refold=False, null_safe=())
+            assert rows(merged, *plain.columns) == rows(plain)
+            assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+            sums = merged.groupBy(*KEY, "clasificacion").count()
+            assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in ("merge_a", "merge_b", "again_a", "again_b"):
+            spark.sql(f"drop table {name}")

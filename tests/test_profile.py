@@ -25,6 +25,34 @@ def frame(spark):
     return df, pd.DataFrame(data, columns=["g", "h", "k", "v"])
 
 
+def heavy_frame(spark):
+    """A few heavy values among many rare ones, ties, nulls, and both zeros."""
+    n = F.col("id")
+    often = F.when(n % 3 == 0, F.concat(F.lit("h"), (n % 7).cast("string")))
+    return spark.range(0, 60_000, 1, 6).select(
+        F.when(n % 11 == 0, None).otherwise(F.coalesce(often, F.concat(F.lit("u"), n.cast("string")))).alias("skewed"),
+        (n % 5).alias("few"),
+        n.alias("even"),
+        F.when(n % 2 == 0, F.lit(0.0)).when(n % 4 == 1, F.lit(-0.0)).otherwise(F.lit(float("nan"))).alias("x"),
+        F.lit(None).cast("string").alias("none"),
+    )
+
+
+@pytest.mark.parametrize("column", ["skewed", "few", "even", "x", "none"])
+@pytest.mark.parametrize("k", [1, 5, 12])
+def test_heavy_values_are_the_most_frequent_ones(spark, column, k):
+    df = heavy_frame(spark)
+    want = profile.topk_frequency(df.withColumn("x", F.col("x") + 0.0), column, k)
+    got = profile.topk_heavy(df, column, k, 256)
+    assert [(repr(r[0]), r[1]) for r in got.collect()] == [(repr(r[0]), r[1]) for r in want.collect()]
+
+
+def test_heavy_values_are_found_without_a_shuffle_of_values(spark):
+    plan = profile.topk_heavy(heavy_frame(spark), "skewed", 5, 256)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan  # the counted candidates, not the rows
+    assert "Range" in profile.topk_heavy(heavy_frame(spark), "even", 5, 64)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_counts_per_column(frame):
     df, pdf = frame
     nulls = [tuple(r) for r in profile.null_counts(df).collect()]

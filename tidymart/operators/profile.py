@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -102,6 +103,46 @@ def topk_frequency(
     return table.where(F.col("value").isNotNull()).limit(k)
 
 
+def topk_heavy(df: DataFrame, column: str, k: int = 10, tracked: int = 4096) -> DataFrame:
+    """The k most frequent values that are not null, exactly: (value, n). Values are not shuffled where a proof is found.
+
+    One pass keeps at most ``tracked`` / 0.75 counters per task, rounded up to a power of two m, and merges them. A value that
+    it does not return is at most as frequent as the least estimate returned, nor, unless the list of ``tracked`` items is full,
+    more frequent than twice the error of the counters, 3.5 / m of all rows. A second pass counts the returned values exactly, one
+    row per task and value. If the k-th of them is above that bound, or if they are all rows, nothing else can be among the
+    first k. Otherwise (no k values stand out) all values are counted as in :func:`topk_frequency`.
+    Counters hold whole values, so memory is ``tracked`` times the length of a value. Ties go to the smallest value.
+    """
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        value = value + F.lit(0).cast(df.schema[column].dataType)  # 0.0 and -0.0 are one value
+    values = df.select(value.alias("value")).where(F.col("value").isNotNull())
+    sketch = values.agg(
+        F.call_function("approx_top_k", F.col("value"), F.lit(tracked), F.lit(tracked)).alias("items"),
+        F.count("*").alias("rows"),
+    )
+    # One row of `tracked` items at most; written, so that the table is not read again for it.
+    sketch = written(sketch, "counters")
+    candidates = sketch.select(F.inline("items")).select(F.col("item").alias("value"), F.col("count").alias("estimate"))
+    counted = (
+        values.join(F.broadcast(candidates.select("value")), "value", "left_semi")
+        .groupBy("value")
+        .agg(F.count("*").alias("n"))
+    )
+    counted = written(counted, "heavy")  # `tracked` rows at most
+    size, least, rows = sketch.select(
+        F.size("items"), F.array_min(F.transform("items", lambda item: item["count"])), "rows"
+    ).first()
+    counters = 1 << math.ceil(math.log2(math.ceil(tracked / 0.75)))
+    bound = least if size == tracked else min(least or 0, 2 * 3.5 * rows / counters)
+    first = counted.orderBy(F.desc("n"), "value").limit(k)
+    reach = first.agg(F.count("*").alias("found"), F.min("n").alias("n")).first()
+    everything = (counted.agg(F.sum("n")).first()[0] or 0) == rows
+    if everything or (reach["found"] == k and reach["n"] > bound):
+        return first
+    return topk_frequency(df.select(value.alias(column)), column, k)
+
+
 def topk_sum(df: DataFrame, group: str, measure: Column, k: int = 10) -> DataFrame:
     """The k groups with the largest sum; rows without a group do not count."""
     return (

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidymart.contracts import (
     CLASS_COLUMN,
@@ -34,6 +35,29 @@ def natural_keys(merged: DataFrame) -> DataFrame:
     return merged.withColumns({c: _label(c) for c in NATURAL if c != "anio"})
 
 
+def one_spelling(merged: DataFrame, collation: str = "UNICODE_CI_AI", columns: Sequence[str] = NATURAL) -> DataFrame:
+    """Text keys that are equal under a collation get one spelling: that of the first row in key order.
+
+    For tables that come unfolded, as a database with such a collation compares them. Call it before
+    :func:`build_dimensions`; nulls stay null. Every distinct spelling is compared once, not every row: spellings meet in
+    the map tasks, and the table from spelling to spelling is a written one, which the planner broadcasts if it is small.
+    Only where a column has more than one spelling of a key, the rows get a join at all.
+    """
+    order = [F.col(c) for c in NATURAL if c in merged.columns]
+    for c in (c for c in columns if isinstance(merged.schema[c].dataType, T.StringType)):
+        spellings = merged.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("__as")).agg(F.min(F.struct(*order)).alias("__first"))
+        spellings = written(spellings, "spellings")
+        first = spellings.groupBy(F.collate("__as", collation).alias("__same")).agg(F.min_by("__as", "__first").alias("__one"))
+        same = F.collate("__as", collation) == F.col("__same")
+        changed = written(spellings.join(first, same).where(F.col("__as") != F.col("__one")).select("__as", "__one"), "respelled")
+        if changed.isEmpty():
+            continue
+        names = merged.columns
+        respelled = merged.join(changed, F.col(c) == F.col("__as"), "left")
+        merged = respelled.withColumn(c, F.coalesce("__one", c)).select(*names)
+    return merged
+
+
 def dimension_members(merged: DataFrame) -> DataFrame:
     """(table, natural key columns, first): the members of all four dimensions in one pass.
 

@@ -30,7 +30,7 @@ from tidymart.plans.driver_tables import (
 from tidymart.plans.mart import MartSpec, build_mart, load_star, mart_summary
 from tidymart.plans.refresh import Refreshed, refresh_mart
 from tidymart.session import scratch_path, written
-from tidymart.sources import files, paged
+from tidymart.sources import files, paged, tables
 from tidymart.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,7 @@ QUERIES: dict[str, Query] = {}
 STAGE_LABELS = {"automobile": "auto", "building": "obra"}
 LEVEL_TEXTS = (("urgent", "alta"), ("not specified", "sin especificar"))
 PAGE_ROWS = 1000
+BUCKETS = 8
 
 
 def query(name: str):
@@ -354,6 +355,22 @@ def topk_frequency(spark, folder):
     return profile.topk_frequency(raw_a(spark, folder), "NOMBREUPZ", 10, _zone_label)
 
 
+@query("topk_heavy")
+def topk_heavy(spark, folder):
+    """Three columns: few zones, users with few enough values to be tracked, and parts that are nearly even (counted in full)."""
+    columns = (
+        (raw_a(spark, folder), "NOMBREUPZ"),
+        (table(spark, folder, "events"), "user_id"),
+        (table(spark, folder, "lineitem"), "l_partkey"),
+    )
+    every = None
+    for df, column in columns:
+        top = profile.topk_heavy(df, column, 10, 256)
+        part = top.select(F.lit(column).alias("column"), F.col("value").cast("string").alias("value"), "n")
+        every = part if every is None else every.unionByName(part)
+    return every
+
+
 @query("topk_sum")
 def topk_sum(spark, folder):
     return profile.topk_sum(raw_a(spark, folder), "NOMBREUPZ", numeric.to_number(F.col("CASOS")), 10)
@@ -558,6 +575,28 @@ def refresh_star(spark, folder):
     return wide.select(*star.NATURAL, "casos_spa", "casos_sui", "sitio_vivienda", "pct_conflicto_pareja")
 
 
+@query("merge_bucketed")
+def merge_bucketed(spark, folder):
+    """Both tidy tables are written in buckets of the shared key and merged from there."""
+    sides = []
+    for name, df in (("a", tidy_a(spark, folder)), ("b", tidy_b(spark, folder))):
+        path = scratch_path(spark, f"buckets-{name}")
+        sides.append(tables.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, KEY, BUCKETS))
+    return merge.merge_sources(*sides, site_prefix=SITE_PREFIX_HERE, risk_columns=RISKS_HERE, refold=False, null_safe=())
+
+
+@query("dim_collated")
+def dim_collated(spark, folder):
+    """Zones in three spellings, by year, as a database compares them: one member each, and the rows that refer to it."""
+    zone, year = F.col("upz"), F.col("anio") % 3
+    spelled = F.when(year == 1, F.upper(zone)).when(year == 2, F.replace(zone, F.lit("nacion"), F.lit("Nación"))).otherwise(zone)
+    rows = written(merged(spark, folder).withColumn("upz", spelled), "unfolded")
+    same = written(star.one_spelling(rows), "collated")
+    members = star.build_dimensions(same)["dim_ubicacion"]
+    used = star.natural_keys(same).groupBy("upz").agg(F.count("*").alias("n"))
+    return members.join(used, "upz", "left").select("id_ubicacion", "upz", "n")
+
+
 @query("load_set_aside")
 def load_set_aside(spark, folder):
     """A merged table from outside with rows that have no year, rows that repeat, and counts that are missing."""

@@ -583,6 +583,12 @@ ORACLE: dict[str, str] = {
         )
         + " from sized"
     ),
+    "topk_heavy": f"with {RAW_A} "
+    + _each(
+        (("NOMBREUPZ", "raw_a"), ("user_id", "events"), ("l_partkey", "lineitem")),
+        lambda c: f"(select '{c[0]}' as column, cast({c[0]} as varchar) as value, count(*) as n from {c[1]} "
+        f"where {c[0]} is not null group by {c[0]} order by n desc, {c[0]} limit 10)",
+    ),
     "column_profile": _profile(),
     "distinct_rows": f"with {RAW_B} select distinct * from raw_b",
     **dict.fromkeys(
@@ -645,6 +651,15 @@ ORACLE: dict[str, str] = {
         f"with {M} select cast(anio as int) as anio, {', '.join(KEY[1:])}, clasificacion, casos_spa, casos_sui, "
         "SITIO_VIVIENDA as sitio_vivienda, pct_conflicto_pareja from merged"
     ),
+    "merge_bucketed": f"with {M} select * from merged",
+    "dim_collated": (
+        f"with {M}, spelled as (select * replace (case anio % 3 when 1 then upper(upz) when 2 then replace(upz, 'nacion', 'Nación') "
+        "else upz end as upz) from merged), "
+        "same as (select *, strip_accents(lower(upz)) as k from spelled), "
+        f"named as (select k, upz, min(anio) over (partition by k) as since, row_number() over (partition by k order by {ORDER6}) as r from same), "
+        "used as (select k, count(*) as n from same group by k) "
+        "select cast(row_number() over (order by since, upz) as int) as id_ubicacion, upz, n from named join used using (k) where r = 1"
+    ),
     "load_set_aside": (
         f"with {M}, counts as (select 'loaded' as reason, count(*) as n from merged where anio <> 1995 "
         "union all select 'null casos_sui', count(*) from merged where anio = 1995 "

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tidymart.contracts import DIMENSIONS, LOAD_BATCH_ROWS
@@ -52,6 +55,30 @@ def database_types(df: DataFrame) -> DataFrame:
     )
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: Sequence[str], buckets: int) -> DataFrame:
+    """Write rows to a new path as a table in buckets of a key: equal keys are in the bucket of the same number.
+
+    Tables with the same key columns, types and number of buckets join and group on the key, or on more columns, without
+    moving rows. Rows are dealt as the buckets are, so each bucket is one file. Choose the number so that a bucket fits a
+    task. A key that holds most rows makes its bucket large; tidy tables hold each key once, or once per class.
+    """
+    dealt = df.repartition(buckets, *key)
+    dealt.write.format("parquet").bucketBy(buckets, *key).sortBy(*key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def open_bucketed(spark: SparkSession, table: str, path: str, schema: T.StructType, key: Sequence[str], buckets: int) -> DataFrame:
+    """Make a table that another session wrote in buckets known to this one; no row is read."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    keys = ", ".join(f"`{c}`" for c in key)
+    place = path.replace("'", "\\'")
+    spark.sql(
+        f"create table `{table}` ({columns}) using parquet clustered by ({keys}) sorted by ({keys}) "
+        f"into {buckets} buckets location '{place}'"
+    )
+    return spark.table(table)
+
+
 def write_star(fact: DataFrame, dimensions: dict[str, DataFrame], folder: str, load: str) -> None:
     """One folder per load for each table: repeating a load replaces only what it wrote."""
     for table, dimension in dimensions.items():
