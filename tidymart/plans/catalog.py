@@ -575,6 +575,24 @@ def refresh_star(spark, folder):
     return wide.select(*star.NATURAL, "casos_spa", "casos_sui", "sitio_vivienda", "pct_conflicto_pareja")
 
 
+@query("observed_reports")
+def observed_reports(spark, folder):
+    """The reports that come with the writes of the batch job: (stage, metric, value)."""
+    spec = MartSpec(SPEC_A, SPEC_B, SITE_PREFIX_HERE, RISKS_HERE, QUALITY_HERE)
+    mart = build_mart(raw_a(spark, folder), raw_b(spark, folder), scratch_path(spark, "observed"), "first", spec)
+    every = mart.scorecard.select(F.lit("merged").alias("stage"), F.col("metrica").alias("metric"), F.col("valor").alias("value"))
+    for name, report in (("tidy_a", mart.report_a), ("tidy_b", mart.report_b)):
+        flat = report.select(
+            "rows",
+            *(F.col(f"nulls_by_col.{c}").alias(f"nulls_{c}") for c in report.schema["nulls_by_col"].dataType.names),
+            *(F.col(f"sin_dato_by_col.{c}").alias(f"sin_dato_{c}") for c in report.schema["sin_dato_by_col"].dataType.names),
+            "duplicates_by_key",
+        )
+        long = flat.select(*(F.col(c).cast("double").alias(c) for c in flat.columns)).unpivot([], flat.columns, "metric", "value")
+        every = every.unionByName(long.select(F.lit(name).alias("stage"), "metric", "value"))
+    return every
+
+
 @query("merge_bucketed")
 def merge_bucketed(spark, folder):
     """Both tidy tables are written in buckets of the shared key and merged from there."""

@@ -16,13 +16,15 @@ from tidymart.contracts import (
     FACT_KEYS,
     KEY,
     NOTIFICATIONS,
+    QUALITY_TARGETS,
     RISK_COLUMNS,
     SITE_PREFIX,
     SourceSpec,
 )
 from tidymart.operators.merge import merge_qc, merge_sources
-from tidymart.operators.profile import qc_report
-from tidymart.operators.quality import QualitySpec, quality_gate, quality_scorecard
+from tidymart.operators.observe import key_report, key_sums, observed_metrics, write_observed
+from tidymart.operators.profile import text_columns
+from tidymart.operators.quality import QualitySpec, metric_parts, quality_gate, scorecard_of
 from tidymart.operators.schema import check_rows
 from tidymart.operators.star import build_dimensions, build_fact, load_stats, new_facts, number_facts
 from tidymart.operators.tidy import tidy
@@ -123,36 +125,42 @@ def build_mart(
 ) -> Mart:
     """Clean, join, score and load; every stage is a Parquet table that the next one reads.
 
-    Written stages keep the raw tables from being read again, and give the planner true sizes.
+    Written stages keep the raw tables from being read again, and give the planner true sizes. The reports of the tidy
+    tables and the scorecard are observed while their stages are written: the tidy tables are grouped by their keys, so no
+    key repeats and no two merged rows are equal, and everything else adds up row by row.
     Running the same load again replaces its tables. A load adds to the other loads in the folder: members keep
     their ids (``existing`` names other ones to start from), facts whose keys are loaded are left out, and the
     numbers of new facts follow the highest loaded one.
     """
     spark = raw_a.sparkSession
 
+    def place(name: str) -> str:
+        return f"{folder}/{name}/load={load}"
+
     def stage(df: DataFrame, name: str) -> DataFrame:
-        path = f"{folder}/{name}/load={load}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        df.write.mode("overwrite").parquet(place(name))
+        return spark.read.parquet(place(name))
+
+    def tidy_stage(df: DataFrame, name: str, key: list[str]) -> tuple[DataFrame, DataFrame]:
+        table, seen = write_observed(df, place(name), key_sums(df, key))
+        return table, key_report(spark, seen, key, text_columns(df, key))
 
-    tidy_a = stage(tidy(raw_a, spec.a), "tidy_a")
-    tidy_b = stage(tidy(raw_b, spec.b, split_class=True), "tidy_b")
+    tidy_a, report_a = tidy_stage(tidy(raw_a, spec.a), "tidy_a", list(KEY))
+    tidy_b, report_b = tidy_stage(tidy(raw_b, spec.b, split_class=True), "tidy_b", [*KEY, CLASS_COLUMN])
     clean = {"refold": False}
-    merged = stage(
-        merge_sources(
-            tidy_a,
-            tidy_b,
-            site_prefix=spec.site_prefix,
-            risk_columns=spec.risk_columns,
-            null_safe=(),
-            **clean,
-        ),
-        "merged",
+    joined = merge_sources(
+        tidy_a,
+        tidy_b,
+        site_prefix=spec.site_prefix,
+        risk_columns=spec.risk_columns,
+        null_safe=(),
+        **clean,
     )
-    scorecard = quality_scorecard(merged, spec.quality)
+    merged, seen = write_observed(joined, place("merged"), metric_parts(joined, spec.quality))
+    scorecard = scorecard_of(observed_metrics(spark, seen, QUALITY_TARGETS, spec.quality))
     reports = {
-        "report_a": qc_report(tidy_a, KEY),
-        "report_b": qc_report(tidy_b, [*KEY, CLASS_COLUMN]),
+        "report_a": report_a,
+        "report_b": report_b,
         "match": merge_qc(tidy_a, tidy_b, **clean),
         "scorecard": scorecard,
         "gate": quality_gate(scorecard),

@@ -651,6 +651,19 @@ ORACLE: dict[str, str] = {
         f"with {M} select cast(anio as int) as anio, {', '.join(KEY[1:])}, clasificacion, casos_spa, casos_sui, "
         "SITIO_VIVIENDA as sitio_vivienda, pct_conflicto_pareja from merged"
     ),
+    "observed_reports": (
+        f"with {CARD} select 'merged' as stage, metrica as metric, valor as value from card"
+        + "".join(
+            f" union all select '{name}', '{metric}', cast({value} as double) from {name}"
+            for name, key in (("tidy_a", KEY), ("tidy_b", (*KEY, "clasificacion")))
+            for metric, value in (
+                ("rows", "count(*)"),
+                *((f"nulls_{c}", f"count(*) - count({c})") for c in key),
+                *((f"sin_dato_{c}", f"count(*) filter ({c} = '{MISSING}')") for c in key[1:]),
+                ("duplicates_by_key", f"case when count(*) = count(distinct ({', '.join(key)})) then 0 end"),
+            )
+        )
+    ),
     "merge_bucketed": f"with {M} select * from merged",
     "dim_collated": (
         f"with {M}, spelled as (select * replace (case anio % 3 when 1 then upper(upz) when 2 then replace(upz, 'nacion', 'Nación') "
