@@ -133,6 +133,18 @@ def test_envelopes(spark, tmp_path):
         bad.collect()
 
 
+def test_landing_takes_its_records_once(spark, tmp_path):
+    taken = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            taken.add(len(batch))
+            yield batch
+
+    assert files.land(spark.range(100).mapInPandas(count, "id long"), str(tmp_path / "once"))
+    assert taken.value == 100 and spark.read.parquet(str(tmp_path / "once")).count() == 100
+
+
 def test_landing_writes_nothing_when_there_is_nothing(spark, tmp_path):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     assert not files.land(df.limit(0), str(tmp_path / "none"))

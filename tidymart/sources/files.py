@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidymart.contracts import NA_TOKENS, all_string
 from tidymart.operators.schema import require_columns
+from tidymart.session import written
 
 # Doubled quotes inside quoted text, and no trimming of what is inside the cells.
 _CSV = {
@@ -95,10 +96,13 @@ def union_pages(pages: Sequence[DataFrame]) -> DataFrame:
 
 
 def land(df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> bool:
-    """Write the records with a fixed column list; nothing is written when there are none."""
-    if df.isEmpty():
+    """Write the records with a fixed column list; nothing is written when there are none.
+
+    The records are taken from their source once, into the shared folder, as what they come from may be slow or changing.
+    """
+    out = written(df.select(*(columns or df.columns)), "landing")
+    if out.isEmpty():
         return False
-    out = df.select(*(columns or df.columns))
     if fmt == "csv":
         write_csv(out, path)
     else:
