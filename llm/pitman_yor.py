@@ -1,12 +1,13 @@
 """Language model scores by a hierarchical Pitman-Yor process.
 
-The history of a token is the class of the word before it, one of `FINE` hash classes; each belongs to one of
-`COARSE` parent classes, these to the root, and the root draws from a uniform base over the known tokens and one
-for all unknown ones. So there are three levels of restaurants, of a number that doesn't grow with the corpus,
-and restaurants share parents, while the dishes, the words, are all kept apart.
-
-All restaurants that serve a word are seated where that word's counts meet, so a word is the unit of work. The
-totals of a restaurant over all words are few numbers; they are summed between passes.
+The context of a token is the word before it, and every such word has a restaurant of its own, so their number grows
+with the corpus. Its parent is the restaurant of a class of words (one of `FINE`, by hash), which only smooths: the
+parents of these are `COARSE` wider classes, then the root, which draws from a uniform base over the known tokens and
+one for all unknown ones.
+
+All restaurants that serve a word are seated where that word's counts meet, so a word is the unit of the seating. What
+a restaurant sums over all words travels between the tasks: first the customers and distinct words of each context, as
+rough totals to draw with; then the drawn tables, to the tasks of the contexts, where the texts' tokens are scored.
 """
 
 from __future__ import annotations
@@ -24,13 +25,13 @@ from llm import words
 from tidymart.session import written
 
 FINE, COARSE = 256, 16
-#: A word with at least 1 / FREQUENT of the training tokens is scored from a broadcast table of FREQUENT * FINE
-#: probabilities at most and is never sent with its texts.
+#: The tokens after a word with at least 1 / FREQUENT of the training tokens are scored in many tasks, not in one.
 FREQUENT = 4_096
-TOKENS_IN_TASK = 2_000_000
-TOKENS_AT_ONCE = 1_500_000
-_CLASS = np.uint64(FINE - 1)  # the low bits of a token's key hold the class of its history
+TOKENS_IN_TASK = 1_500_000
+TOKENS_AT_ONCE = 1_000_000
+_CLASS = np.uint64(FINE - 1)  # the low bits of a word are 0 and have room for a class of contexts
 END = np.uint64(0xA0761D6478BD6400)
+START = np.uint64(0xE7037ED1A0B42800)  # the context of a text's first token
 _START_CLASS = 0
 EXACT = 256  # customers of a dish whose tables are drawn from their exact distribution
 _AT_ONCE = 1 << 20  # cells of the matrix of such distributions
@@ -38,10 +39,10 @@ _AT_ONCE = 1 << 20  # cells of the matrix of such distributions
 
 @dataclass(frozen=True)
 class Process:
-    """Discounts and strengths from the root to the fine restaurants; sweeps before and between samples."""
+    """Discounts and strengths from the root over the classes to the words; sweeps before and between samples."""
 
-    discounts: tuple[float, float, float] = (0.5, 0.6, 0.75)
-    strengths: tuple[float, float, float] = (50.0, 20.0, 10.0)
+    discounts: tuple[float, float, float, float] = (0.5, 0.6, 0.75, 0.8)
+    strengths: tuple[float, float, float, float] = (50.0, 20.0, 10.0, 2.0)
     burn_in: int = 2
     samples: int = 2
     seed: int = 3
@@ -55,9 +56,9 @@ def held_out(id_column: str = "doc_id", process: Process = Process()):
 
 
 def tokens(column: pa.Array):
-    """Chunks of texts: first row, keys of the tokens, and the number of tokens before each text.
+    """Chunks of texts: first row, the tokens, their contexts, and the number of tokens before each text.
 
-    A text's tokens are its words and one end. A key is the hash of the token (56 bits) and the class of its history.
+    A text's tokens are its words and one end, as 56-bit hashes. The context of a token is the word before it.
     """
     for a, _, data, starts in words.chunks(column):
         hashes, first = words.word_hashes(data, starts)
@@ -66,10 +67,20 @@ def tokens(column: pa.Array):
         is_end[total[1:] - 1] = True
         token = np.full(total[-1], END)
         token[~is_end] = hashes & ~_CLASS
-        history = np.empty(total[-1], np.uint64)
-        history[1:] = np.uint64(1) + (token[:-1] >> np.uint64(40)) % np.uint64(FINE - 1)
-        history[total[:-1]] = _START_CLASS
-        yield a, token | history, total
+        context = np.empty(total[-1], np.uint64)
+        context[1:] = token[:-1]
+        context[total[:-1]] = START
+        yield a, token, context, total
+
+
+def classes(context: np.ndarray) -> np.ndarray:
+    """The class of each context, the parent of its restaurant."""
+    return np.where(context == START, _START_CLASS, (np.uint64(1) + (context >> np.uint64(40)) % np.uint64(FINE - 1)).astype(np.int64))
+
+
+def pairs(word: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """64-bit value of a word after a context."""
+    return words.mix(word + words.mix(context))
 
 
 def _uniform(words_: np.ndarray, places: np.ndarray, draw: int) -> np.ndarray:
@@ -209,6 +220,13 @@ class Seating:
         mine = self.middle - p.discounts[1] * self.states[1]
         return (mine + (p.strengths[1] + p.discounts[1] * g.coarse_tables[c]) * top[self.pair_word]) / (g.coarse[c] + p.strengths[1])
 
+    def predicted(self) -> np.ndarray:
+        """Probability of each row's word in its fine restaurant, under the present state and the guessed totals."""
+        p, g, f = self.p, self.guess, self.fine
+        middle = self._coarse(self._root(np.full(len(self.words), 1.0 / (g.known + 1))))
+        mine = self.count - p.discounts[2] * self.states[2]
+        return (mine + (p.strengths[2] + p.discounts[2] * g.fine_tables[f]) * middle[self.up]) / (g.fine[f] + p.strengths[2])
+
     def totals(self) -> np.ndarray:
         """Tables of each fine class, customers and tables of each coarse class, customers and tables of the root."""
         return np.concatenate(
@@ -220,13 +238,40 @@ class Seating:
             ]
         )
 
-    def state(self, w: int) -> np.ndarray:
-        """Tables of a word in the fine restaurants, customers and tables in the coarse ones and at the root."""
-        mine, pair = self.of == w, self.pair_word == w
-        fine, coarse = np.zeros(FINE), np.zeros((2, COARSE))
-        fine[self.fine[mine]] = self.states[2][mine]
-        coarse[:, self.pair_class[pair]] = self.middle[pair], self.states[1][pair]
-        return np.concatenate([fine, *coarse, [self.root[w], self.states[0][w]]])
+    def sampled(self):
+        """After burn-in, once for each sample: the state is ready to be read."""
+        for _ in range(self.p.burn_in):
+            self.sweep()
+        for _ in range(self.p.samples):
+            self.sweep()
+            yield
+
+
+class Contexts:
+    """The restaurants of contexts that serve some words, and all restaurants above them.
+
+    The tables of a word in the contexts of a class are its customers in the restaurant of the class.
+    """
+
+    def __init__(self, word: np.ndarray, context: np.ndarray, count: np.ndarray, rough: np.ndarray, process: Process, guess: Guess):
+        """Rows are the distinct (word, context) in ascending order with their training counts, none 0.
+
+        `rough` is a guess of the tables of each row's context over all words; where a row has one customer it is not used.
+        """
+        self.p, self.word, self.context = process, word, context
+        self.count, self.rough = count.astype(np.float64), rough.astype(np.float64)
+        keys, self.up = np.unique(word | classes(context).astype(np.uint64), return_inverse=True)
+        self.above = Seating(keys & ~_CLASS, keys & _CLASS, np.bincount(self.up, minlength=len(keys)), process, guess)
+        self.tables = np.zeros(len(word))
+
+    def sweep(self) -> None:
+        """From the contexts up."""
+        p, a = self.p, self.above
+        parent = np.full(len(a.word), 1.0 / (a.guess.known + 1)) if a.states[0] is None else a.predicted()
+        weights = (p.strengths[3] + p.discounts[3] * self.rough) * parent[self.up]
+        self.tables = seat(self.count, weights, p.discounts[3], self.word, self.context, a.draw + 1)
+        a.count = np.bincount(self.up, self.tables, len(a.word))
+        a.sweep()
 
     def sampled(self):
         """After burn-in, once for each sample: the state is ready to be read."""
@@ -236,6 +281,21 @@ class Seating:
             self.sweep()
             yield
 
+    def totals(self) -> np.ndarray:
+        """Customers of each fine class, then the totals of the restaurants above."""
+        return np.concatenate([np.bincount(self.above.fine, self.above.count, FINE), self.above.totals()])
+
+    def state(self) -> list[bytes]:
+        """Customers and tables of all levels, packed."""
+        a = self.above
+        return [_pack(c.astype("<u8")) for c in (self.tables, a.count, a.states[2], a.middle, a.states[1], a.root, a.states[0])]
+
+    def restore(self, state: list[bytes]) -> None:
+        a = self.above
+        sizes = [len(self.word), *[len(a.word)] * 2, *[len(a.pairs)] * 2, *[len(a.words)] * 2]
+        self.tables, a.count, fine, a.middle, coarse, a.root, root = (_unpack(c, "<u8", n).astype(np.float64) for c, n in zip(state, sizes, strict=True))
+        a.states = [root, coarse, fine]
+
 
 @dataclass
 class Guess:
@@ -296,38 +356,30 @@ def probabilities(seating: Seating, guess: Guess, ask_word: np.ndarray, ask_fine
 
 
 def _pack(values: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(values).tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+    """First all first bytes, then all second ones and so on, as bytes of one place are alike; compressed."""
+    if not len(values):
+        return b""
+    places = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return pa.compress(pa.py_buffer(places), codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes, kind: str, n: int) -> np.ndarray:
     kind = np.dtype(kind)
-    return np.frombuffer(pa.decompress(data, n * kind.itemsize, codec="zstd", asbytes=True), kind) if n else np.zeros(0, kind)
-
-
-def _pack_keys(keys: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
-    """Ascending keys as the steps between their words, the length of each word's run, and the classes."""
-    word = keys & ~_CLASS
-    at = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-    steps = np.diff(word[at], prepend=np.uint64(0))
-    runs = np.diff(np.append(at, len(keys))).astype("<u4")
-    return len(at), _pack(steps.astype("<u8")), _pack(runs), _pack((keys & _CLASS).astype("u1"))
-
-
-def _unpack_keys(row: dict) -> np.ndarray:
-    word = np.cumsum(_unpack(row["words"], "<u8", row["n_words"]), dtype=np.uint64)
-    runs = _unpack(row["runs"], "<u4", row["n_words"])
-    return np.repeat(word, runs) | _unpack(row["fine"], "u1", row["n"]).astype(np.uint64)
+    if not n:
+        return np.zeros(0, kind)
+    places = np.frombuffer(pa.decompress(data, n * kind.itemsize, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(places.reshape(kind.itemsize, n).T).reshape(-1).view(kind)
 
 
 def _training(batches):
-    """Runs of texts of a bounded number of tokens: list of (first row, keys, tokens before each text, training texts)."""
+    """Runs of texts of a bounded number of tokens: list of (first row, tokens, contexts, tokens before each text, training texts, ids)."""
     held, size = [], 0
     row = TaskContext.get().partitionId() << 33
     for batch in batches:
         train = ~batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        for a, keys, total in tokens(batch.column(2)):
-            held.append((row + a, keys, total, train[a : a + len(total) - 1], batch.column(0).slice(a, len(total) - 1)))
-            size += len(keys)
+        for a, token, context, total in tokens(batch.column(2)):
+            held.append((row + a, token, context, total, train[a : a + len(total) - 1], batch.column(0).slice(a, len(total) - 1)))
+            size += len(token)
             if size >= TOKENS_AT_ONCE:
                 yield held
                 held, size = [], 0
@@ -336,38 +388,71 @@ def _training(batches):
         yield held
 
 
-def _history_batches(batches):
-    """Training tokens after each class of histories."""
-    counts = np.zeros(FINE, np.int64)
+def _total_batches(batches):
+    """Number of training tokens."""
     for run in _training(batches):
-        for _, keys, total, train, _ in run:
-            classes = (keys[np.repeat(train, np.diff(total))] & _CLASS).astype(np.int64)
-            counts += np.bincount(classes, minlength=FINE)
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["fine", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([sum(int(np.diff(total)[train].sum()) for *_, total, train, _ in run)], pa.int64())], ["n"])
+
+
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """A part is a range of hashes."""
+    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def _cuts(part: np.ndarray):
+    """(part, first, end) of ascending parts."""
+    at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
+    return zip(part[at].tolist(), at.tolist(), np.append(at[1:], len(part))[: len(at)].tolist(), strict=True)
 
 
-def _cuts(keys: np.ndarray, parts: int):
-    """(part, first, end) of ascending keys: a part is a range of hashes."""
-    part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(keys) else np.zeros(0, int)
-    return zip(part[at].tolist(), at.tolist(), np.append(at[1:], len(keys))[: len(at)].tolist(), strict=True)
+def _pack_steps(ascending: np.ndarray) -> bytes:
+    return _pack(np.diff(ascending, prepend=np.uint64(0)).astype("<u8"))
 
 
-_COUNTS = "part int, n int, n_words int, words binary, runs binary, fine binary, counts binary"
+def _unpack_steps(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unpack(data, "<u8", n), dtype=np.uint64)
+
+
+def _counted(word: np.ndarray, context: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (word, context) in ascending order with the sum of their times."""
+    order = np.lexsort((context, word))
+    word, context, times = word[order], context[order], times[order]
+    new = np.append(True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])) if len(word) else np.zeros(0, bool)
+    at = np.flatnonzero(new)
+    return word[at], context[at], np.add.reduceat(times, at) if len(at) else times
+
+
+_TYPES = "n int, words binary, contexts binary, counts binary"
+
+
+def _pack_types(word, context, count) -> tuple[int, bytes, bytes, bytes]:
+    return len(word), _pack_steps(word), _pack(context.astype("<u8")), _pack(count.astype("<u8"))
+
+
+def _unpack_types(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = row["n"]
+    return _unpack_steps(row["words"], n), _unpack(row["contexts"], "<u8", n), _unpack(row["counts"], "<u8", n).astype(np.int64)
 
 
 def _count_batches(batches, parts: int):
-    """Training counts of (word, history class), added up for many texts and packed for the task of each word."""
+    """Training counts of (word, context), added up for many texts and packed for the task of each word.
+
+    Those of texts that are held out are there too, with a count of 0.
+    """
     for run in _training(batches):
-        mine = [keys[np.repeat(train, np.diff(total))] for _, keys, total, train, _ in run]
-        keys, times = np.unique(np.concatenate(mine), return_counts=True)
-        rows = [(part, b - a, *_pack_keys(keys[a:b]), _pack(times[a:b].astype("<u4"))) for part, a, b in _cuts(keys, parts)]
+        times = np.concatenate([np.repeat(train, np.diff(total)) for *_, total, train, _ in run]).astype(np.int64)
+        word, context, times = _counted(np.concatenate([r[1] for r in run]), np.concatenate([r[2] for r in run]), times)
+        cuts = _cuts(_part(word, parts))
+        rows = [(part, *_pack_types(word[a:b], context[a:b], times[a:b])) for part, a, b in cuts]
         if rows:
-            yield _batch(rows, _COUNTS)
+            yield _batch(rows, f"part int, {_TYPES}")
+
+
+_KINDS = {"array<binary>": pa.list_(pa.binary()), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
 
 
-_KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -376,11 +461,6 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, list(names))
 
 
-def _merged(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    found, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return found, np.bincount(place, np.concatenate(times), len(found)).astype(np.int64)
-
-
 def _by_part(batches):
     """Rows of one part after another, from rows sorted by part."""
     now, rows = None, []
@@ -395,153 +475,209 @@ def _by_part(batches):
         yield rows
 
 
-_STATES = "kind string, place long, n long, value double, state binary"
+#: Rows without a context have the types of a part; the others what a part counts of a context: customers and distinct
+#: words, and if any of them has more than one customer, as only then the seating depends on the context's other words.
+_MERGED = f"part int, context long, fine int, customers long, dishes long, open boolean, {_TYPES}"
 
 
-def _seat_batches(batches, process: Process, guess: Guess, least: int):
-    """Totals of every sample, and for each frequent word the states of its restaurants."""
+def _merge_batches(batches):
+    """The types of each part, and how often its contexts occur in it."""
     for rows in _by_part(batches):
-        keys, times = _merged([_unpack_keys(r) for r in rows], [_unpack(r["counts"], "<u4", r["n"]) for r in rows])
-        seating = Seating(keys & ~_CLASS, keys & _CLASS, times, process, guess)
-        uses = np.bincount(seating.of, times, len(seating.words)).astype(np.int64)
-        often = np.flatnonzero(uses >= least)
-        sums, states = [], [[] for _ in often]
+        part, sent = rows[0]["part"], [_unpack_types(r) for r in rows]
+        rows.clear()
+        word, context, count = _counted(*(np.concatenate(c) for c in zip(*sent, strict=True)))
+        yield _batch([(part, *[None] * 5, *_pack_types(word, context, count))], _MERGED)
+        found, place = np.unique(context, return_inverse=True)
+        customers = np.bincount(place, count, len(found)).astype(np.int64)
+        dishes = np.bincount(place[count > 0], minlength=len(found))
+        opens = np.bincount(place[count > 1], minlength=len(found)) > 0
+        columns = [np.full(len(found), part, np.int32), found.view(np.int64), classes(found).astype(np.int32), customers, dishes, opens]
+        for a in range(0, len(found), _ROWS):
+            mine = [pa.array(c[a : a + _ROWS]) for c in columns]
+            n = len(mine[0])
+            yield pa.RecordBatch.from_arrays([*mine, pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary())] * 3], _names(_MERGED))
+
+
+_ROWS = 1 << 16
+_GIVEN = f"part int, kind int, context long, tables long, {_TYPES}"
+_STATES = f"kind string, place long, n long, value double, state array<binary>, {_TYPES.replace('n int', 'types int')}"
+
+
+def _given_parts(batches):
+    """(contexts that ask, their guessed tables, row of types) of one part after another, from rows sorted by part and kind."""
+    context, tables = [], []
+    for batch in batches:
+        kind = batch.column(1).to_numpy()
+        at = 0
+        for place in [*np.flatnonzero(kind == 1).tolist(), len(kind)]:
+            context.append(batch.column(2).slice(at, place - at).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            tables.append(batch.column(3).slice(at, place - at).to_numpy(zero_copy_only=False).astype(np.int64))
+            if place < len(kind):
+                yield np.concatenate(context), np.concatenate(tables), batch.slice(place, 1).to_pylist()[0]
+                context, tables = [], []
+            at = place + 1
+
+
+def _seat_batches(batches, process: Process, guess: Guess, hot: np.ndarray):
+    """For each part its types with the states of every sample, and the totals of classes and of `hot` contexts."""
+    for contexts, tables, row in _given_parts(batches):
+        word, context, count = _unpack_types(row)
+        order = np.argsort(contexts)
+        at, here = _places(contexts[order], context)
+        rough = np.zeros(len(context))
+        rough[here] = tables[order][at[here]]
+        learned = count > 0
+        seating = Contexts(word[learned], context[learned], count[learned], rough[learned], process, guess)
+        place, here = _places(hot, seating.context)
+        sums, states, often = [], [], []
         for _ in seating.sampled():
             sums.append(seating.totals())
-            for state, w in zip(states, often, strict=True):
-                state.append(seating.state(w))
-        out = [("known", 0, len(seating.words), 0.0, b"")]
-        out += [("total", i, 0, float(v), b"") for i, v in enumerate(np.concatenate(sums)) if v]
-        for state, w in zip(states, often, strict=True):
-            mine = seating.of == w
-            fine = np.bincount(seating.fine[mine], times[mine], FINE)
-            out.append(("word", int(seating.words.view(np.int64)[w]), int(uses[w]), 0.0, np.concatenate([fine, *state]).tobytes()))
+            states += seating.state()
+            often.append(np.bincount(place[here], seating.tables[here], len(hot)))
+        none = [None] * 5
+        out = [("known", 0, len(seating.above.words), 0.0, *none)]
+        out += [("total", i, 0, float(v), *none) for i, v in enumerate(np.concatenate(sums)) if v]
+        out += [("hot", i, 0, float(v), *none) for i, v in enumerate(np.concatenate(often)) if v]
+        out.append(("state", row["part"], 0, 0.0, states, row["n"], row["words"], row["contexts"], row["counts"]))
         yield _batch(out, _STATES)
 
 
+def _places(hot: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each context in the ascending list of hot ones, and whether it is there."""
+    if not len(hot):
+        return np.zeros(len(context), np.int64), np.zeros(len(context), bool)
+    at = np.searchsorted(hot, context)
+    at[at == len(hot)] = 0
+    return at, hot[at] == context
+
+
 @dataclass
-class Frequent:
-    """Probabilities and counts of the frequent words, ascending; rows of `log10` are words, columns fine classes."""
+class Hot:
+    """Contexts of a large share of the tokens, ascending, and over all words their customers and tables of every sample."""
 
-    words: np.ndarray
-    log10: np.ndarray
-    count: np.ndarray
+    context: np.ndarray
+    customers: np.ndarray
+    tables: np.ndarray
 
-    @staticmethod
-    def of(rows, process: Process, guesses: list[Guess]) -> Frequent:
-        rows = sorted(rows, key=lambda r: r["place"] % (1 << 64))
-        found = np.array([r["place"] for r in rows], np.int64).view(np.uint64)
-        per = FINE + 2 * COARSE + 2
-        states = np.array([np.frombuffer(r["state"]) for r in rows]).reshape(len(rows), FINE + len(guesses) * per)
-        fine = states[:, :FINE]
-        d, s = process.discounts, process.strengths
-        up = np.arange(FINE) % COARSE
-        mean = np.zeros((len(rows), FINE))
-        for i, g in enumerate(guesses):
-            state = states[:, FINE + i * per : FINE + (i + 1) * per]
-            tables, middle, coarse = state[:, :FINE], state[:, FINE : FINE + COARSE], state[:, FINE + COARSE : FINE + 2 * COARSE]
-            top = (state[:, -2] - d[0] * state[:, -1] + (s[0] + d[0] * g.root_tables) / (g.known + 1)) / (g.root + s[0])
-            p = (middle - d[1] * coarse + (s[1] + d[1] * g.coarse_tables) * top[:, None]) / (g.coarse + s[1])
-            mean += (fine - d[2] * tables + (s[2] + d[2] * g.fine_tables) * p[:, up]) / (g.fine + s[2])
-        return Frequent(found, np.log10(mean / max(1, len(guesses))), np.array([r["n"] for r in rows], np.int64))
-
-    def place(self, word: np.ndarray) -> np.ndarray:
-        """The place of each word in the list, -1 if it is not frequent."""
-        if not len(self.words):
-            return np.full(len(word), -1)
-        at = np.searchsorted(self.words, word)
-        at[at == len(self.words)] = 0
-        return np.where(self.words[at] == word, at, -1)
-
-
-#: Rows of `kind` "text" have the texts of a run; those of kind "sent" its tokens for the task of their words. A run
-#: is named by its first row, and its texts are counted from there.
+
+#: Rows of `kind` 0 have types of a part with what is known of them, those of kind 1 the tokens of a run that need them,
+#: and those of kind 2 the texts of a run. A run is named by its first row, and its texts are counted from there.
 _SENT = (
-    "kind string, part long, run long, n int, text binary, n_words int, words binary, runs binary, fine binary, train binary, "
-    "known binary, counted binary, score binary, ids binary, tokens binary"
+    "kind int, part long, run long, n int, n_pairs int, words binary, contexts binary, counts binary, uses binary, tables binary, "
+    "parents binary, pairs binary, times binary, text binary, known binary, counted binary, score binary, ids binary, tokens binary"
 )
-#: What was found for texts of a run, packed: places, known tokens, sums; kind "text" also has ids, folds and tokens.
+#: What was found for texts of a run, packed: places, known tokens, sums; the texts of a run also have ids, folds and tokens.
 _FOUND = "run long, n int, text binary, known binary, counted binary, score binary, ids binary, tokens binary"
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, log_count double, score double"
 
 
-def _found(run: int, text, known, counted, score, ids=b"", tokens_=b"") -> tuple:
-    return (run, len(text), _pack(text.astype("<u4")), _pack(known.astype("<u4")), _pack(counted), _pack(score), ids, tokens_)
+def _score_parts(pair: np.ndarray, context: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
+    """Types and tokens of a context meet in one part, those of a hot context in a part for each word."""
+    return _part(np.where(_places(hot, context)[1], pair, context), parts)
 
 
-def _send_batches(batches, frequent: Frequent, parts: int):
-    """What the frequent words add to each text; the other tokens, packed for the task of each word."""
+def _type_batches(batches, process: Process, guess: Guess, guesses: list[Guess], hot: np.ndarray, parts: int):
+    """The types with their tables and the probabilities of their parents, packed for the tasks of the contexts."""
+    for batch in batches:
+        for at in range(len(batch)):
+            row = batch.slice(at, 1).to_pylist()[0]
+            word, context, count = _unpack_types({**row, "n": row["types"]})
+            learned = count > 0
+            seating = Contexts(word[learned], context[learned], count[learned], np.zeros(int(learned.sum())), process, guess)
+            a = seating.above
+            each = len(row["state"]) // len(guesses)
+            asked, place = np.unique(word | classes(context).astype(np.uint64), return_inverse=True)
+            tables, parents = np.zeros((len(guesses), len(word)), np.int64), np.zeros((len(guesses), len(word)))
+            for i, after in enumerate(guesses):
+                seating.restore(row["state"][i * each : (i + 1) * each])
+                tables[i, learned] = seating.tables
+                parents[i] = probabilities(a, after, asked & ~_CLASS, (asked & _CLASS).astype(np.int64))[place]
+            of = np.cumsum(np.append(True, word[1:] != word[:-1])) - 1
+            uses = np.bincount(of, count)[of].astype(np.int64)
+            part = _score_parts(pairs(word, context), context, hot, parts)
+            order = np.lexsort((context, part))
+            for p, x, y in _cuts(part[order]):
+                at = order[x:y]
+                packed = [_pack(c.astype("<u8")) for c in (word[at], context[at], count[at], uses[at], tables[:, at].ravel())]
+                yield _batch([(0, p, None, y - x, None, *packed, _pack(parents[:, at].ravel().astype("<f4")), *[None] * 8)], _SENT)
+
+
+def _send_batches(batches, hot: np.ndarray, parts: int):
+    """The texts of each run, and their tokens packed for the tasks of their contexts."""
     for run in _training(batches):
         base = run[0][0]
-        rest, of, train_of, ids, texts = [], [], [], [], []
-        for row, keys, total, train, doc_ids in run:
-            n, text = len(total) - 1, np.repeat(np.arange(len(total) - 1), np.diff(total))
-            at = frequent.place(keys & ~_CLASS)
-            hit = at >= 0
-            place, classes = at[hit], (keys[hit] & _CLASS).astype(np.int64)
-            known = np.bincount(text[hit], minlength=n)
-            counted = np.bincount(text[hit], np.log10(frequent.count[place] + 1.0), n)
-            score = np.bincount(text[hit], frequent.log10[place, classes], n)
-            texts.append((row - base + np.arange(n), known, counted, score, np.diff(total) * 2 + ~train))
+        ids, sizes, trains, text = [], [], [], []
+        for row, _, _, total, train, doc_ids in run:
+            text.append(np.repeat(row - base + np.arange(len(total) - 1), np.diff(total)))
+            sizes.append((row - base + np.arange(len(total) - 1), np.diff(total) * 2 + ~train))
             ids.append(doc_ids)
-            rest.append(keys[~hit])
-            of.append(row - base + text[~hit])
-            train_of.append(train[text[~hit]])
-        text, known, counted, score, tokens_ = (np.concatenate(c) for c in zip(*texts, strict=True))
+        places, tokens_ = (np.concatenate(c) for c in zip(*sizes, strict=True))
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, pa.schema([("doc_id", pa.int64())])) as writer:
             for x in ids:
                 writer.write_batch(pa.RecordBatch.from_arrays([x], ["doc_id"]))
-        whole = _found(base, text, known, counted, score, sink.getvalue().to_pybytes(), tokens_.astype("<i8").tobytes())
-        yield _batch([("text", base, *whole[:3], *[None] * 5, *whole[3:])], _SENT)
-        rest, of, train_of = np.concatenate(rest), np.concatenate(of), np.concatenate(train_of)
-        order = np.argsort(rest, kind="stable")
-        rest, of, train_of = rest[order], of[order], train_of[order]
-        out = [
-            ("sent", part, base, b - a, _pack(of[a:b].astype("<u4")), *_pack_keys(rest[a:b]), _pack(np.packbits(train_of[a:b])), *[None] * 5)
-            for part, a, b in _cuts(rest, parts)
-        ]
-        if out:
-            yield _batch(out, _SENT)
-
-
-def _score_batches(batches, process: Process, guess: Guess, guesses: list[Guess]):
-    """What the other words add to each text: all tokens of a part are seated again as before and scored."""
-    passed: list[dict] = []
-
-    def sent():
-        for batch in batches:
-            mine = np.array(batch.column(0).to_pylist()) == "sent"
-            passed.extend(batch.filter(pa.array(~mine)).to_pylist())
-            yield batch.filter(pa.array(mine))
-
-    def texts():
-        while passed:
-            r = passed.pop()
-            yield _batch([tuple(r[name.split()[0]] for name in _FOUND.split(", "))], _FOUND)
-
-    for rows in _by_part(sent()):
-        yield from texts()
-        keys = np.concatenate([_unpack_keys(r) for r in rows])
-        bits = [np.unpackbits(_unpack(r["train"], "u1", -(-r["n"] // 8)), count=r["n"]) for r in rows]
-        types, place = np.unique(keys, return_inverse=True)
-        count = np.bincount(place, np.concatenate(bits), len(types)).astype(np.int64)
-        word, fine = types & ~_CLASS, (types & _CLASS).astype(np.int64)
-        learned = count > 0
-        seating = Seating(word[learned], fine[learned], count[learned], process, guess)
-        mean = np.zeros(len(types))
-        for _, after in zip(seating.sampled(), guesses, strict=True):
-            mean += probabilities(seating, after, word, fine)
-        of = np.cumsum(np.append(True, word[1:] != word[:-1])) - 1
-        uses = np.bincount(of, count)[of]
-        known, counted, score = uses > 0, np.log10(uses + 1.0), np.log10(mean / len(guesses))
-        ends = np.cumsum([r["n"] for r in rows])
-        for r, end in zip(rows, ends.tolist(), strict=True):
-            mine = place[end - r["n"] : end]
-            text, at = np.unique(_unpack(r["text"], "<u4", r["n"]), return_inverse=True)
-            sums = (np.bincount(at, v[mine], len(text)) for v in (known, counted, score))
-            yield _batch([_found(r["run"], text, *sums)], _FOUND)
-    yield from texts()
+        nothing = np.zeros(len(places))
+        whole = _found(base, places, nothing, nothing, nothing, sink.getvalue().to_pybytes(), tokens_.astype("<i8").tobytes())
+        context = np.concatenate([r[2] for r in run])
+        pair, text = pairs(np.concatenate([r[1] for r in run]), context), np.concatenate(text)
+        part = _score_parts(pair, context, hot, parts)
+        order = np.lexsort((pair, part))
+        pair, text = pair[order], text[order]
+        out = [(2, base % parts, base, whole[1], *[None] * 9, *whole[2:])]
+        for p, a, b in _cuts(part[order]):
+            at = np.flatnonzero(np.append(True, pair[a + 1 : b] != pair[a : b - 1]))
+            times = np.diff(np.append(at, b - a)).astype("<u4")
+            out.append((1, p, base, b - a, len(at), *[None] * 6, _pack_steps(pair[a:b][at]), _pack(times), _pack(text[a:b].astype("<u4")), *[None] * 5))
+        yield _batch(out, _SENT)
+
+
+def _known_types(rows: list[dict], process: Process, hot: Hot, samples: int) -> tuple[np.ndarray, ...]:
+    """The types of a part, ascending: pair, training count of the word, log10 of the probability."""
+    names = ("words", "contexts", "counts", "uses")
+    word, context, count, uses = (np.concatenate([_unpack(r[c], "<u8", r["n"]) for r in rows]) for c in names)
+    tables = np.concatenate([_unpack(r["tables"], "<u8", r["n"] * samples).reshape(samples, -1) for r in rows], 1).astype(np.float64)
+    parents = np.concatenate([_unpack(r["parents"], "<f4", r["n"] * samples).reshape(samples, -1) for r in rows], 1).astype(np.float64)
+    pair = pairs(word, context)
+    found, of = np.unique(context, return_inverse=True)
+    place, here = _places(hot.context, found)
+    count = count.astype(np.float64)
+    customers = np.bincount(of, count, len(found))
+    customers[here] = hot.customers[place[here]]
+    d, s = process.discounts[3], process.strengths[3]
+    mean = np.zeros(len(pair))
+    for mine, parent, often in zip(tables, parents, hot.tables, strict=True):
+        all_tables = np.bincount(of, mine, len(found))
+        all_tables[here] = often[place[here]]
+        mean += (count - d * mine + (s + d * all_tables[of]) * parent) / (customers[of] + s)
+    order = np.argsort(pair)
+    return pair[order], uses[order].astype(np.int64), np.log10(mean[order] / samples)
+
+
+def _score_batches(batches, process: Process, hot: Hot, samples: int):
+    """What the tokens of each part add to their texts, from rows sorted by part and kind; tokens pass one run at a time."""
+    now, rows, known = None, [], None
+    for batch in batches:
+        for i in range(len(batch)):
+            r = batch.slice(i, 1).to_pylist()[0]
+            if r["part"] != now:
+                now, rows, known = r["part"], [], None
+            if r["kind"] == 0:
+                rows.append(r)
+            elif r["kind"] == 2:
+                yield _batch([tuple(r[name] for name in _names(_FOUND))], _FOUND)
+            else:
+                if known is None:
+                    known, rows = _known_types(rows, process, hot, samples), []
+                pair, uses, log10 = known
+                at = np.searchsorted(pair, _unpack_steps(r["pairs"], r["n_pairs"]))
+                times, of = _unpack(r["times"], "<u4", r["n_pairs"]), _unpack(r["text"], "<u4", r["n"]).astype(np.int64)
+                text = np.flatnonzero(np.bincount(of))
+                values = (uses[at] > 0, np.log10(uses[at] + 1.0), log10[at])
+                yield _batch([_found(r["run"], text, *(np.bincount(of, np.repeat(v, times))[text] for v in values))], _FOUND)
+
+
+def _found(run: int, text, known, counted, score, ids=b"", tokens_=b"") -> tuple:
+    return (run, len(text), _pack(text.astype("<u4")), _pack(known.astype("<u4")), _pack(counted), _pack(score), ids, tokens_)
 
 
 def _sum_batches(batches):
@@ -579,12 +715,12 @@ def score_texts(docs: DataFrame, process: Process = Process(), id_column="doc_id
 
     Learns from all rows that are not held out. `base_score` is the sum of log10((c + 1) / (N + V + 1)), `score` the
     sum of the log10 of the predictive probabilities averaged over the samples. Counts are exact up to collisions
-    of 56-bit hashes. The seating of a word's restaurants is drawn by Gibbs sweeps that depend on the word alone
-    and on rough totals, so the pass that sums the totals of the samples and the pass that scores draw the same.
+    of 56-bit hashes of words and 64-bit hashes of pairs. The seating of a word's restaurants is drawn by Gibbs sweeps with
+    rough totals (the customers and distinct words of each context); the scores use the sums of the sampled tables.
 
-    Three passes read the texts: one counts the histories, one seats, one scores. Counts are added up before they
-    are sent. Tokens of rare words meet the counts of their word in one task of a bounded number of tokens; a frequent
-    word, of any share of the corpus, is scored where its text is read.
+    Three passes read the texts: one counts the tokens, one the words after each context, one scores. Counts are added up
+    before they are sent, and meet in the task of their word to be seated. Tables and tokens meet in the task of their
+    context; those of a context with at least 1 / `frequent` of the training tokens are dealt over many tasks.
 
     A null or empty text is its end token alone; a null id counts as the text "" when rows are held out; repeated rows
     count and are scored each; an empty table gives no rows; other columns are ignored. Without training rows every
@@ -593,25 +729,40 @@ def score_texts(docs: DataFrame, process: Process = Process(), id_column="doc_id
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), held_out(id_column, process).alias("held_out"), F.col(text_column).cast("string").alias("text")
     )
+    total = rows.mapInArrow(_total_batches, "n long").agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-total // TOKENS_IN_TASK))
+    counts = rows.mapInArrow(partial(_count_batches, parts=parts), f"part int, {_TYPES}").repartition(parts, "part").sortWithinPartitions("part")
+    merged = written(counts.mapInArrow(_merge_batches, _MERGED), "pitman-yor-types")
+    types, asked = merged.filter("context is null"), merged.filter("context is not null")
+    contexts = asked.groupBy("context", "fine").agg(F.sum("customers").alias("customers"), F.sum("dishes").alias("tables"))
+    contexts = written(contexts, "pitman-yor-contexts")
     fine = np.zeros(FINE)
-    for r in rows.mapInArrow(_history_batches, "fine long, n long").groupBy("fine").agg(F.sum("n").alias("n")).collect():
+    for r in contexts.groupBy("fine").agg(F.sum("tables").alias("n")).collect():  # a row per class
         fine[r["fine"]] = r["n"]
-    total = int(fine.sum())
-    parts = max(1, -(-total // TOKENS_IN_TASK))
     guess = Guess.before(fine)
-    counts = rows.mapInArrow(partial(_count_batches, parts=parts), _COUNTS).repartition(parts, "part").sortWithinPartitions("part")
-    least = max(1, -(-total // frequent))
-    states = written(counts.mapInArrow(partial(_seat_batches, process=process, guess=guess, least=least), _STATES), "pitman-yor-states")
+    often = contexts.filter(F.col("customers") >= max(1, -(-total // frequent))).collect()  # `frequent` rows at most
+    often = sorted((r["context"] % (1 << 64), r["customers"]) for r in often)
+    hot = np.array([c for c, _ in often], np.uint64)
+
+    given = asked.filter("open").join(contexts.select("context", "tables"), "context").select("part", F.lit(0).alias("kind"), "context", "tables")
+    given = given.unionByName(types.select("part", F.lit(1).alias("kind"), *_names(_TYPES)), allowMissingColumns=True)
+    given = given.select(*_names(_GIVEN)).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    states = written(given.mapInArrow(partial(_seat_batches, process=process, guess=guess, hot=hot), _STATES), "pitman-yor-states")
     known = states.filter("kind = 'known'").agg(F.sum("n")).first()[0] or 0
-    per = FINE + 2 * COARSE + 2
-    sums = np.zeros(per * process.samples)
-    for r in states.filter("kind = 'total'").groupBy("place").agg(F.sum("value").alias("v")).collect():  # per * samples rows
-        sums[r["place"]] = r["v"]
-    guesses = [Guess.after(fine, s, known) for s in sums.reshape(process.samples, per)]
-    often = Frequent.of(states.filter("kind = 'word'").collect(), process, guesses)  # `frequent` rows at most
-    sent = rows.mapInArrow(partial(_send_batches, frequent=often, parts=parts), _SENT)
-    sent = sent.repartition(parts, "kind", "part").sortWithinPartitions("kind", "part")
-    scored = sent.mapInArrow(partial(_score_batches, process=process, guess=guess, guesses=guesses), _FOUND)
+
+    def sums(kind: str, size: int) -> np.ndarray:
+        """Totals of every sample, `size` numbers each."""
+        out = np.zeros(process.samples * size)
+        for r in states.filter(F.col("kind") == kind).groupBy("place").agg(F.sum("value").alias("v")).collect():
+            out[r["place"]] = r["v"]
+        return out.reshape(process.samples, size)
+
+    guesses = [Guess.after(s[:FINE], s[FINE:], known) for s in sums("total", 2 * FINE + 2 * COARSE + 2)]
+    heavy = Hot(hot, np.array([n for _, n in often], np.float64), sums("hot", len(hot)))
+    sent = states.filter("kind = 'state'").mapInArrow(partial(_type_batches, process=process, guess=guess, guesses=guesses, hot=hot, parts=parts), _SENT)
+    sent = sent.unionByName(rows.mapInArrow(partial(_send_batches, hot=hot, parts=parts), _SENT))
+    sent = sent.repartition(parts, "part").sortWithinPartitions("part", "kind")
+    scored = sent.mapInArrow(partial(_score_batches, process=process, hot=heavy, samples=process.samples), _FOUND)
     out = scored.repartition("run").sortWithinPartitions("run").mapInArrow(_sum_batches, _SCORED)
     unit = float(np.log10(total + known + 1.0))
     return out.select(
