@@ -27,6 +27,8 @@ from tidymart.session import written
 #: Keys that a map task combines at once, and runs that one trie holds at most (a larger set has its own).
 KEYS_AT_ONCE = 2_000_000
 RUNS_IN_TRIE = 2_000_000
+#: Rows of a batch that a task hands over: a batch is held whole, outside the heap, where it arrives.
+ROWS_IN_BATCH = 1 << 16
 #: Buckets of runs whose texts are counted, to tell frequent runs; the flags that are broadcast take 128 KB.
 BUCKETS = 1 << 20
 _BUCKET_SHIFT = np.uint64(44)
@@ -208,40 +210,48 @@ _KEYED = "key long, set_id long"
 
 
 def _keyed(keys, sets):
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(sets)], ["key", "set_id"])
+    """The rows in batches of a bounded size."""
+    for i in range(0, len(keys), ROWS_IN_BATCH):
+        part = slice(i, i + ROWS_IN_BATCH)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(sets[part])], ["key", "set_id"])
 
 
-def _combined(keys: np.ndarray, sets: np.ndarray):
-    """One row per key of the task; sets that met here already are linked by a key of their own."""
+def _combined(found: list[tuple[np.ndarray, np.ndarray]]):
+    """One row per key of the task; sets that met here already are linked by a key of their own. The list is emptied."""
+    keys, sets = (np.concatenate(c) for c in zip(*found, strict=True))
+    found.clear()
     order = np.lexsort((sets, keys))
     keys, sets = keys[order], sets[order]
+    del order
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     at = np.flatnonzero(new)
-    yield _keyed(keys[at], sets[at])
     least = np.repeat(sets[at], np.diff(np.append(at, len(keys))))
-    met = np.unique(np.stack([least, sets], 1)[least != sets], axis=0)
+    other = least != sets
+    met = np.unique(np.stack([least[other], sets[other]], 1), axis=0)
+    keys, sets = keys[at], sets[at]
+    del least, other, new, at
+    yield from _keyed(keys, sets)
     if len(met):
         a, b = met.T.copy()
         pair = words.mix(words.mix(a.view(np.uint64)) + b.view(np.uint64))
-        yield _keyed(np.concatenate((pair, pair)), np.concatenate((a, b)))
+        yield from _keyed(np.concatenate((pair, pair)), np.concatenate((a, b)))
 
 
 def _key_batches(batches, threshold: Threshold, frequent: np.ndarray):
     """Keys of all sets. Copies have the same set, so they meet nobody here."""
     scheme = Scheme(threshold, np.unpackbits(frequent).astype(bool))
-    keys, sets, held = [], [], 0
+    found, held = [], 0
     for batch in batches:
         for _, values, total in run_sets(batch.column(0), threshold.n):
-            found, owner = scheme.keys(values, total)
-            keys.append(found)
-            sets.append(identify(values, total)[owner])
-            held += len(found)
+            keys, owner = scheme.keys(values, total)
+            found.append((keys, identify(values, total)[owner]))
+            held += len(keys)
             if held >= KEYS_AT_ONCE:
-                yield from _combined(np.concatenate(keys), np.concatenate(sets))
-                keys, sets, held = [], [], 0
+                yield from _combined(found)
+                held = 0
     if held:
-        yield from _combined(np.concatenate(keys), np.concatenate(sets))
+        yield from _combined(found)
 
 
 def rarest_runs(values: np.ndarray, total: np.ndarray, levels: np.ndarray, threshold: Threshold):
@@ -259,18 +269,17 @@ def rarest_runs(values: np.ndarray, total: np.ndarray, levels: np.ndarray, thres
 
 def _rarest_batches(batches, threshold: Threshold, levels: np.ndarray):
     """The rarest runs of all sets as keys."""
-    keys, sets, held = [], [], 0
+    found, held = [], 0
     for batch in batches:
         for _, values, total in run_sets(batch.column(0), threshold.n):
-            found, owner = rarest_runs(values, np.asarray(total), levels, threshold)
-            keys.append(found)
-            sets.append(identify(values, total)[owner])
-            held += len(found)
+            keys, owner = rarest_runs(values, np.asarray(total), levels, threshold)
+            found.append((keys, identify(values, total)[owner]))
+            held += len(keys)
             if held >= KEYS_AT_ONCE:
-                yield from _combined(np.concatenate(keys), np.concatenate(sets))
-                keys, sets, held = [], [], 0
+                yield from _combined(found)
+                held = 0
     if held:
-        yield from _combined(np.concatenate(keys), np.concatenate(sets))
+        yield from _combined(found)
 
 
 def _meet_batches(batches):

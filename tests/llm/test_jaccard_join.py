@@ -200,3 +200,15 @@ def test_linked_sets_share_a_rarest_run():
             if t.linked(len(set(a) & set(b)), len(a), len(b)):
                 keys, owner = jaccard_join.rarest_runs(np.array(a + b, np.uint64), np.array([0, len(a), len(a) + len(b)]), levels, t)
                 assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
+def test_keys_are_handed_over_in_batches_of_a_bounded_size(monkeypatch):
+    """The rows are the same, but no batch that leaves a task grows with the keys that it combines."""
+    values = np.arange(1, 1001, dtype=np.uint64) % 700
+    sets = np.arange(1000) // 100
+    whole = [tuple(r.values()) for b in jaccard_join._combined([(values, sets)]) for r in b.to_pylist()]
+    monkeypatch.setattr(jaccard_join, "ROWS_IN_BATCH", 64)
+    batches = list(jaccard_join._combined([(values[:300], sets[:300]), (values[300:], sets[300:])]))
+    assert max(len(b) for b in batches) <= 64
+    assert [tuple(r.values()) for b in batches for r in b.to_pylist()] == whole
+    assert len(whole) > 700
