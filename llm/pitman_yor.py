@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import words
-from tidymart.session import written
+from tidymart.session import drop_written, written
 
 FINE, COARSE = 256, 16
 #: The tokens after a word with at least 1 / FREQUENT of the training tokens are scored in many tasks, not in one.
 FREQUENT = 4_096
 TOKENS_IN_TASK = 1_500_000
 TOKENS_AT_ONCE = 1_000_000
+#: The most frequent contexts travel as two bytes each, all others as their hash; this bounds the list, not the contexts.
+IN_BOOK = (1 << 16) - 1
 _CLASS = np.uint64(FINE - 1)  # the low bits of a word are 0 and have room for a class of contexts
 END = np.uint64(0xA0761D6478BD6400)
 START = np.uint64(0xE7037ED1A0B42800)  # the context of a text's first token
@@ -389,9 +391,47 @@ def _training(batches):
 
 
 def _total_batches(batches):
-    """Number of training tokens."""
+    """Number of training tokens, in a row without a context; and how often the most frequent contexts of the task occur."""
+    n, context, times = 0, np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for run in _training(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([sum(int(np.diff(total)[train].sum()) for *_, total, train, _ in run)], pa.int64())], ["n"])
+        n += sum(int(np.diff(total)[train].sum()) for *_, total, train, _ in run)
+        more, of = np.unique(np.concatenate([r[2] for r in run]), return_counts=True)
+        found, place = np.unique(np.concatenate((context, more)), return_inverse=True)
+        times = np.bincount(place, np.concatenate((times, of)), len(found)).astype(np.int64)
+        keep = np.sort(np.lexsort((found, -times))[: 4 * IN_BOOK])
+        context, times = found[keep], times[keep]
+    keep = np.lexsort((context, -times))[:IN_BOOK]
+    context, times = context[keep], times[keep]
+    columns = [pa.array([n, *[None] * len(keep)], pa.int64()), pa.array([None, *context.view(np.int64).tolist()], pa.int64()), pa.array([None, *times.tolist()], pa.int64())]
+    yield pa.RecordBatch.from_arrays(columns, ["n", "context", "times"])
+
+
+class Book:
+    """Codes of words that are frequent as contexts, from 1 on; any book gives the same words back."""
+
+    def __init__(self, often: list[int]):
+        """The most frequent first: their codes have a byte that is mostly 0."""
+        self.context = np.array([0, *often], np.uint64)
+        order = 1 + np.argsort(self.context[1:])
+        self.sorted, self.code = self.context[order], order.astype("<u2")
+
+    def pack(self, context: np.ndarray) -> bytes:
+        at, here = _places(self.sorted, context)
+        code = np.zeros(len(context), "<u2")
+        code[here] = self.code[at[here]]
+        known = _pack(code)
+        return len(known).to_bytes(4, "little") + known + _pack(context[~here].astype("<u8"))
+
+    def unpack(self, data: bytes, n: int) -> np.ndarray:
+        end = 4 + int.from_bytes(data[:4], "little")
+        code = _unpack(data[4:end], "<u2", n)
+        context = self.context[code]
+        other = code == 0
+        context[other] = _unpack(data[end:], "<u8", int(other.sum()))
+        return context
+
+
+_NO_BOOK = Book([])
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -425,16 +465,16 @@ def _counted(word: np.ndarray, context: np.ndarray, times: np.ndarray) -> tuple[
 _TYPES = "n int, words binary, contexts binary, counts binary"
 
 
-def _pack_types(word, context, count) -> tuple[int, bytes, bytes, bytes]:
-    return len(word), _pack_steps(word), _pack(context.astype("<u8")), _pack(count.astype("<u8"))
+def _pack_types(word, context, count, book: Book = _NO_BOOK) -> tuple[int, bytes, bytes, bytes]:
+    return len(word), _pack_steps(word), book.pack(context), _pack(count.astype("<u8"))
 
 
-def _unpack_types(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack_types(row: dict, book: Book = _NO_BOOK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = row["n"]
-    return _unpack_steps(row["words"], n), _unpack(row["contexts"], "<u8", n), _unpack(row["counts"], "<u8", n).astype(np.int64)
+    return _unpack_steps(row["words"], n), book.unpack(row["contexts"], n), _unpack(row["counts"], "<u8", n).astype(np.int64)
 
 
-def _count_batches(batches, parts: int):
+def _count_batches(batches, parts: int, book: Book):
     """Training counts of (word, context), added up for many texts and packed for the task of each word.
 
     Those of texts that are held out are there too, with a count of 0.
@@ -443,7 +483,7 @@ def _count_batches(batches, parts: int):
         times = np.concatenate([np.repeat(train, np.diff(total)) for *_, total, train, _ in run]).astype(np.int64)
         word, context, times = _counted(np.concatenate([r[1] for r in run]), np.concatenate([r[2] for r in run]), times)
         cuts = _cuts(_part(word, parts))
-        rows = [(part, *_pack_types(word[a:b], context[a:b], times[a:b])) for part, a, b in cuts]
+        rows = [(part, *_pack_types(word[a:b], context[a:b], times[a:b], book)) for part, a, b in cuts]
         if rows:
             yield _batch(rows, f"part int, {_TYPES}")
 
@@ -480,13 +520,13 @@ def _by_part(batches):
 _MERGED = f"part int, context long, fine int, customers long, dishes long, open boolean, {_TYPES}"
 
 
-def _merge_batches(batches):
+def _merge_batches(batches, book: Book):
     """The types of each part, and how often its contexts occur in it."""
     for rows in _by_part(batches):
-        part, sent = rows[0]["part"], [_unpack_types(r) for r in rows]
+        part, sent = rows[0]["part"], [_unpack_types(r, book) for r in rows]
         rows.clear()
         word, context, count = _counted(*(np.concatenate(c) for c in zip(*sent, strict=True)))
-        yield _batch([(part, *[None] * 5, *_pack_types(word, context, count))], _MERGED)
+        yield _batch([(part, *[None] * 5, *_pack_types(word, context, count, book))], _MERGED)
         found, place = np.unique(context, return_inverse=True)
         customers = np.bincount(place, count, len(found)).astype(np.int64)
         dishes = np.bincount(place[count > 0], minlength=len(found))
@@ -518,10 +558,10 @@ def _given_parts(batches):
             at = place + 1
 
 
-def _seat_batches(batches, process: Process, guess: Guess, hot: np.ndarray):
+def _seat_batches(batches, process: Process, guess: Guess, hot: np.ndarray, book: Book):
     """For each part its types with the states of every sample, and the totals of classes and of `hot` contexts."""
     for contexts, tables, row in _given_parts(batches):
-        word, context, count = _unpack_types(row)
+        word, context, count = _unpack_types(row, book)
         order = np.argsort(contexts)
         at, here = _places(contexts[order], context)
         rough = np.zeros(len(context))
@@ -564,7 +604,7 @@ class Hot:
 #: and those of kind 2 the texts of a run. A run is named by its first row, and its texts are counted from there.
 _SENT = (
     "kind int, part long, run long, n int, n_pairs int, words binary, contexts binary, counts binary, uses binary, tables binary, "
-    "parents binary, pairs binary, times binary, text binary, known binary, counted binary, score binary, ids binary, tokens binary"
+    "parents binary, times binary, text binary, known binary, counted binary, score binary, ids binary, tokens binary"
 )
 #: What was found for texts of a run, packed: places, known tokens, sums; the texts of a run also have ids, folds and tokens.
 _FOUND = "run long, n int, text binary, known binary, counted binary, score binary, ids binary, tokens binary"
@@ -576,12 +616,12 @@ def _score_parts(pair: np.ndarray, context: np.ndarray, hot: np.ndarray, parts:
     return _part(np.where(_places(hot, context)[1], pair, context), parts)
 
 
-def _type_batches(batches, process: Process, guess: Guess, guesses: list[Guess], hot: np.ndarray, parts: int):
+def _type_batches(batches, process: Process, guess: Guess, guesses: list[Guess], hot: np.ndarray, parts: int, book: Book = _NO_BOOK):
     """The types with their tables and the probabilities of their parents, packed for the tasks of the contexts."""
     for batch in batches:
         for at in range(len(batch)):
             row = batch.slice(at, 1).to_pylist()[0]
-            word, context, count = _unpack_types({**row, "n": row["types"]})
+            word, context, count = _unpack_types({**row, "n": row["types"]}, book)
             learned = count > 0
             seating = Contexts(word[learned], context[learned], count[learned], np.zeros(int(learned.sum())), process, guess)
             a = seating.above
@@ -595,14 +635,14 @@ def _type_batches(batches, process: Process, guess: Guess, guesses: list[Guess],
             of = np.cumsum(np.append(True, word[1:] != word[:-1])) - 1
             uses = np.bincount(of, count)[of].astype(np.int64)
             part = _score_parts(pairs(word, context), context, hot, parts)
-            order = np.lexsort((context, part))
+            order = np.argsort(part, kind="stable")  # in a part words ascend, so what belongs to a word is repeated
             for p, x, y in _cuts(part[order]):
                 at = order[x:y]
-                packed = [_pack(c.astype("<u8")) for c in (word[at], context[at], count[at], uses[at], tables[:, at].ravel())]
-                yield _batch([(0, p, None, y - x, None, *packed, _pack(parents[:, at].ravel().astype("<f4")), *[None] * 8)], _SENT)
+                packed = [_pack_steps(word[at]), book.pack(context[at]), *(_pack(c.astype("<u8")) for c in (count[at], uses[at], tables[:, at].ravel()))]
+                yield _batch([(0, p, None, y - x, None, *packed, _pack(parents[:, at].ravel().astype("<f4")), *[None] * 7)], _SENT)
 
 
-def _send_batches(batches, hot: np.ndarray, parts: int):
+def _send_batches(batches, hot: np.ndarray, parts: int, book: Book):
     """The texts of each run, and their tokens packed for the tasks of their contexts."""
     for run in _training(batches):
         base = run[0][0]
@@ -618,23 +658,24 @@ def _send_batches(batches, hot: np.ndarray, parts: int):
                 writer.write_batch(pa.RecordBatch.from_arrays([x], ["doc_id"]))
         nothing = np.zeros(len(places))
         whole = _found(base, places, nothing, nothing, nothing, sink.getvalue().to_pybytes(), tokens_.astype("<i8").tobytes())
-        context = np.concatenate([r[2] for r in run])
-        pair, text = pairs(np.concatenate([r[1] for r in run]), context), np.concatenate(text)
-        part = _score_parts(pair, context, hot, parts)
-        order = np.lexsort((pair, part))
-        pair, text = pair[order], text[order]
-        out = [(2, base % parts, base, whole[1], *[None] * 9, *whole[2:])]
+        word, context, text = np.concatenate([r[1] for r in run]), np.concatenate([r[2] for r in run]), np.concatenate(text)
+        part = _score_parts(pairs(word, context), context, hot, parts)
+        order = np.lexsort((word, context, part))
+        word, context, text = word[order], context[order], text[order]
+        out = [(2, base % parts, base, whole[1], *[None] * 8, *whole[2:])]
         for p, a, b in _cuts(part[order]):
-            at = np.flatnonzero(np.append(True, pair[a + 1 : b] != pair[a : b - 1]))
+            new = (word[a + 1 : b] != word[a : b - 1]) | (context[a + 1 : b] != context[a : b - 1])
+            at = np.flatnonzero(np.append(True, new))
             times = np.diff(np.append(at, b - a)).astype("<u4")
-            out.append((1, p, base, b - a, len(at), *[None] * 6, _pack_steps(pair[a:b][at]), _pack(times), _pack(text[a:b].astype("<u4")), *[None] * 5))
+            types = book.pack(word[a:b][at]), _pack_steps(context[a:b][at])  # a context stands once, all its words are here
+            out.append((1, p, base, b - a, len(at), *types, *[None] * 4, _pack(times), _pack(text[a:b].astype("<u4")), *[None] * 5))
         yield _batch(out, _SENT)
 
 
-def _known_types(rows: list[dict], process: Process, hot: Hot, samples: int) -> tuple[np.ndarray, ...]:
+def _known_types(rows: list[dict], process: Process, hot: Hot, samples: int, book: Book = _NO_BOOK) -> tuple[np.ndarray, ...]:
     """The types of a part, ascending: pair, training count of the word, log10 of the probability."""
-    names = ("words", "contexts", "counts", "uses")
-    word, context, count, uses = (np.concatenate([_unpack(r[c], "<u8", r["n"]) for r in rows]) for c in names)
+    word, context, count = (np.concatenate(c) for c in zip(*(_unpack_types(r, book) for r in rows), strict=True))
+    uses = np.concatenate([_unpack(r["uses"], "<u8", r["n"]) for r in rows])
     tables = np.concatenate([_unpack(r["tables"], "<u8", r["n"] * samples).reshape(samples, -1) for r in rows], 1).astype(np.float64)
     parents = np.concatenate([_unpack(r["parents"], "<f4", r["n"] * samples).reshape(samples, -1) for r in rows], 1).astype(np.float64)
     pair = pairs(word, context)
@@ -653,7 +694,7 @@ def _known_types(rows: list[dict], process: Process, hot: Hot, samples: int) ->
     return pair[order], uses[order].astype(np.int64), np.log10(mean[order] / samples)
 
 
-def _score_batches(batches, process: Process, hot: Hot, samples: int):
+def _score_batches(batches, process: Process, hot: Hot, samples: int, book: Book):
     """What the tokens of each part add to their texts, from rows sorted by part and kind; tokens pass one run at a time."""
     now, rows, known = None, [], None
     for batch in batches:
@@ -667,9 +708,10 @@ def _score_batches(batches, process: Process, hot: Hot, samples: int):
                 yield _batch([tuple(r[name] for name in _names(_FOUND))], _FOUND)
             else:
                 if known is None:
-                    known, rows = _known_types(rows, process, hot, samples), []
+                    known, rows = _known_types(rows, process, hot, samples, book), []
                 pair, uses, log10 = known
-                at = np.searchsorted(pair, _unpack_steps(r["pairs"], r["n_pairs"]))
+                asked = pairs(book.unpack(r["words"], r["n_pairs"]), _unpack_steps(r["contexts"], r["n_pairs"]))
+                at = np.searchsorted(pair, asked)
                 times, of = _unpack(r["times"], "<u4", r["n_pairs"]), _unpack(r["text"], "<u4", r["n"]).astype(np.int64)
                 text = np.flatnonzero(np.bincount(of))
                 values = (uses[at] > 0, np.log10(uses[at] + 1.0), log10[at])
@@ -718,7 +760,8 @@ def score_texts(docs: DataFrame, process: Process = Process(), id_column="doc_id
     of 56-bit hashes of words and 64-bit hashes of pairs. The seating of a word's restaurants is drawn by Gibbs sweeps with
     rough totals (the customers and distinct words of each context); the scores use the sums of the sampled tables.
 
-    Three passes read the texts: one counts the tokens, one the words after each context, one scores. Counts are added up
+    Three passes read the texts: one counts the tokens and finds frequent contexts, which travel as short codes, one counts the
+    words after each context, one scores. Counts are added up
     before they are sent, and meet in the task of their word to be seated. Tables and tokens meet in the task of their
     context; those of a context with at least 1 / `frequent` of the training tokens are dealt over many tasks.
 
@@ -729,10 +772,14 @@ def score_texts(docs: DataFrame, process: Process = Process(), id_column="doc_id
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), held_out(id_column, process).alias("held_out"), F.col(text_column).cast("string").alias("text")
     )
-    total = rows.mapInArrow(_total_batches, "n long").agg(F.sum("n")).first()[0] or 0
+    often = written(rows.mapInArrow(_total_batches, "n long, context long, times long"), "pitman-yor-often")
+    total = often.agg(F.sum("n")).first()[0] or 0
+    often = often.filter("context is not null").groupBy("context").agg(F.sum("times").alias("times"))
+    often = often.orderBy(F.desc("times"), "context").limit(IN_BOOK).collect()  # a bounded list
+    book = Book([r["context"] % (1 << 64) for r in often])
     parts = max(1, -(-total // TOKENS_IN_TASK))
-    counts = rows.mapInArrow(partial(_count_batches, parts=parts), f"part int, {_TYPES}").repartition(parts, "part").sortWithinPartitions("part")
-    merged = written(counts.mapInArrow(_merge_batches, _MERGED), "pitman-yor-types")
+    counts = rows.mapInArrow(partial(_count_batches, parts=parts, book=book), f"part int, {_TYPES}").repartition(parts, "part").sortWithinPartitions("part")
+    merged = written(counts.mapInArrow(partial(_merge_batches, book=book), _MERGED), "pitman-yor-types")
     types, asked = merged.filter("context is null"), merged.filter("context is not null")
     contexts = asked.groupBy("context", "fine").agg(F.sum("customers").alias("customers"), F.sum("dishes").alias("tables"))
     contexts = written(contexts, "pitman-yor-contexts")
@@ -747,7 +794,11 @@ def score_texts(docs: DataFrame, process: Process = Process(), id_column="doc_id
     given = asked.filter("open").join(contexts.select("context", "tables"), "context").select("part", F.lit(0).alias("kind"), "context", "tables")
     given = given.unionByName(types.select("part", F.lit(1).alias("kind"), *_names(_TYPES)), allowMissingColumns=True)
     given = given.select(*_names(_GIVEN)).repartition(parts, "part").sortWithinPartitions("part", "kind")
-    states = written(given.mapInArrow(partial(_seat_batches, process=process, guess=guess, hot=hot), _STATES), "pitman-yor-states")
+    states = written(given.mapInArrow(partial(_seat_batches, process=process, guess=guess, hot=hot, book=book), _STATES), "pitman-yor-states")
+    # Nothing reads these any more; without a name Spark clears their shuffles, too.
+    drop_written(merged)
+    drop_written(contexts)
+    del counts, merged, types, asked, contexts, given
     known = states.filter("kind = 'known'").agg(F.sum("n")).first()[0] or 0
 
     def sums(kind: str, size: int) -> np.ndarray:
@@ -759,10 +810,11 @@ def score_texts(docs: DataFrame, process: Process = Process(), id_column="doc_id
 
     guesses = [Guess.after(s[:FINE], s[FINE:], known) for s in sums("total", 2 * FINE + 2 * COARSE + 2)]
     heavy = Hot(hot, np.array([n for _, n in often], np.float64), sums("hot", len(hot)))
-    sent = states.filter("kind = 'state'").mapInArrow(partial(_type_batches, process=process, guess=guess, guesses=guesses, hot=hot, parts=parts), _SENT)
-    sent = sent.unionByName(rows.mapInArrow(partial(_send_batches, hot=hot, parts=parts), _SENT))
+    types = partial(_type_batches, process=process, guess=guess, guesses=guesses, hot=hot, parts=parts, book=book)
+    sent = states.filter("kind = 'state'").mapInArrow(types, _SENT)
+    sent = sent.unionByName(rows.mapInArrow(partial(_send_batches, hot=hot, parts=parts, book=book), _SENT))
     sent = sent.repartition(parts, "part").sortWithinPartitions("part", "kind")
-    scored = sent.mapInArrow(partial(_score_batches, process=process, hot=heavy, samples=process.samples), _FOUND)
+    scored = sent.mapInArrow(partial(_score_batches, process=process, hot=heavy, samples=process.samples, book=book), _FOUND)
     out = scored.repartition("run").sortWithinPartitions("run").mapInArrow(_sum_batches, _SCORED)
     unit = float(np.log10(total + known + 1.0))
     return out.select(

@@ -6,6 +6,7 @@ from test_pitman_yor import is_held_out
 
 from llm import pitman_yor
 from llm.pitman_yor import FINE, Contexts, Guess, Hot, Process, classes, score_texts, tokens
+from tidymart import session
 
 
 def word(text):
@@ -85,3 +86,23 @@ def test_probabilities_after_a_context_sum_to_one(hot):
     for c in contexts:
         mine = (every[:, 1] == c) & np.isin(every[:, 0], np.append(seating.above.words, vocabulary[-1] + np.uint64(256)))
         assert p[mine].sum() == pytest.approx(1) and (p[mine] > 0).all()
+
+
+def test_frequent_contexts_travel_as_two_bytes():
+    """All contexts come back whatever the book has; most rows of frequent ones cost far less than a hash."""
+    r = np.random.default_rng(4)
+    hashes = r.integers(1, 1 << 56, 5000).astype(np.uint64) << np.uint64(8)
+    context = hashes[np.minimum(r.zipf(1.3, 40_000), 5000) - 1]
+    book = pitman_yor.Book(hashes[:1000].tolist())
+    for asked in (context, context[:0], hashes[2000:], hashes[:1]):
+        assert (book.unpack(book.pack(asked), len(asked)) == asked).all()
+        assert (pitman_yor.Book([]).unpack(pitman_yor.Book([]).pack(asked), len(asked)) == asked).all()
+    assert len(book.pack(context)) < len(pitman_yor._pack(context.astype("<u8"))) / 1.5
+
+
+def test_only_what_the_scores_need_stays_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    docs = spark.createDataFrame([(i, f"some words {i % 3} and others") for i in range(60)], "doc_id long, text string")
+    assert pitman_yor.score_texts(docs).count() == 60
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "tidymart").iterdir()}
+    assert left == {"pitman-yor-often", "pitman-yor-states"}

@@ -42,3 +42,14 @@ def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataF
     path = scratch_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_written(df: DataFrame) -> None:
+    """Delete a table that `written` has made and that no later step reads."""
+    spark = df.sparkSession
+    fs = spark._jvm.org.apache.hadoop.fs
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = fs.Path(spark._jvm.java.net.URI(folder))
+        if path.getParent().getName() != "tidymart":
+            raise ValueError(f"{folder} is no intermediate table")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
