@@ -72,5 +72,7 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
             break
         large = written(_stars(now, True), "component-large")
         now = written(_stars(large, False).distinct(), "component-small")
+    # A node that is in the links of several tasks hangs on the same root once for each.
+    now = now if tasks == 1 else now.distinct()
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return written(now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots), "components")

@@ -2,7 +2,8 @@
 
 A document's set of word runs is held in one global order, that of the runs' hashes. Documents that may be linked
 are dealt to the same task by an exact rule, and there the sets are stored in a trie that is walked with every
-new set, sharing partial overlaps and leaving subtrees whose remaining lengths cannot reach the threshold.
+new set, sharing partial overlaps and leaving subtrees whose remaining lengths cannot reach the threshold. The trie
+holds how each set differs from the runs that most sets of its family hold, which is little among near copies.
 
 The rule: two sets with Jaccard at least r differ in at most D = (1-r)/(1+r) * (|x|+|y|) runs. Cut the order into
 P > D segments; P - D segments at least are equal in both sets. A key is the content of a segment, so linked
@@ -11,6 +12,7 @@ documents share a key, while documents that have merely a passage in common do n
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 from functools import partial
 
@@ -311,59 +313,39 @@ def _rows_in(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.isin(np.ascontiguousarray(rows).view(pair).ravel(), np.ascontiguousarray(others).view(pair).ravel())
 
 
-_HEAD = 32  # runs of a node that are compared for all children of a node at once
-_NO_RUN = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
-class Node:
-    """A stretch of runs, the sets that end behind it, and its children with what decides on them as arrays.
-
-    Of each child: its first runs, how many these are, the least and largest size below, and a set below if all sets
-    below are in one component (-1 if not).
-    """
-
-    __slots__ = ("runs", "ends", "kids", "places", "heads", "lengths", "least", "most", "one")
-
-    def __init__(self, runs: np.ndarray):
-        self.runs = runs
-        self.ends: list[int] = []
-        self.kids: list[Node] = []
-        self.places: dict[int, int] = {}
-        self._room(0)
-
-    def _room(self, n: int) -> None:
-        self.heads = np.full((n, _HEAD), _NO_RUN)
-        self.lengths, self.least, self.most, self.one = (np.zeros(n, np.int64) for _ in range(4))
-
-    def put(self, i: int, child: Node, least: int, most: int, one: int) -> None:
-        """Child i, new or in the place of another; the arrays grow by doubling."""
-        if i == len(self.kids):
-            self.kids.append(child)
-            self.places[int(child.runs[0])] = i
-            if i == len(self.lengths):
-                old = self.heads, self.lengths, self.least, self.most, self.one
-                self._room(max(2, 2 * i))
-                for new, was in zip((self.heads, self.lengths, self.least, self.most, self.one), old, strict=True):
-                    new[:i] = was
-        self.kids[i] = child
-        head = child.runs[:_HEAD]
-        self.heads[i] = _NO_RUN
-        self.heads[i, : len(head)] = head
-        self.lengths[i], self.least[i], self.most[i], self.one[i] = len(head), least, most, one
+_HEAD = 32  # runs of a node that are compared for all nodes of a step at once
 
 
 class PrefixTree:
     """Joins sets one after another: `add` finds what the new set is linked with and stores it.
 
     `label` has the component of each set, by its links so far; subtrees of the new set's own component are skipped.
+
+    A set may be given by how it differs from `common` runs, those that it lacks and those that it has besides. Two sets
+    then overlap in `common`, less what each lacks, and as many as their differences share, so they are linked if
+    (whole + part) * (common + shared) + slack + slack >= 0, with -(whole + part) * lacks - part * size as the slack of
+    a set. Its gain is the slack with all of its difference shared.
+
+    A node is a stretch of runs, the sets that end behind it, and its children. What decides on nodes is in arrays over
+    all of them, so that a walk takes many at a step: the first runs, how many these are and the last of them, how many
+    runs there are, the largest gain and slack of a set below, and a set below if all are in one component (-1 if not).
     """
 
-    def __init__(self, threshold: Threshold):
+    def __init__(self, threshold: Threshold, common: int = 0):
         self.threshold = threshold
-        self.root = Node(np.zeros(0, np.uint64))
-        self.label = np.zeros(16, np.int64)
+        self.unit = threshold.whole + threshold.part
+        self.common = common
+        self.label, self.set_slack = np.zeros(16, np.int64), np.zeros(16, np.int64)
+        self.mine = np.zeros(16, bool)
         self.count = 0
         self.links: list[tuple[int, int]] = []
+        self.heads = np.zeros((16, _HEAD), np.int64)
+        self.lengths, self.lasts, self.all, self.gain, self.slack, self.one = (np.zeros(16, np.int64) for _ in range(6))
+        self.runs: list[np.ndarray] = []
+        self.ends: list[list[int]] = []
+        self.kids: list[array] = []
+        self.places: list[dict[int, int]] = []
+        self.root = self._node(np.zeros(0, np.int64), 0, 0, -1)
 
     def find(self, x: int) -> int:
         return int(self.label[x])
@@ -372,100 +354,161 @@ class PrefixTree:
         mine = self.label[: self.count]
         mine[mine == mine[b]] = mine[a]
 
-    def add(self, runs: np.ndarray, known: int | None = None) -> int:
-        """`known`: a set already in the tree that is linked with this one, directly or not."""
+    def add(self, runs: np.ndarray, known: int | None = None, size: int | None = None, lacks: int = 0) -> int:
+        """`runs`: ascending small numbers. `known`: a set already in the tree that is linked with this one, directly or not.
+
+        `size`: runs of the whole set, if `runs` is its difference, or leaves out what no other set of the tree has.
+        """
         me = self.count
         if me == len(self.label):
-            self.label = np.append(self.label, np.zeros(me, np.int64))
+            self.label, self.set_slack = (np.append(x, np.zeros(me, np.int64)) for x in (self.label, self.set_slack))
         self.count += 1
         self.label[me] = me if known is None else self.label[known]
-        if len(runs):
+        size = len(runs) if size is None else size
+        self.set_slack[me] = -self.unit * lacks - self.threshold.part * size
+        if size:
+            runs = runs.astype(np.int64) + 1  # 0 is what pads the heads
+            if len(runs) and runs[-1] >= len(self.mine):
+                self.mine = np.zeros(2 * int(runs[-1]), bool)
+            self.mine[runs] = True
             self._probe(me, runs)
+            self.mine[runs] = False
             self._insert(me, runs)
         return me
 
-    def _possible(self, least, most, size: int, overlap, seen, depth):
-        """Whether a set below, of any size there, can reach the threshold with what both have left."""
-        t = self.threshold
-        other = np.minimum(np.maximum(size - seen + depth, least), most)
-        best = overlap + np.minimum(size - seen, other - depth)
-        return t.whole * best >= t.part * (size + other - best)
-
     def _probe(self, me: int, runs: np.ndarray) -> None:
-        size = len(runs)
-        padded = np.append(runs, _NO_RUN)  # no run is equal to what pads the heads, but in the padding
-        stack = [(self.root, 0, 0, 0)]
-        while stack:
-            node, overlap, seen, depth = stack.pop()
-            # The latest children first: they are of sizes like this one's, so a link is found soon.
-            end, step = len(node.kids), 64
-            while end:
-                begin = max(0, end - step)
-                self._probe_children(me, runs, padded, size, node, begin, end, overlap, seen, depth, stack)
-                end, step = begin, 512
-
-    def _probe_children(self, me, runs, padded, size, node, begin, end, overlap, seen, depth, stack) -> None:
-        one = node.one[begin:end]
-        mine = self.label[me]
-        open_ = (one < 0) | (self.label[one] != mine)
-        open_ &= self._possible(node.least[begin:end], node.most[begin:end], size, overlap, seen, depth)
-        rows = begin + np.flatnonzero(open_)
-        if not len(rows):
-            return
-        heads, lengths = node.heads[rows], node.lengths[rows]
-        at = np.searchsorted(runs, heads)
-        same = (padded[at] == heads) & (heads != _NO_RUN)
-        overlaps = overlap + same.sum(1)
-        last = np.arange(len(rows)), lengths - 1
-        seens = at[last] + same[last]
-        depths = depth + lengths
-        good = self._possible(node.least[rows], node.most[rows], size, overlaps, seens, depths)
-        for i in np.flatnonzero(good):
-            row = rows[i]
-            child, o, s, d = node.kids[row], int(overlaps[i]), int(seens[i]), int(depths[i])
-            if node.one[row] >= 0 and self.label[node.one[row]] == self.label[me]:
-                continue
-            rest = child.runs[_HEAD:]
-            if len(rest):
-                at_rest = np.searchsorted(runs, rest)
-                found = padded[at_rest] == rest
-                o, s, d = o + int(found.sum()), int(at_rest[-1]) + int(found[-1]), d + len(rest)
-                if not self._possible(node.least[row], node.most[row], size, o, s, d):
-                    continue
-            for other in child.ends:
-                if self.label[other] != self.label[me] and self.threshold.linked(o, size, d):
-                    self.links.append((other, me))
-                    self._unite(other, me)
-            if child.kids:
-                stack.append((child, o, s, d))
+        self._link(me, [self.root], np.zeros(1, np.int64))
+        # The latest children first: they are of sizes like this one's, so a link is found soon.
+        end, step = len(self.kids[self.root]), 64
+        while end:
+            begin = max(0, end - step)
+            nodes = np.array(np.frombuffer(self.kids[self.root], np.int64)[begin:end])
+            overlap = seen = depth = np.zeros(len(nodes), np.int64)
+            while len(nodes):
+                nodes, overlap, seen, depth = self._step(me, runs, nodes, overlap, seen, depth)
+            end, step = begin, 8 * step
+
+    def _possible(self, me: int, nodes, overlap, left, depth):
+        """Whether a set below each node can reach the threshold with what both have left."""
+        least = -int(self.set_slack[me]) - self.unit * (self.common + overlap)
+        return (self.gain[nodes] >= least + self.unit * depth) & (self.slack[nodes] >= least - self.unit * left)
+
+    def _step(self, me, runs, nodes, overlap, seen, depth):
+        """Compares the nodes with the set: overlap, runs seen and depth before them; the same of the children to go on with."""
+        one = self.one[nodes]
+        use = self._possible(me, nodes, overlap, len(runs) - seen, depth)
+        use &= (one < 0) | (self.label[one] != self.label[me])
+        nodes = nodes[use]
+        overlap = overlap[use] + self.mine[self.heads[nodes]].sum(1)
+        seen = np.searchsorted(runs, self.lasts[nodes], "right")
+        depth = depth[use] + self.lengths[nodes]
+        use = self._possible(me, nodes, overlap, len(runs) - seen, depth)
+        nodes, overlap, seen, depth = nodes[use], overlap[use], seen[use], depth[use]
+        long = np.flatnonzero(self.all[nodes] > self.lengths[nodes])
+        if len(long):
+            rest = [self.runs[node][_HEAD:] for node in nodes[long].tolist()]
+            after = np.cumsum([len(r) for r in rest])
+            rest = np.concatenate(rest)
+            overlap[long] += np.add.reduceat(self.mine[rest], np.append(0, after[:-1]), dtype=np.int64)
+            seen[long] = np.searchsorted(runs, rest[after - 1], "right")
+            depth[long] += np.diff(after, prepend=0)
+            use = self._possible(me, nodes, overlap, len(runs) - seen, depth)
+            nodes, overlap, seen, depth = nodes[use], overlap[use], seen[use], depth[use]
+        if not len(nodes):
+            return nodes, overlap, seen, depth
+        self._link(me, nodes.tolist(), overlap)
+        kids = [np.frombuffer(self.kids[node], np.int64) for node in nodes.tolist()]
+        many = [len(k) for k in kids]
+        return np.concatenate(kids), np.repeat(overlap, many), np.repeat(seen, many), np.repeat(depth, many)
+
+    def _link(self, me: int, nodes: list[int], overlap: np.ndarray) -> None:
+        """Links with the sets that end behind the nodes."""
+        ends = [self.ends[node] for node in nodes]
+        others = np.array([x for e in ends for x in e], np.int64)
+        overlap = np.repeat(overlap, [len(e) for e in ends])
+        linked = self.set_slack[others] + self.set_slack[me] + self.unit * (self.common + overlap) >= 0
+        for other in others[linked].tolist():
+            if self.label[other] != self.label[me]:
+                self.links.append((other, me))
+                self._unite(other, me)
+
+    def _node(self, runs: np.ndarray, gain: int, slack: int, one: int) -> int:
+        """A new node; the arrays grow by doubling."""
+        i = len(self.runs)
+        if i == len(self.one):
+            for name in ("heads", "lengths", "lasts", "all", "gain", "slack", "one"):
+                was = getattr(self, name)
+                setattr(self, name, np.concatenate((was, np.zeros_like(was))))
+        self.gain[i], self.slack[i], self.one[i] = gain, slack, one
+        self.runs.append(runs)
+        self.ends.append([])
+        self.kids.append(array("q"))
+        self.places.append({})
+        self._put(i, runs)
+        return i
+
+    def _put(self, i: int, runs: np.ndarray) -> None:
+        head = runs[:_HEAD]
+        self.runs[i] = runs
+        self.heads[i] = 0
+        self.heads[i, : len(head)] = head
+        self.lengths[i], self.all[i] = len(head), len(runs)
+        self.lasts[i] = head[-1] if len(head) else 0
+
+    def _child(self, parent: int, child: int) -> None:
+        self.places[parent][int(self.runs[child][0])] = child
+        self.kids[parent].append(child)
 
     def _insert(self, me: int, runs: np.ndarray) -> None:
-        size, at, node = len(runs), 0, self.root
-        while True:
-            if at == size:
-                node.ends.append(me)
-                return
-            i = node.places.get(int(runs[at]))
+        size, at, node, slack = len(runs), 0, self.root, int(self.set_slack[me])
+        gain = slack + self.unit * size
+        while at < size:
+            i = self.places[node].get(int(runs[at]))
             if i is None:
-                child = Node(runs[at:])
-                child.ends.append(me)
-                node.put(len(node.kids), child, size, size, me)
-                return
-            child = node.kids[i]
-            n = min(len(child.runs), size - at)
-            differ = np.flatnonzero(child.runs[:n] != runs[at : at + n])
+                i = self._node(runs[at:], gain, slack, me)
+                self._child(node, i)
+                node = i
+                break
+            stretch = self.runs[i]
+            n = min(len(stretch), size - at)
+            differ = np.flatnonzero(stretch[:n] != runs[at : at + n])
             n = int(differ[0]) if len(differ) else n
-            if n < len(child.runs):
-                top = Node(child.runs[:n])
-                child.runs = child.runs[n:]
-                top.put(0, child, node.least[i], node.most[i], node.one[i])
-                node.put(i, top, node.least[i], node.most[i], node.one[i])
-                child = top
-            if node.one[i] >= 0 and self.label[node.one[i]] != self.label[me]:
-                node.one[i] = -1
-            node.least[i], node.most[i] = min(node.least[i], size), max(node.most[i], size)
+            if n < len(stretch):
+                # The node keeps its first part; what follows, with all that is below, goes to a new one.
+                low = self._node(stretch[n:], self.gain[i], self.slack[i], self.one[i])
+                for part in (self.ends, self.kids, self.places):
+                    part[i], part[low] = part[low], part[i]
+                self._put(i, stretch[:n])
+                self._child(i, low)
+            if self.one[i] >= 0 and self.label[self.one[i]] != self.label[me]:
+                self.one[i] = -1
+            self.gain[i], self.slack[i] = max(self.gain[i], gain), max(self.slack[i], slack)
             at += n
-            node = child
+            node = i
+        self.ends[node].append(me)
+
+
+def differences(sets: list[np.ndarray]) -> tuple[int, list[tuple[np.ndarray, int]]]:
+    """The number of runs that more than half of the sets hold, and of each set how it differs from these and how many it lacks.
+
+    Near copies hold nearly the same runs, so their differences are short. Runs are numbered, those in fewest
+    differences first; what is in one difference only is left out, as no other set shares it.
+    """
+    total = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    distinct, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = 2 * count > len(sets)
+    differ = np.where(common, len(sets) - count, count)
+    number = np.empty(len(distinct), np.int64)
+    number[np.argsort(differ, kind="stable")] = np.arange(len(distinct))
+    shared = differ > 1
+    base = np.flatnonzero(common)
+    out = []
+    for a, b in zip(total[:-1].tolist(), total[1:].tolist(), strict=True):
+        mine = place[a:b]
+        gone = np.delete(base, np.searchsorted(base, mine[common[mine]]))
+        found = np.concatenate((mine[~common[mine]], gone))
+        out.append((np.sort(number[found[shared[found]]]), len(gone)))
+    return len(base), out
 
 
 def likely_groups(sets: list[np.ndarray], threshold: Threshold) -> list[list[int]]:
@@ -519,6 +562,35 @@ def likely_groups(sets: list[np.ndarray], threshold: Threshold) -> list[list[int
     return list(groups.values())
 
 
+def parted(sets: list[np.ndarray], threshold: Threshold) -> list[list[int]]:
+    """Parts of a group with no link between them: families, each with the runs that most of its sets hold.
+
+    The sets that hold most of a family's common runs leave the group if none of them can be linked with a set outside:
+    it shares at most as many common runs as any outside has, and the runs besides that some other set holds, too.
+    """
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    distinct, place = np.unique(np.concatenate(sets), return_inverse=True)
+    left, out = np.arange(len(sets)), []
+    while len(left) > 2:
+        count = np.bincount(place, minlength=len(distinct))
+        held = np.bincount(place[np.isin(owner, owner[place == count.argmax()])], minlength=len(distinct))
+        common = 2 * held > held.max()
+        inside = np.bincount(owner[common[place]], minlength=len(sets))
+        besides = np.bincount(owner[~common[place] & (count[place] > 1)], minlength=len(sets))
+        family = 2 * inside > common.sum()
+        mine, others = left[family[left]], left[~family[left]]
+        if not len(others) or 16 * len(mine) < len(left):
+            break
+        if (threshold.whole * (inside[others].max() + besides[mine]) >= threshold.part * sizes[mine]).any():
+            break
+        out.append(mine.tolist())
+        left = others
+        keep = ~family[owner]
+        owner, place = owner[keep], place[keep]
+    return [*out, left.tolist()] if len(left) else out
+
+
 def _own_batches(batches, threshold: Threshold):
     """The rows whose text has the set they name."""
     for batch in batches:
@@ -537,11 +609,13 @@ def _join_cell(rows: pd.DataFrame, threshold: Threshold) -> pd.DataFrame:
     for _, values, total in run_sets(pa.array(rows["text"], pa.string()), threshold.n):
         sets += [values[a:b] for a, b in zip(total[:-1].tolist(), total[1:].tolist(), strict=True)]
     links = []
-    for group in likely_groups(sets, threshold):
-        tree = PrefixTree(threshold)
+    groups = likely_groups(sets, threshold)
+    for group in [[group[k] for k in part] for group in groups for part in parted([sets[i] for i in group], threshold)]:
+        common, differ = differences([sets[i] for i in group])
+        tree = PrefixTree(threshold, common)
         first: dict[int, int] = {}
-        for i in group:
-            me = tree.add(sets[i], first.get(labels[i]))
+        for i, (runs, lacks) in zip(group, differ, strict=True):
+            me = tree.add(runs, first.get(labels[i]), len(sets[i]), lacks)
             first.setdefault(labels[i], me)
         links += [(ids[group[a]], ids[group[b]]) for a, b in tree.links]
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
@@ -550,6 +624,8 @@ def _join_cell(rows: pd.DataFrame, threshold: Threshold) -> pd.DataFrame:
 def _cells(members: DataFrame, threshold: Threshold) -> DataFrame:
     """Links found in each cell; `members`: (cell, set_id, size, label, text), cells of a bounded number of runs."""
     rows = members.select("cell", "set_id", "size", "label", "text")
+    # What a cell takes is not told by its bytes: with a fixed number of partitions no small ones are put in one task.
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cell")
     return rows.groupBy("cell").applyInPandas(partial(_join_cell, threshold=threshold), "a long, b long")
 
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from cases import corpus, documents, mutated, prose
 from pyspark.sql import functions as F
@@ -212,3 +213,75 @@ def test_keys_are_handed_over_in_batches_of_a_bounded_size(monkeypatch):
     assert max(len(b) for b in batches) <= 64
     assert [tuple(r.values()) for b in batches for r in b.to_pylist()] == whole
     assert len(whole) > 700
+
+
+def test_each_node_has_one_component_however_often_it_is_linked(spark, monkeypatch):
+    monkeypatch.setattr(components_module, "LINKS_IN_TASK", 7)
+    links = spark.createDataFrame([(1, i) for i in range(2, 30)] * 4, "a long, b long").repartition(4)
+    found = [tuple(r) for r in components(links, "a", "b").collect()]
+    assert sorted(found) == [(i, 1) for i in range(1, 30)]
+
+
+def families(seed, copies):
+    """Near copies of three texts, most of them with more edits than links bear, and texts of their own."""
+    r = random.Random(seed)
+    texts = [prose(r, 60) for _ in range(10)]
+    for _ in range(3):
+        base = prose(r, 120)
+        texts += [mutated(r, base, r.randrange(1, 14)) for _ in range(copies)]
+    return texts
+
+
+def cell(texts, t):
+    rows = pd.DataFrame({"set_id": range(len(texts)), "size": [len(runs(x, t.n)) for x in texts], "text": texts})
+    return rows.assign(cell="0", label=rows["set_id"])
+
+
+@pytest.mark.parametrize("threshold", [Threshold(4, 85, 100), Threshold(2, 70, 100), Threshold(1, 60, 100)])
+def test_sets_given_by_their_differences_link_as_whole_ones(threshold):
+    for seed in range(3):
+        texts = families(seed, 40)
+        found = jaccard_join._join_cell(cell(texts, threshold), threshold)
+        sets = [runs(x, threshold.n) for x in texts]
+        parent = list(range(len(texts)))
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in found.itertuples(index=False):
+            assert threshold.linked(len(sets[a] & sets[b]), len(sets[a]), len(sets[b]))
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+        component = {i: c for i, _, c in expected(list(enumerate(texts)), threshold)}
+        assert [find(i) for i in range(len(texts))] == [component[i] for i in range(len(texts))]
+
+
+def test_parts_of_a_group_are_its_families():
+    r = random.Random(3)
+    bases = [[r.getrandbits(60) for _ in range(100)] for _ in range(3)]
+    sets = [np.array(sorted({*r.sample(bases[k % 3], 92), *(r.getrandbits(60) for _ in range(6)), k % 7}), np.uint64) for k in range(60)]
+    parts = jaccard_join.parted(sets, Threshold(1, 80, 100))
+    assert sorted(map(sorted, parts)) == [list(range(k, 60, 3)) for k in range(3)]
+
+
+def test_work_of_a_set_grows_little_with_the_family(monkeypatch):
+    """Many near copies that are not linked cost a few steps each, not one for each node of the tree."""
+    t = Threshold(4, 85, 100)
+    r = random.Random(1)
+    base = prose(r, 400)
+    texts = [mutated(r, base, r.randrange(3, 20)) for _ in range(400)]
+    real, calls = np.searchsorted, []
+    monkeypatch.setattr(jaccard_join.np, "searchsorted", lambda *a, **b: calls.append(1) or real(*a, **b))
+    jaccard_join._join_cell(cell(texts, t), t)
+    assert len(calls) < 20 * len(texts)
+
+
+def test_cells_of_few_bytes_are_not_put_in_one_task(spark):
+    t = Threshold(4, 85, 100)
+    rows = [(str(k), 2 * k + i, 6, 2 * k + i, f"a b c d e f g h w{k}") for k in range(24) for i in (0, 1)]
+    members = spark.createDataFrame(rows, "cell string, set_id long, size long, label long, text string")
+    found = jaccard_join._cells(members, t).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r["a"], r["b"]) for r in found) == [(2 * k, 2 * k + 1) for k in range(24)]
+    assert len({r["task"] for r in found}) > 1
